@@ -7,10 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseloom.session import estimated_bytes
-
-# Below this estimate a batch's keys are used to pre-filter the target instead of shuffling it.
-SMALL_BATCH_BYTES = 64 * 1024 * 1024
+from caseloom.session import broadcast_limit, estimated_bytes
 
 
 def first_per_key(rows: DataFrame, key: str, order: Sequence[str] | None = None) -> DataFrame:
@@ -31,19 +28,17 @@ def first_label_per_code(rows: DataFrame, code: str, label: str) -> DataFrame:
     return pairs.groupBy(code).agg(F.min(label).alias(label))
 
 
-def insert_if_absent(
-    target: DataFrame, batch: DataFrame, key: str, small_batch_bytes: int = SMALL_BATCH_BYTES
-) -> DataFrame:
+def insert_if_absent(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """The rows of ``batch`` (unique on ``key``) whose key the target does not hold yet.
 
-    With a small batch the target's key column is first reduced to the batch's keys: a semi join
-    whose build side Spark broadcasts because of its checked size, so the target is scanned but
-    never shuffled.  With a large batch both key columns are shuffled once.
+    A batch within Spark's broadcast limit first reduces the target's key column to its own keys by
+    a semi join: the target is then scanned but never shuffled.  With a larger batch that step would
+    only add a shuffle, so both key columns are shuffled once and anti-joined.
     """
     keys = target.select(key)
     wanted = batch.select(key)
-    if estimated_bytes(wanted) <= small_batch_bytes < estimated_bytes(keys):
-        keys = keys.join(F.broadcast(wanted), key, "left_semi")
+    if estimated_bytes(wanted) <= broadcast_limit(batch.sparkSession) < estimated_bytes(keys):
+        keys = keys.join(wanted, key, "left_semi")
     return batch.join(keys, key, "left_anti")
 
 

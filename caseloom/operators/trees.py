@@ -22,6 +22,7 @@ class FlatEnsemble:
     right: np.ndarray
     value: np.ndarray
     weights: np.ndarray
+    divisor: float
     depth: int
 
     def predict(self, rows: np.ndarray, chunk: int = 1024) -> np.ndarray:
@@ -35,7 +36,7 @@ class FlatEnsemble:
         for _ in range(self.depth):
             goes_left = rows[line, self.feature[node]] <= self.threshold[node]
             node = np.where(goes_left, self.left[node], self.right[node])
-        return self.value[node] @ self.weights
+        return self.value[node] @ self.weights / self.divisor
 
 
 def flatten(spark: SparkSession, model, path: str) -> FlatEnsemble:
@@ -65,8 +66,7 @@ def flatten(spark: SparkSession, model, path: str) -> FlatEnsemble:
     leaf = nodes["leftChild"].to_numpy() < 0
     cut = [0.0 if is_leaf else c[0] for is_leaf, c in zip(leaf, nodes["leftCategoriesOrThreshold"])]
     weights = np.asarray(model.treeWeights, dtype=float)
-    if type(model).__name__.startswith("RandomForest"):
-        weights = np.full(len(weights), 1.0 / len(weights))
+    averaged = type(model).__name__.startswith("RandomForest")
     return FlatEnsemble(
         roots=starts,
         feature=np.where(leaf, 0, nodes["featureIndex"].to_numpy()),
@@ -75,5 +75,6 @@ def flatten(spark: SparkSession, model, path: str) -> FlatEnsemble:
         right=np.where(leaf, here, offset + nodes["rightChild"].to_numpy()),
         value=nodes["prediction"].to_numpy(dtype=float),
         weights=weights,
+        divisor=float(len(weights)) if averaged else 1.0,
         depth=max(int(model._java_obj.trees()[i].depth()) for i in range(len(weights))),
     )

@@ -56,3 +56,11 @@ def work_path(spark: SparkSession, *parts: str) -> str:
 def estimated_bytes(df) -> int:
     """Size Spark's optimizer expects for ``df``: the number it compares with its broadcast limit."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """Spark's own limit for broadcasting a join side by its estimated size (-1: never)."""
+    limit = spark.sql("SET spark.sql.autoBroadcastJoinThreshold").first()["value"]
+    if limit.startswith("-"):
+        return -1
+    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit))

@@ -32,14 +32,17 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._read_commits: dict[str, Commit] = {}
 
     # ------------------------------------------------------------ commits
     def commits(self) -> list[Commit]:
+        """All commits in order.  Commit files never change, so each one is read once."""
         folder = f"{self.root}/commits"
-        found = []
         for name in files.children(self.spark, folder):
-            found.append(Commit(**json.loads(files.read_small_text(self.spark, f"{folder}/{name}"))))
-        return sorted(found, key=lambda c: c.version)
+            if name not in self._read_commits:
+                text = files.read_small_text(self.spark, f"{folder}/{name}")
+                self._read_commits[name] = Commit(**json.loads(text))
+        return sorted(self._read_commits.values(), key=lambda c: c.version)
 
     def next_version(self) -> int:
         return max((c.version for c in self.commits()), default=0) + 1

@@ -41,7 +41,9 @@ def _daily(spark, sf_dir):
 
 
 def _csv(spark, rows, path: str) -> str:
-    rows.write.option("header", True).option("escape", '"').csv(path)
+    writer = rows.write.option("header", True).option("escape", '"')
+    # Blanks around a value are part of the raw data.
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 
