@@ -19,11 +19,12 @@ from caseloom.functions.calendar import calendar_sql, cyclic_calendar_sql
 from caseloom.operators import features as M
 from caseloom.operators import series as S
 from caseloom.operators.trees import FlatEnsemble, flatten
-from caseloom.session import work_path
+from caseloom.session import ship_package, work_path
 from caseloom.sources.lake import EmptyInput
 
 LOWER_BAND, UPPER_BAND = 0.85, 1.15
 HORIZON = 90
+ROWS_PER_TASK = 50_000
 
 
 # ---------------------------------------------------------------- what to train
@@ -130,6 +131,11 @@ def error_measures(compared: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return compared.groupBy(*keys).agg(S.mae(), S.rmse())
 
 
+def _packed(series: DataFrame, rows: int) -> DataFrame:
+    """As few partitions as the row count justifies: training runs hundreds of short jobs."""
+    return series.coalesce(1 + rows // ROWS_PER_TASK)
+
+
 def train_and_evaluate(
     series: DataFrame,
     recipe: Recipe,
@@ -146,9 +152,9 @@ def train_and_evaluate(
         if minimum is not None:
             S.require_history(known, minimum)
         train, test = S.holdout_split(known, holdout)
-        scored = predict(fit(train, recipe), test.select("ds"))
+        scored = predict(fit(_packed(train, rows), recipe), test.select("ds"))
         errors = error_measures(S.actual_vs_forecast(test, scored)).first()
-        return Trained(fit(known, recipe), errors["mae"], errors["rmse"], rows)
+        return Trained(fit(_packed(known, rows), recipe), errors["mae"], errors["rmse"], rows)
     finally:
         known.unpersist()
 
@@ -160,7 +166,7 @@ def retrain(series: DataFrame, recipe: Recipe, as_of: date) -> Trained:
         rows = known.count()
         if rows == 0:
             raise EmptyInput("no days to train on")
-        return Trained(fit(known, recipe), None, None, rows)
+        return Trained(fit(_packed(known, rows), recipe), None, None, rows)
     finally:
         known.unpersist()
 
@@ -181,7 +187,12 @@ def fit_on_lags(series: DataFrame, recipe: Forest | Boosted, keys: Sequence[str]
     """Tree ensemble on the lag feature set, incomplete first rows dropped."""
     rows = M.complete_rows(M.lag_features(series, keys))
     assembler = VectorAssembler(inputCols=list(M.LAG_FEATURES), outputCol="features")
-    return recipe.estimator().fit(assembler.transform(rows))
+    # Training passes over its input several times; the windows should run once.
+    inputs = assembler.transform(rows).select("features", "y").persist()
+    try:
+        return recipe.estimator().fit(inputs)
+    finally:
+        inputs.unpersist()
 
 
 def roll_forward(ensemble: FlatEnsemble, history: np.ndarray, calendar: np.ndarray) -> np.ndarray:
@@ -220,6 +231,7 @@ def recursive_forecast(
     series shorter than the longest lag has no complete features and gets NULL forecasts.
     """
     spark = series.sparkSession
+    ship_package(spark)
     depth = max(*M.LAGS, *M.WINDOWS)
     ensemble = spark.sparkContext.broadcast(flatten(spark, model, work_path(spark, "ensemble")))
 

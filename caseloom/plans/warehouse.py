@@ -108,7 +108,9 @@ def create_store(spark: SparkSession, root: str) -> Store:
     """A store holding the unknown members; an existing one is returned as it is."""
     store = Store(spark, root)
     if not store.commits():
-        rows = {t: store.write(t, 1, unknown_members(spark, t)) for t in UNKNOWN_MEMBERS}
+        rows = _side_by_side(
+            {t: lambda t=t: store.write(t, 1, unknown_members(spark, t).coalesce(1)) for t in UNKNOWN_MEMBERS}
+        )
         store.commit(1, rows, batch="unknown members")
     return store
 
@@ -139,12 +141,11 @@ def merge_staging(
                 return commit
     version = store.next_version()
 
-    counts: dict[str, int] = {}
-
-    def load(table: str) -> None:
-        counts[table] = store.write(table, version, new_rows(store, table, staging, strict))
+    def load(table: str) -> int:
+        return store.write(table, version, new_rows(store, table, staging, strict))
 
-    _side_by_side([lambda t=t: load(t) for t in ("fact_crime", *[t for t in BATCH_ROWS if t != "fact_crime"])])
+    # The fact, by far the longest job, is submitted first.
+    counts = _side_by_side({t: lambda t=t: load(t) for t in reversed(BATCH_ROWS)})
 
     if check_orphans:
         fact = store._read("fact_crime", [store.version_path("fact_crime", version)])
@@ -156,8 +157,8 @@ def merge_staging(
     return store.commit(version, counts, batch)
 
 
-def _side_by_side(tasks: list[Callable[[], None]]) -> None:
-    """Run Spark actions concurrently; the first failure is raised after all have ended."""
-    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
-        for done in [pool.submit(task) for task in tasks]:
-            done.result()
+def _side_by_side(actions: dict[str, Callable[[], int]]) -> dict[str, int]:
+    """Results of Spark actions run concurrently; a failure is raised after all have ended."""
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        running = {name: pool.submit(action) for name, action in actions.items()}
+    return {name: done.result() for name, done in running.items()}

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -19,6 +21,7 @@ SESSION_CONF = {
 }
 
 _local_folders: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app_name: str = "caseloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -64,3 +67,17 @@ def broadcast_limit(spark: SparkSession) -> int:
     if limit.startswith("-"):
         return -1
     return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, wherever they run; needed before tasks call into it."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="caseloom-package-"), "caseloom.zip")
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for module in sorted(package.rglob("*.py")):
+            bundle.write(module, str(module.relative_to(package.parent)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)

@@ -14,12 +14,16 @@ from caseloom.sources.store import Store
 from caseloom.workload import fixture
 
 _stores: dict[tuple[str, str], Store] = {}
+_staging: dict[tuple[str, str], DataFrame] = {}
 
 
 def staging_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All raw incidents in the staging layout, written and read back."""
-    rows = conform(fixture.raw(spark, sf_dir), STAGING)
-    return replace_table(rows, work_path(spark, "staging"))
+    """All raw incidents in the staging layout, written once per application and read back."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _staging:
+        rows = conform(fixture.raw(spark, sf_dir), STAGING)
+        _staging[key] = replace_table(rows, work_path(spark, "staging"))
+    return _staging[key]
 
 
 def build_store(spark: SparkSession, sf_dir: str) -> Store:
