@@ -98,3 +98,9 @@ class Store:
             return self._read(name, paths)
         empty = self.spark.createDataFrame([], TABLES[name])
         return empty.withColumn(FACT_PARTITION, F.year("date_occ")) if name == "fact_crime" else empty
+
+    def sql(self, statement: str, **parameters: object) -> DataFrame:
+        """A SELECT over the store's tables by name, values bound as ``:name`` parameters."""
+        for name in TABLES:
+            self.table(name).createOrReplaceTempView(name)
+        return self.spark.sql(statement, args=parameters)

@@ -102,6 +102,20 @@ def _star5(spark, sf_dir):
         "dr_no", "area_name", "crm_cd_desc", "weapon_desc", "premis_desc", "status_desc")
 
 
+_BOUND = (
+    "select da.area_name, f.vict_age, count(*) as n from fact_crime f "
+    "left join dim_area da on f.area_id = da.area_id "
+    "where f.date_occ between :start and :end and da.area_name <> :area group by da.area_name, f.vict_age"
+)
+
+
+@query("s12_parameterised_sql", star_sql(
+    _BOUND.replace("fact_crime", "fact").replace(":start", f"date '{START}'").replace(":end", f"date '{END}'")
+    .replace(":area", f"'{AREAS[0]}'")))
+def _parameterised_sql(spark, sf_dir):
+    return stores.incident_store(spark, sf_dir).sql(_BOUND, start=START, end=END, area=AREAS[0])
+
+
 # ---------------------------------------------------------------- aggregates
 @query("a1_count_avg", star_sql(
     f"select count(*) as total, avg(vict_age) as avg_age {_STAR} {_where(SOME_LISTS)}"))

@@ -139,18 +139,18 @@ def _kpi_text(spark, sf_dir):
 
 # ---------------------------------------------------------------- header mapping
 # How each kind of extract spells the raw columns.
-_DAILY_SPELLING = {v: k.upper().replace("_", " ") for k, v in H.DAILY_COLUMNS.items()}
-_RESEARCH_SPELLING = {
+DAILY_SPELLING = {v: k.upper().replace("_", " ") for k, v in H.DAILY_COLUMNS.items()}
+RESEARCH_SPELLING = {
     **{v: f" {k.title().replace('_', '-')} " for k, v in H.DAILY_COLUMNS.items()},
     "dr_no": "DrNo", "date_occ": "DateOcc", "time_occ": "TimeOcc", "vict_age": "VictAge", "vict_sex": "Vict Sex",
 }
-_HISTORICAL_SPELLING = {
+HISTORICAL_SPELLING = {
     **{c: c.upper().replace("_", " ") for c in fx.RAW_COLUMNS},
     "area_id": "AREA", "premis_id": "Premis Cd", "weapon_id": "Weapon Used Cd", "status_id": "Status",
 }
 
 
-def _spelled(raw: DataFrame, spelling: dict[str, str]) -> DataFrame:
+def spelled(raw: DataFrame, spelling: dict[str, str]) -> DataFrame:
     return raw.toDF(*[spelling.get(c, c) for c in raw.columns])
 
 
@@ -159,20 +159,20 @@ _DAILY_TARGETS = tuple(H.DAILY_COLUMNS.values())
 
 @query("p4_daily_mapping", fx.with_raw(f"select {', '.join(_DAILY_TARGETS)} from raw"))
 def _daily_mapping(spark, sf_dir):
-    extract = _spelled(fx.raw(spark, sf_dir), _DAILY_SPELLING)
+    extract = spelled(fx.raw(spark, sf_dir), DAILY_SPELLING)
     return H.map_columns(extract, H.DAILY_COLUMNS, H.basic_header)
 
 
 @query("p5_research_mapping", fx.with_raw("select * from raw"))
 def _research_mapping(spark, sf_dir):
-    extract = _spelled(fx.raw(spark, sf_dir), _RESEARCH_SPELLING)
+    extract = spelled(fx.raw(spark, sf_dir), RESEARCH_SPELLING)
     return H.map_columns(extract, H.RESEARCH_COLUMNS, H.snake_header, keep_unmapped=True)
 
 
 @query("p6_historical_mapping", fx.with_raw("select " + ", ".join(
     c if c in fx.RAW_COLUMNS else f"cast(null as varchar) as {c}" for c in STAGING_COLUMNS) + " from raw"))
 def _historical_mapping(spark, sf_dir):
-    extract = _spelled(fx.raw(spark, sf_dir), _HISTORICAL_SPELLING)
+    extract = spelled(fx.raw(spark, sf_dir), HISTORICAL_SPELLING)
     return H.conform(
         H.map_columns(extract, H.historical_columns(STAGING_COLUMNS), H.alphanumeric_header), STAGING)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,9 +16,9 @@ from caseloom.sources.registry import ModelRegistry, append_audit, error_log, re
 from caseloom.streaming.incremental import ingest_new_files
 from caseloom.workload import fixture as fx
 from caseloom.workload import stores
-from caseloom.workload.column_queries import _DAILY_SPELLING, _HISTORICAL_SPELLING, _RESEARCH_SPELLING, _spelled
+from caseloom.workload.column_queries import DAILY_SPELLING, HISTORICAL_SPELLING, RESEARCH_SPELLING, spelled
 from caseloom.workload.registry import query
-from caseloom.workload.series_queries import AT, BOOSTED
+from caseloom.workload.series_queries import AT, BOOSTED, days_sql
 
 # The daily path truncates codes where the warehouse rounds; on whole-number codes both agree.
 _FACT = fx.with_fact("select * from fact")
@@ -27,9 +27,9 @@ _FACT = fx.with_fact("select * from fact")
 def _daily_lake(spark, sf_dir) -> str:
     """A lake holding the raw input as one JSON extract with daily headers, text values only."""
     raw = fx.raw(spark, sf_dir)
-    spelled = _spelled(raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns]), _DAILY_SPELLING)
+    texts = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
     folder = work_path(spark, "lake")
-    lake.land_extract(spelled, folder, "incident_extract", AT)
+    lake.land_extract(spelled(texts, DAILY_SPELLING), folder, "incident_extract", AT)
     return folder
 
 
@@ -49,7 +49,7 @@ def _csv(spark, rows, path: str) -> str:
 
 @query("e2_historical", _FACT)
 def _historical(spark, sf_dir):
-    path = _csv(spark, _spelled(fx.raw(spark, sf_dir), _HISTORICAL_SPELLING), work_path(spark, "history.csv"))
+    path = _csv(spark, spelled(fx.raw(spark, sf_dir), HISTORICAL_SPELLING), work_path(spark, "history.csv"))
     store = create_store(spark, work_path(spark, "warehouse"))
     flows.historical_load(spark, path, work_path(spark, "staging"), store)
     return store.table("fact_crime").drop("occ_year")
@@ -58,11 +58,16 @@ def _historical(spark, sf_dir):
 _DAY = fx.date_sql("date_occ")
 
 
+_RESEARCH_ROWS = (
+    f"from (select * replace ({_DAY} as date_occ) from raw) where date_occ <= date '{fx.CUTOFF}' and lat <> 0 "
+    "and lon <> 0 and vict_age > 0 and vict_sex in ('M', 'F', 'X')"
+)
+
+
 @query("e3_research", fx.with_raw(
     f"select dr_no, date_occ, lat, lon, vict_sex, case when vict_age > 80 then 80 else vict_age end as vict_age, "
     "cast(substr(lpad(cast(cast(trunc(try_cast(time_occ as double)) as int) as varchar), 4, '0'), 1, 2) as int) as hour "
-    f"from (select * replace ({_DAY} as date_occ) from raw) where date_occ <= date '{fx.CUTOFF}' and lat <> 0 "
-    "and lon <> 0 and vict_age > 0 and vict_sex in ('M', 'F', 'X')"))
+    + _RESEARCH_ROWS))
 def _research(spark, sf_dir):
     rows = _research_table(spark, sf_dir)
     return rows.select("dr_no", F.to_date("date_occ").alias("date_occ"), "lat", "lon", "vict_sex", "vict_age", "hour")
@@ -70,32 +75,52 @@ def _research(spark, sf_dir):
 
 def _research_table(spark, sf_dir):
     folder = work_path(spark, "lake")
-    _csv(spark, _spelled(fx.raw(spark, sf_dir), _RESEARCH_SPELLING), f"{folder}/history.csv")
+    _csv(spark, spelled(fx.raw(spark, sf_dir), RESEARCH_SPELLING), f"{folder}/history.csv")
     return flows.research_load(spark, folder, work_path(spark, "research"), "history.csv", fx.CUTOFF)
 
 
-@query("e4_end_to_end")
+def _scored(metrics):
+    """Metrics in a form that does not depend on the fitted values."""
+    plausible = F.coalesce((F.col("mae") > 0) & (F.col("mae") <= F.col("rmse")), F.lit(False))
+    return metrics.select("model_name", "training_rows", plausible.alias("scored"))
+
+
+def _days_until(day) -> str:
+    condition = "" if day is None else f" where ds <= date '{day}'"
+    return f"(select cast(count(*) as int) from days{condition})"
+
+
+_UNCUT, _CUT = _days_until(None), _days_until(fx.CUTOFF)
+
+
+@query("e4_end_to_end", days_sql(
+    f"select '{flows.CHAMPION}' as model_name, {_days_until(fx.AS_OF - timedelta(1))} as training_rows, "
+    "false as scored"))
 def _end_to_end(spark, sf_dir):
     models = ModelRegistry(spark, work_path(spark, "models"))
     store = create_store(spark, work_path(spark, "warehouse"))
     flows.end_to_end(
         spark, _daily_lake(spark, sf_dir), work_path(spark, "staging"), store, models, fx.AS_OF, AT, BOOSTED)
-    return models.metrics()
+    return _scored(models.metrics())
 
 
-@query("e5_training")
+@query("e5_training", days_sql(
+    f"select '{flows.CHAMPION}' as model_name, {_CUT} as training_rows, true as scored union all " + " union all ".join(
+        f"select '{name}', {_CUT if cut else _UNCUT}, true" for name, (_, cut) in flows.VARIANTS.items())))
 def _training(spark, sf_dir):
     models = ModelRegistry(spark, work_path(spark, "models"))
     series = flows.fact_series(stores.incident_store(spark, sf_dir))
     small = {name: (forecast.quick(recipe), cut) for name, (recipe, cut) in flows.VARIANTS.items()}
-    return flows.weekly_training(series, models, AT, fx.CUTOFF, BOOSTED, small)
+    return _scored(flows.weekly_training(series, models, AT, fx.CUTOFF, BOOSTED, small))
 
 
-@query("e6_research_training")
+@query("e6_research_training", fx.with_raw(" union all ".join(
+    f"select '{name}' as model_name, (select cast(count(distinct date_occ) as int) {_RESEARCH_ROWS}) as training_rows, "
+    "true as scored" for name in flows.RESEARCH_VARIANTS)))
 def _research_training(spark, sf_dir):
     models = ModelRegistry(spark, work_path(spark, "models"))
     small = {name: forecast.quick(recipe) for name, recipe in flows.RESEARCH_VARIANTS.items()}
-    return flows.research_training(_research_table(spark, sf_dir), models, AT, small)
+    return _scored(flows.research_training(_research_table(spark, sf_dir), models, AT, small))
 
 
 @query("st1_incremental", _FACT)
@@ -103,7 +128,7 @@ def _incremental(spark, sf_dir):
     """All raw incidents arrive as JSON files; one run of the stream loads each file once."""
     folder = _daily_lake(spark, sf_dir)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in
-                           [_DAILY_SPELLING.get(c, c) for c in fx.RAW_COLUMNS]])
+                           [DAILY_SPELLING.get(c, c) for c in fx.RAW_COLUMNS]])
     store = create_store(spark, work_path(spark, "warehouse"))
     ingest_new_files(
         spark, folder, schema, store, work_path(spark, "staging"), work_path(spark, "checkpoint")
@@ -129,12 +154,15 @@ def _audit_summary(spark, sf_dir):
         F.count("*").alias("runs"), F.count_if(F.col("error_message") != "").alias("with_message"))
 
 
-@query("s18_snapshot")
+@query("s18_snapshot", fx.with_fact(
+    "select 'fact_crime' as name, count(*) as rows from fact union all " + " union all ".join(
+        f"select '{t}', count(*) from {t}" for t in fx.DIM_SQL)
+    + " union all select 'model_registry', 0 union all select 'model_metrics', 0", *fx.DIM_SQL))
 def _snapshot(spark, sf_dir):
     store = stores.incident_store(spark, sf_dir)
     models = ModelRegistry(spark, work_path(spark, "models"))
     folder = flows.snapshot_store(store, models, work_path(spark, "snapshots"), AT)
-    return snapshot.read_manifest(spark, folder)
+    return snapshot.read_manifest(spark, folder).select(F.col("table").alias("name"), "rows")
 
 
 @query("s19_restore", _FACT)
