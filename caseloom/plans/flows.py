@@ -27,7 +27,7 @@ CHAMPION = "xgboost_crime_v1"
 ADDITIVE = "prophet_crime_v1"
 STANDARDISED_CODES = ("area_id", "crm_cd", "premis_id", "weapon_id")
 
-# name -> (recipe, uses the cutoff)
+# Published variants, name -> (recipe, uses the cutoff).
 VARIANTS: dict[str, tuple[M.Recipe, bool]] = {
     "rf_safe_2023": (M.Forest(), True),
     "rf_full_latest": (M.Forest(), False),

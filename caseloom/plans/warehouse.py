@@ -108,10 +108,11 @@ def create_store(spark: SparkSession, root: str) -> Store:
     """A store holding the unknown members; an existing one is returned as it is."""
     store = Store(spark, root)
     if not store.commits():
+        number, load = store.new_load()
         rows = _side_by_side(
-            {t: lambda t=t: store.write(t, 1, unknown_members(spark, t).coalesce(1)) for t in UNKNOWN_MEMBERS}
+            {t: lambda t=t: store.write(t, load, unknown_members(spark, t).coalesce(1)) for t in UNKNOWN_MEMBERS}
         )
-        store.commit(1, rows, batch="unknown members")
+        store.commit(number, load, rows, batch="unknown members")
     return store
 
 
@@ -139,22 +140,20 @@ def merge_staging(
         for commit in store.commits():
             if commit.batch == batch:
                 return commit
-    version = store.next_version()
+    number, load = store.new_load()
 
-    def load(table: str) -> int:
-        return store.write(table, version, new_rows(store, table, staging, strict))
+    def write(table: str) -> int:
+        return store.write(table, load, new_rows(store, table, staging, strict))
 
     # The fact, by far the longest job, is submitted first.
-    counts = _side_by_side({t: lambda t=t: load(t) for t in reversed(BATCH_ROWS)})
+    counts = _side_by_side({t: lambda t=t: write(t) for t in reversed(BATCH_ROWS)})
 
     if check_orphans:
-        fact = store._read("fact_crime", [store.version_path("fact_crime", version)])
         dimensions = {
-            t: store.table(t).unionByName(store._read(t, [store.version_path(t, version)]))
-            for t, _ in FOREIGN_KEYS.values()
+            t: store.table(t).unionByName(store.loaded(t, [load])) for t, _ in FOREIGN_KEYS.values()
         }
-        require_no_orphans(orphan_counts(fact, dimensions, FOREIGN_KEYS))
-    return store.commit(version, counts, batch)
+        require_no_orphans(orphan_counts(store.loaded("fact_crime", [load]), dimensions, FOREIGN_KEYS))
+    return store.commit(number, load, counts, batch)
 
 
 def _side_by_side(actions: dict[str, Callable[[], int]]) -> dict[str, int]:

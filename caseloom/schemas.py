@@ -17,7 +17,7 @@ def _struct(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in pairs])
 
 
-# The staging layout: 25 columns, this order.
+# The staging layout, 25 columns in this order.
 STAGING_COLUMNS = (
     "dr_no", "date_rptd", "date_occ", "time_occ", "area_id", "area_name", "rpt_dist_no", "part_1_2",
     "crm_cd", "crm_cd_desc", "mocodes", "vict_age", "vict_sex", "vict_descent", "premis_id",
@@ -33,6 +33,7 @@ STAGING = T.StructType(
     ]
 )
 
+# The star schema.
 TABLES: dict[str, T.StructType] = {
     name: _struct(ddl)
     for name, ddl in {
@@ -73,7 +74,7 @@ FOREIGN_KEYS = {
     "time_occ": ("dim_time", "time_id"),
 }
 
-# The member every dimension starts with; facts without a code point at it.
+# The member every dimension starts with; facts without a code point at it.
 UNKNOWN_MEMBERS = {
     "dim_area": ("0", "Unknown Area"),
     "dim_crime": ("0", "Unknown Crime"),

@@ -61,7 +61,8 @@ def snake_header(name: str) -> str:
 
 
 def alphanumeric_header(name: str) -> str:
-    return re.sub("[^a-z0-9]", "", name.replace("﻿", "").lower())
+    """Letters and digits only, so blanks, punctuation and a byte order mark all vanish."""
+    return re.sub("[^a-z0-9]", "", name.lower())
 
 
 def historical_columns(targets: Sequence[str]) -> dict[str, str]:

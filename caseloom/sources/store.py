@@ -1,7 +1,7 @@
 """The stored star schema: eight Parquet tables that always change together.
 
-Every load writes its new rows below ``<table>/version=<n>`` and becomes visible through one numbered
-commit file.  Loads only ever insert, so a table is the union of its committed versions: nothing that
+Every load writes its new rows below ``<table>/version=<its own name>`` and becomes visible through one
+numbered commit file that lists the folder.  Loads only ever insert, so a table is the union of its committed versions: nothing that
 is being read is overwritten, a load that dies half-way leaves no visible row, and a load costs what
 its new rows cost, not what the table weighs.
 """
@@ -9,7 +9,8 @@ its new rows cost, not what the table weighs.
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+import uuid
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,8 @@ FACT_PARTITION = "occ_year"
 
 @dataclass(frozen=True)
 class Commit:
-    version: int
+    number: int
+    load: str
     batch: str | None
     rows: dict[str, int]
 
@@ -42,26 +44,24 @@ class Store:
             if name not in self._read_commits:
                 text = files.read_small_text(self.spark, f"{folder}/{name}")
                 self._read_commits[name] = Commit(**json.loads(text))
-        return sorted(self._read_commits.values(), key=lambda c: c.version)
-
-    def next_version(self) -> int:
-        return max((c.version for c in self.commits()), default=0) + 1
-
-    def commit(self, version: int, rows: dict[str, int], batch: str | None = None) -> Commit:
-        """Make version ``version`` visible.  Fails if somebody else committed that number."""
-        done = Commit(version, batch, {t: n for t, n in rows.items() if n})
-        files.publish_text(
-            self.spark, f"{self.root}/commits/{version:08d}.json", json.dumps(done.__dict__)
-        )
+        return sorted(self._read_commits.values(), key=lambda c: c.number)
+
+    def new_load(self) -> tuple[int, str]:
+        """Number the next commit must have, and a folder name no other load uses."""
+        number = max((c.number for c in self.commits()), default=0) + 1
+        return number, f"{number}-{uuid.uuid4().hex[:12]}"
+
+    def commit(self, number: int, load: str, rows: dict[str, int], batch: str | None = None) -> Commit:
+        """Make a load visible.  Fails if another load took the number since this one looked at the
+        tables; it must then be repeated, as its rows were chosen without those of the other."""
+        done = Commit(number, load, batch, {t: n for t, n in rows.items() if n})
+        files.publish_text(self.spark, f"{self.root}/commits/{number:08d}.json", json.dumps(asdict(done)))
         return done
 
     # ------------------------------------------------------------ tables
-    def version_path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/version={version}"
-
-    def write(self, table: str, version: int, rows: DataFrame) -> int:
+    def write(self, table: str, load: str, rows: DataFrame) -> int:
         """Write the new rows of one table and return how many there are (from the file footers)."""
-        path = self.version_path(table, version)
+        path = self._path(table, load)
         if table == "fact_crime":
             # Rebalancing brings each year together and lets AQE split large years and pack small ones
             # into even files, whatever share of the rows one year holds.  Sorted by day inside, so a
@@ -74,28 +74,30 @@ class Store:
             rows.write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(path)
         else:
             rows.write.mode("overwrite").parquet(path)
-        return self._read(table, [path]).count()
+        return self.loaded(table, [load]).count()
+
+    def _path(self, table: str, load: str) -> str:
+        return f"{self.root}/{table}/version={load}"
 
-    def _read(self, table: str, paths: list[str]) -> DataFrame:
+    def loaded(self, table: str, loads: list[str]) -> DataFrame:
+        """Rows the given loads wrote to a table, committed or not."""
         schema = TABLES[table]
         if table == "fact_crime":
             schema = T.StructType([*schema.fields, T.StructField(FACT_PARTITION, T.IntegerType())])
         # The version folders are partitions of the table folder; their number itself is not needed.
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}")
-        return reader.parquet(*paths).select(*schema.names)
+        return reader.parquet(*[self._path(table, load) for load in loads]).select(*schema.names)
 
-    def table(self, name: str, version: int | None = None) -> DataFrame:
-        """Committed rows of a table, by default of all versions.
+    def table(self, name: str, until: int | None = None) -> DataFrame:
+        """Committed rows of a table, by default of all commits.
 
         The fact carries its storage partition ``occ_year`` as an extra last column.
         """
-        paths = [
-            self.version_path(name, c.version)
-            for c in self.commits()
-            if name in c.rows and (version is None or c.version <= version)
+        loads = [
+            c.load for c in self.commits() if name in c.rows and (until is None or c.number <= until)
         ]
-        if paths:
-            return self._read(name, paths)
+        if loads:
+            return self.loaded(name, loads)
         empty = self.spark.createDataFrame([], TABLES[name])
         return empty.withColumn(FACT_PARTITION, F.year("date_occ")) if name == "fact_crime" else empty
 

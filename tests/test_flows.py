@@ -54,7 +54,7 @@ def test_empty_inputs_stop_before_writing(spark, tmp_path):
 def test_historical_load_reports_and_loads(spark, tmp_path):
     csv = tmp_path / "history.csv"
     csv.write_text(
-        "﻿DR_NO,Date Rptd,DATE OCC,TIME OCC,AREA,Part 1-2,Vict Age,Status,LAT,LON\n"
+        "\ufeffDR_NO,Date Rptd,DATE OCC,TIME OCC,AREA,Part 1-2,Vict Age,Status,LAT,LON\n"
         "1,01/01/2020 12:00:00 AM,01/05/2020 12:00:00 AM,0930,07,2,-4,IC,0,0\n"
         "2,01/09/2020 12:00:00 AM,01/05/2020 12:00:00 AM,NA,08,1,x,,34.1,-118\n")
     store = create_store(spark, str(tmp_path / "w"))

@@ -11,7 +11,7 @@ from caseloom.sources import headers as H
     [
         ("Crm Cd Desc", "crm_cd_desc", "crm_cd_desc", "crmcddesc"),
         (" Part 1-2 ", "_part_1-2_", "part_1_2", "part12"),
-        ("﻿DR_NO", "﻿dr_no", "﻿dr_no", "drno"),
+        ("\ufeffDR_NO", "\ufeffdr_no", "\ufeffdr_no", "drno"),
     ],
 )
 def test_header_rules(raw, basic, snake, alnum):

@@ -141,12 +141,17 @@ def test_every_code_of_the_fact_has_its_member(spark, table, tmp_path):
     assert merge.orphan_counts(store.table("fact_crime"), dims, FOREIGN_KEYS).isEmpty()
 
 
-def test_two_writers_cannot_commit_one_version(spark, tmp_path):
+def test_of_two_writers_the_second_must_repeat(spark, table, tmp_path):
     one, two = Store(spark, str(tmp_path / "w")), Store(spark, str(tmp_path / "w"))
-    one.commit(1, {"dim_area": 1})
+    (number, load), (same, other) = one.new_load(), two.new_load()
+    assert number == same and load != other
+    names = "area_id string, area_name string"
+    kept = one.write("dim_area", load, table(names, [("1", "West")]))
+    lost = two.write("dim_area", other, table(names, [("1", "Other")]))
+    one.commit(number, load, {"dim_area": kept})
     with pytest.raises(Exception, match="[Ee]xist"):
-        two.commit(1, {"dim_area": 2})
-    assert [c.rows for c in two.commits()] == [{"dim_area": 1}]
+        two.commit(same, other, {"dim_area": lost})
+    assert two.table("dim_area").collect() == [("1", "West")]
 
 
 def test_create_store_twice(spark, tmp_path):
