@@ -108,15 +108,14 @@ def date_of(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("date") if kind.startswith(("date", "timestamp")) else dual_format_date(F.col(name))
 
 
+# US spellings tried in this order; the first one is what extracts usually hold.
+US_TIMESTAMPS = ("M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy")
+
+
 def to_timestamp_or_null(text: Column) -> Column:
-    """ISO or US text to timestamp, format chosen per value."""
-    return F.coalesce(
-        F.try_to_timestamp(text),
-        F.try_to_timestamp(text, F.lit("M/d/yyyy h:mm:ss a")),
-        F.try_to_timestamp(text, F.lit("M/d/yyyy H:mm:ss")),
-        F.try_to_timestamp(text, F.lit("M/d/yyyy H:mm")),
-        F.try_to_timestamp(text, F.lit("M/d/yyyy")),
-    )
+    """ISO or US text to timestamp, decided per value, so patterns are only tried where they can fit."""
+    us = F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in US_TIMESTAMPS])
+    return F.when(text.contains("/"), us).otherwise(F.try_to_timestamp(text))
 
 
 def hour_of_code(time_code: Column) -> Column:
