@@ -250,7 +250,7 @@ class TrieEncoder:
             self._inner_ends.clear()
             self._final_ends.clear()
         kept = self._chunks
-        new = {c: None for found in parts for p in found if isinstance(p, list) for c in p if c not in kept}
+        new = set().union(*(p for found in parts for p in found if isinstance(p, list))).difference(kept)
         cut = {c: self._split(c) for c in new}
         self._encode_words({w for words in cut.values() for w in words if w not in self._words})
         for chunk, words in cut.items():
@@ -302,7 +302,7 @@ def encode_documents(documents: DataFrame, vocabulary_path: str, id_column: str
     return map_batches(rows, run, f"id {kind}, ids array<int>, decoded string")
 
 
-def by_size(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def by_size(batch: pa.RecordBatch, column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part holds about ``most`` bytes of text: what a task holds follows bytes, not rows."""
     import pyarrow.compute as pc
 

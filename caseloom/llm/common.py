@@ -10,10 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from caseloom.session import ship_package, work_path
+from caseloom.sources import files
 
 # Rows Spark hands to a Python task at once.  Texts differ in length a thousandfold, so the default of 10,000
 # rows could be gigabytes; this keeps a batch at a few MB of ordinary documents.
-BATCH_ROWS = 1024
+BATCH_ROWS = 2048
 
 Arrays = dict[str, object]
 
@@ -26,11 +27,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: computed once, and safe when executors are lost."""
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     # Spark deletes the shuffle files of finished steps when the driver collects its garbage; it rarely has to by itself
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that only finished steps have read."""
+    for df in tables:
+        files.delete(df.sparkSession, df.stored_at)
 
 
 def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.llm.bpe import by_size
-from caseloom.llm.common import map_batches, mix, stored
+from caseloom.llm.common import discard, map_batches, mix, stored
 
 LENGTH = 50
 GRAM = 16
@@ -335,7 +335,8 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     long = docs.where(F.octet_length("text") >= length)
     anchors = stored(_anchors(long, length), "anchors")
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
-    per_doc = anchors.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared"))
+    per_doc = stored(anchors.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared")), "shared")
+    discard(anchors)
     contexts = stored(
         _contexts(long.join(per_doc, "doc_id").select("doc_id", "text", "shared"), length).withColumn("name", F.xxhash64("context")),
         "contexts",
@@ -344,11 +345,13 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     distinct = contexts.groupBy("anchor", "name", "context").agg(F.min("doc_id").alias("doc_id"))
     distinct = stored(distinct, "distinct_contexts")
     hot = distinct.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > SHARD_CONTEXTS)
-    hot = hot.select("anchor", F.ceil(F.col("n") / SHARD_CONTEXTS).cast("int").alias("parts"))
+    # stored first: Spark then knows its size, and moves the contexts for this join only if it is too large to broadcast
+    hot = stored(hot.select("anchor", F.ceil(F.col("n") / SHARD_CONTEXTS).cast("int").alias("parts")), "hot_anchors")
     split = distinct.join(hot, "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     split = split.withColumn("part", F.pmod(F.xxhash64("name"), "parts").cast("int"))
     split = split.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
-    verdicts = stored(_shards(split.select("anchor", "part", "parts", "name", "context", "doc_id"), length), "verdicts")
+    written = verdicts = stored(_shards(split.select("anchor", "part", "parts", "name", "context", "doc_id"), length), "verdicts")
+    discard(distinct, per_doc)
     merged = _merge(verdicts.where("string is not null"), length)
     verdicts = verdicts.where("string is null").drop("string", "part", "parts").unionByName(merged)
 
@@ -358,7 +361,9 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     pieces = pieces.where(F.col("run.docs") < F.col("doc_id"))
     begin = F.col("start") + F.col("run.offsets")
     span = F.struct(begin.alias("start"), (begin + F.col("run.counts") - 1 + length).alias("end"))
-    return stored(pieces.select("doc_id", span.alias("span")).groupBy("doc_id").agg(F.collect_set("span").alias("spans")), "spans")
+    spans = stored(pieces.select("doc_id", span.alias("span")).groupBy("doc_id").agg(F.collect_set("span").alias("spans")), "spans")
+    discard(contexts, written)
+    return spans
 
 
 def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
