@@ -335,8 +335,9 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     long = docs.where(F.octet_length("text") >= length)
     anchors = stored(_anchors(long, length), "anchors")
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
+    shared = stored(shared, "shared_anchors")
     per_doc = stored(anchors.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared")), "shared")
-    discard(anchors)
+    discard(anchors, shared)
     contexts = stored(
         _contexts(long.join(per_doc, "doc_id").select("doc_id", "text", "shared"), length).withColumn("name", F.xxhash64("context")),
         "contexts",
