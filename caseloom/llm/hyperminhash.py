@@ -33,7 +33,8 @@ from caseloom.llm.components import connected_components
 REGISTERS = 128
 MANTISSA = 10
 BANDS, ROWS = 32, 4
-SURE_FROM = 256  # set size from which the estimate's error is that of independent registers
+SURE_FROM, SMALL_FROM = 256, 32  # set sizes from which registers are independent, and from which they say anything
+SMALL_LOWEST = 0.5  # lowest estimate for sets between the two
 MARGIN = 5.0  # standard deviations
 BLOCK = 512  # members of a bucket in one block
 # chance that two unequal registers coincide: sum over leading zeros of 4**-z / 2**(MANTISSA + 2), about
@@ -82,6 +83,12 @@ def lowest_estimate(similarity: float) -> float:
     return similarity - MARGIN * np.sqrt(similarity * (1 - similarity) / REGISTERS)
 
 
+def may_link(guess: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """Is the estimate high enough for a pair whose smaller set has this size?"""
+    least = np.where(sizes >= SURE_FROM, lowest_estimate(similarity), np.where(sizes >= SMALL_FROM, SMALL_LOWEST, 0.0))
+    return guess >= least
+
+
 def band_keys(registers: np.ndarray) -> np.ndarray:
     """One 64-bit key per band, of its ROWS 16-bit registers."""
     return mix(registers.reshape(BANDS, ROWS).astype("<u2").view("<u8")[:, 0] + np.arange(BANDS, dtype=np.uint64))
@@ -144,7 +151,6 @@ def _gated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     other = classes.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("registers").alias("rb"))
     rows = pairs.join(own, "a").join(other, "b")
     rows = rows.where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))).select("a", "b", "na", "nb", "ra", "rb")
-    lowest = lowest_estimate(percent / 100)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,8 +158,7 @@ def _gated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 continue
             ra, rb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS) for c in ("ra", "rb"))
             guess = estimate((ra == rb).sum(1))
-            small = np.minimum(batch.column("na").to_numpy(), batch.column("nb").to_numpy()) < SURE_FROM
-            kept = pa.array((guess >= lowest) | small)
+            kept = pa.array(may_link(guess, np.minimum(batch.column("na").to_numpy(), batch.column("nb").to_numpy()), percent / 100))
             out = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(guess)], names=["a", "b", "guess"])
             yield out.filter(kept)
 
@@ -184,7 +189,6 @@ def _left_over(members: DataFrame, classes: DataFrame, components: DataFrame, pe
     inside = rows.join(others, ["band", "key"])
     fields = ["band", "key", "other", "block", "id", "n", "component", "registers"]
     outside, inside = outside.select(*fields), inside.select(*(F.col(f).alias(f) for f in fields))
-    lowest = lowest_estimate(percent / 100)
     keys = ["band", "key", "other", "block"]
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -192,10 +196,18 @@ def _left_over(members: DataFrame, classes: DataFrame, components: DataFrame, pe
         if len(left) and len(right):
             registers = np.frombuffer(b"".join(right["registers"]), "<u2").reshape(-1, REGISTERS)
             ids, sizes, parts = (right[c].to_numpy() for c in ("id", "n", "component"))
+            # a pair that shares several bands is looked at in the first of them only
+            band = int(left["band"].iloc[0])
+            before = np.ascontiguousarray(registers[:, : band * ROWS]).view("<u8") if band else None
             for i, n, part, own in zip(left["id"], left["n"], left["component"], left["registers"]):
-                guess = estimate((registers == np.frombuffer(own, "<u2")).sum(1))
-                fit = 100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)
-                hit = ids[(parts != part) & fit & ((guess >= lowest) | (np.minimum(sizes, n) < SURE_FROM))]
+                own = np.frombuffer(own, "<u2")
+                rows = np.flatnonzero((parts != part) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)))
+                if band and rows.size:
+                    rows = rows[~(before[rows] == own[: band * ROWS].view("<u8")).any(1)]
+                if not rows.size:
+                    continue
+                guess = estimate((registers[rows] == own).sum(1))
+                hit = ids[rows[may_link(guess, np.minimum(sizes[rows], n), percent / 100)]]
                 found[0].append(np.maximum(hit, i))
                 found[1].append(np.minimum(hit, i))
         return pd.DataFrame({"a": np.concatenate(found[0]) if found[0] else np.empty(0, np.int64), "b": np.concatenate(found[1]) if found[1] else np.empty(0, np.int64)})

@@ -133,9 +133,8 @@ def suffix_array(raw: np.ndarray) -> np.ndarray:
     keys = eight[order]
     start = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     size = np.diff(np.concatenate((start, [n])))
-    group = np.empty(n + 1, np.int64)
+    group = np.empty(n, np.int64)
     group[order] = np.repeat(start, size)
-    group[n] = -1
     reach = 8
     while True:
         open_groups = size > 1
@@ -145,7 +144,9 @@ def suffix_array(raw: np.ndarray) -> np.ndarray:
         first = np.concatenate(([0], np.cumsum(size[open_groups])[:-1]))
         slots = place + np.arange(len(place)) - np.repeat(first, size[open_groups])
         members = order[slots]
-        key = (place << 32) | (group[np.minimum(members + reach, n)] + 1)
+        # a suffix that ends before is the start of the others in its group, and comes first; of two the shorter
+        ahead = np.where(members + reach < n, group[np.minimum(members + reach, n - 1)] + n + 1, n - members)
+        key = (place << 32) | ahead
         sorting = np.argsort(key)
         members, key = members[sorting], key[sorting]
         order[slots] = members
