@@ -93,13 +93,14 @@ def cap(number: Column, limit: float) -> Column:
 
 # ---------------------------------------------------------------- dates and times
 def dual_format_date(text: Column) -> Column:
-    """'M/d/yyyy ...' or 'yyyy-MM-dd...' to date; unreadable text becomes NULL."""
+    """'M/d/yyyy ...' or 'yyyy-MM-dd[T ]...' to date, whatever blanks stand around; unreadable text becomes NULL."""
+    text = F.trim(text)
     token = F.substring_index(text, " ", 1)
     month, day = F.substring_index(token, "/", 1), F.substring_index(F.substring_index(token, "/", 2), "/", -1)
     # Rearranged to y-M-d and cast: much cheaper than a pattern parser, same one- or two-digit rule.
     rearranged = F.concat_ws("-", F.substring_index(token, "/", -1), month, day).try_cast("date")
     us = F.when(F.substring_index(token, "/", 3) == token, rearranged)
-    return F.when(text.contains("/"), us).otherwise(F.substring(text, 1, 10).try_cast("date"))
+    return F.when(text.contains("/"), us).otherwise(F.substring_index(token, "T", 1).try_cast("date"))
 
 
 def date_of(df: DataFrame, name: str) -> Column:

@@ -22,13 +22,13 @@ def top_label(counts: DataFrame, label: str) -> DataFrame:
 
 
 def latest_per_group(rows: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str] = ()) -> DataFrame:
-    """The newest row of each group.
+    """The newest row of each group; rows without a time are older than all others.
 
     An aggregate rather than a window: every task keeps one candidate per group before the shuffle.
     """
     rest = [c for c in rows.columns if c not in (*keys, order, *ties)]
     newest = F.max(F.struct(order, *ties, *rest)).alias("newest")
-    found = rows.where(F.col(order).isNotNull()).groupBy(*keys).agg(newest)
+    found = rows.groupBy(*keys).agg(newest)  # NULL is the smallest value of a struct's field
     return found.select(*[F.col(c) if c in keys else F.col(f"newest.{c}") for c in rows.columns])
 
 

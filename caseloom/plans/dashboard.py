@@ -73,14 +73,13 @@ def kpi_texts(row: DataFrame) -> DataFrame:
 def map_points(
     star: Star, chosen: StarFilter, percent: int = 10, seed: int | None = None, repeatable: bool = False
 ) -> DataFrame:
-    """(lat, lon, area_name, crm_cd_desc) of a sample taken from the fact before anything is joined."""
-    sampled = (
-        hash_sample(star.fact, "dr_no", percent)
-        if repeatable
-        else bernoulli_sample(star.fact, percent / 100, seed)
-    )
-    points = mapped_points(filtered_fact(_with_fact(star, sampled), chosen))
-    return with_labels(star, points, ["area", "crime"]).select("lat", "lon", "area_name", "crm_cd_desc")
+    """(lat, lon, area_name, crm_cd_desc) of a sample of the facts that pass the filter, taken before labels are joined.
+
+    A row's luck does not depend on the filter, so sampling after it gives the same sample and lets the scan skip years.
+    """
+    points = mapped_points(filtered_fact(star, chosen))
+    sampled = hash_sample(points, "dr_no", percent) if repeatable else bernoulli_sample(points, percent / 100, seed)
+    return with_labels(star, sampled, ["area", "crime"]).select("lat", "lon", "area_name", "crm_cd_desc")
 
 
 def trend(star: Star, chosen: StarFilter, window: int = 7) -> DataFrame:
@@ -143,7 +142,3 @@ def champion(latest: DataFrame) -> DataFrame:
     """The model with the lowest error (mae, then rmse, then name); unscored models cannot win."""
     scored = latest.where("mae IS NOT NULL AND rmse IS NOT NULL")
     return scored.agg(F.min_by("model_name", F.struct("mae", "rmse", "model_name")).alias("champion"))
-
-
-def _with_fact(star: Star, fact: DataFrame) -> Star:
-    return Star(fact, star.area, star.crime, star.weapon, star.premise, star.status)

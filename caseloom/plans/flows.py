@@ -65,8 +65,9 @@ def daily_load(spark: SparkSession, lake_path: str, staging_path: str, store: St
     newest = lake.latest_object(spark, lake_path)
     if newest is None:
         raise lake.EmptyInput(f"{lake_path} is empty")
+    version = lake.content_version(spark, newest)  # before reading: a file that changes meanwhile is loaded again
     staging = lake.replace_table(daily_staging(lake.read_lake(spark, newest)), staging_path)
-    return merge_staging(store, staging, batch=newest)
+    return merge_staging(store, staging, batch=version)
 
 
 @dataclass(frozen=True)
@@ -79,10 +80,12 @@ def historical_load(
     spark: SparkSession, csv_path: str, staging_path: str, store: Store, lexical: bool = False
 ) -> HistoricalResult:
     """Bulk CSV -> staging -> checks -> star schema.  Violations are reported, never blocking."""
+    version = lake.content_version(spark, csv_path)
     lake.replace_table(historical_staging(lake.read_csv(spark, csv_path)), staging_path)
     staging = quality.require_staging(spark, staging_path)
-    report = quality.quality_report(staging, lexical)
-    return HistoricalResult(merge_staging(store, staging, batch=csv_path), report)
+    found = quality.quality_report(staging, lexical)
+    report = spark.createDataFrame(found.collect(), found.schema)  # three rows; the next load overwrites staging
+    return HistoricalResult(merge_staging(store, staging, batch=version), report)
 
 
 def research_load(

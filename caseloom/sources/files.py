@@ -39,14 +39,15 @@ def read_small_text(spark: SparkSession, text: str) -> str:
         stream.close()
 
 
-def first_character(spark: SparkSession, text: str, window: int = 64) -> str:
-    """First non-blank character of a file, '' when its first bytes are blank."""
-    stream = filesystem(spark, text).open(_path(spark, text))
+def first_character(spark: SparkSession, text: str) -> str:
+    """First character of a file that is no blank, unpacked by its codec; '' when there is none."""
+    path = _path(spark, text)
+    stream = filesystem(spark, text).open(path)
+    codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(path)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
     try:
-        for _ in range(window):
-            byte = stream.read()
-            if byte < 0:
-                return ""
+        while (byte := stream.read()) >= 0:
             if byte < 128 and not chr(byte).isspace():
                 return chr(byte)
         return ""

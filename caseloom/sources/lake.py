@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,29 +61,34 @@ def _data_files(spark: SparkSession, path: str) -> list[str]:
     return [path]
 
 
-def format_of(spark: SparkSession, path: str) -> str:
-    """'csv', 'json_array' or 'json_lines', by extension and, for JSON, by the first character."""
-    data = _data_files(spark, path)
-    if not data:
-        raise EmptyInput(f"{path} holds no files")
-    bare = data[0].lower()
+def format_of(spark: SparkSession, file: str) -> str:
+    """'csv', 'json_array' or 'json_lines' of one file: by its ending and, for JSON, by its first character that is no blank."""
+    bare = file.lower()
     for suffix in (".gz", ".bz2", ".zst"):
         bare = bare.removesuffix(suffix)
     if bare.endswith(".csv"):
         return "csv"
-    if bare != data[0].lower():  # compressed: the first byte says nothing about the text
-        return "json_lines"
-    return "json_array" if files.first_character(spark, data[0]) == "[" else "json_lines"
+    return "json_array" if files.first_character(spark, file) == "[" else "json_lines"
 
 
 def read_lake(
     spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | None = None
 ) -> DataFrame:
-    """One lake object (a file, or a folder of part files), format chosen by its name."""
-    fmt = fmt or format_of(spark, path)
-    if fmt == "csv":
-        return read_csv(spark, path)
-    return read_json(spark, path, schema, array=fmt == "json_array")
+    """One lake object (a file, or a folder of part files).  Each file is read in its own format, and columns are matched by
+    name.  JSON that cannot be read stops the load instead of becoming rows of NULL."""
+    data = _data_files(spark, path)
+    if not data:
+        raise EmptyInput(f"{path} holds no files")
+    kinds: dict[str, list[str]] = {}
+    for file in data:
+        kinds.setdefault(fmt or format_of(spark, file), []).append(file)
+    frames = []
+    for kind, members in sorted(kinds.items()):
+        df = read_csv(spark, members) if kind == "csv" else read_json(spark, members, schema, array=kind == "json_array")
+        if "_corrupt_record" in df.columns:
+            raise ValueError(f"{path} holds {kind} files with text that is no JSON record")
+        frames.append(df)
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
 
 
 def csv_header(
@@ -133,6 +139,16 @@ def preferred_object(spark: SparkSession, lake: str, name: str) -> str:
     return found
 
 
+def content_version(spark: SparkSession, path: str) -> str:
+    """Name of what a file or folder holds now: its path with the times and sizes of all its files.
+
+    A file rewritten at the same path has another version; the same files always have the same."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    seen = F.sum(F.xxhash64("path", "modificationTime", "length").cast("decimal(38,0)"))
+    files_seen, total = listing.agg(F.count("*"), seen).first()
+    return f"{path}@{files_seen}:{total}"
+
+
 # ---------------------------------------------------------------- writing
 def latest_records(records: DataFrame, order: str = "date_occ", n: int = 2000) -> DataFrame:
     """The newest ``n`` records; a top-n, so only n rows per task ever leave the scan."""

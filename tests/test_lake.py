@@ -87,3 +87,20 @@ def test_replace_table(spark, table, tmp_path):
     path = str(tmp_path / "staging")
     lake.replace_table(table("a string", [("1",), ("2",)]), path)
     assert lake.replace_table(table("b int", [(3,)]), path).collect() == [(3,)]
+
+
+def test_each_file_is_read_in_its_own_format(spark, tmp_path):
+    import gzip
+
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.csv").write_text("dr_no,area\n1,x\n")
+    (folder / "b.json").write_text(" " * 100 + "\n[\n {\"dr_no\": 2, \"area\": \"y\"}\n]\n")
+    (folder / "c.json").write_text('{"dr_no": 3}\n{"dr_no": 4, "lat": 1.5}\n')
+    with gzip.open(folder / "d.json.gz", "wt") as f:
+        f.write('\n  [{"dr_no": 5},\n {"dr_no": 6}]')
+    rows = lake.read_lake(spark, str(folder))
+    assert sorted(r["dr_no"] for r in rows.collect()) == list("123456")
+    (folder / "e.json").write_text("this is no record\n")
+    with pytest.raises(ValueError):
+        lake.read_lake(spark, str(folder))

@@ -42,6 +42,8 @@ def test_dual_format_dates(spark):
     ]
     eighth = date(2020, 1, 8)
     assert apply(spark, X.dual_format_date, texts) == [eighth] * 4 + [None] * 6
+    padded = [" 2020-01-08", "  01/08/2020 ", " 1/8/2020 12:00:00 AM", "2020-01-08 10:00:00", "2020-01-08x", " "]
+    assert apply(spark, X.dual_format_date, padded) == [eighth] * 4 + [None] * 2
 
 
 def test_timestamps_of_mixed_formats(spark):

@@ -127,3 +127,7 @@ def test_latest_per_group(table):
     latest = ranking.latest_per_group(rows, ["model_name"], "created_at")
     assert sorted((r["model_name"], r["mae"]) for r in latest.collect()) == [("a", 5.0), ("b", 2.0)]
     assert latest.columns == rows.columns
+    timeless = table("model_name string, created_at timestamp, mae double",
+                     [("a", None, 9.0), ("a", datetime(2024, 1, 1), 1.0), ("c", None, 3.0)])
+    latest = ranking.latest_per_group(timeless, ["model_name"], "created_at")
+    assert sorted((r["model_name"], r["mae"]) for r in latest.collect()) == [("a", 1.0), ("c", 3.0)]
