@@ -11,9 +11,11 @@
 * **Verification** on the full sets, and components of the verified links.
 
 Buckets never expand into pairs.  First every class is compared with the smallest class of each of its buckets.  Where all
-members of a bucket are then in one component, nothing is left to find.  Elsewhere the members outside the bucket's largest
-component meet the bucket in blocks of bounded size, and only pairs of different components whose estimate passes are kept.
-So no candidate link is lost, and a bucket costs its size times the number of its outsiders.
+members of a bucket are then in one component, nothing is left to find.  The other buckets are filed in groups; the members
+outside a group's largest component meet the group in blocks of bounded size, with their full sets, and verification happens
+there: a pair that shares a band and whose estimate passes is verified at once, and only links that join two components leave
+the task.  So no candidate link is lost, nothing grows with the number of pairs but arithmetic, and a group costs its size times
+the number of its outsiders.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from caseloom.llm.bpe import by_size
 from caseloom.llm.common import map_batches, mix, stored, window_hashes, word_hashes
 from caseloom.llm.components import connected_components
+from caseloom.session import ship_package
 
 REGISTERS = 128
 MANTISSA = 10
@@ -36,7 +39,7 @@ BANDS, ROWS = 32, 4
 SURE_FROM, SMALL_FROM = 256, 32  # set sizes from which registers are independent, and from which they say anything
 SMALL_LOWEST = 0.5  # lowest estimate for sets between the two
 MARGIN = 5.0  # standard deviations
-BLOCK = 512  # members of a bucket in one block
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20  # members of a group in one block, and about how many shingles they have together
 # chance that two unequal registers coincide: sum over leading zeros of 4**-z / 2**(MANTISSA + 2), about
 COLLISION = (1 / 3) / 2**MANTISSA
 
@@ -171,49 +174,89 @@ def _labelled(rows: DataFrame, components: DataFrame, column: str, name: str) ->
     return rows.join(c, column, "left").withColumn(name, F.coalesce("_c", column)).drop("_c")
 
 
-def _left_over(members: DataFrame, classes: DataFrame, components: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share a bucket and may be links; ``members``: band, key, id."""
+def _open_groups(members: DataFrame, classes: DataFrame, components: DataFrame) -> DataFrame:
+    """(group, id, component, n, registers): members of the buckets that hold more than one component.
+
+    One group of near copies shares many buckets.  A bucket is filed under the smallest class that any of its members shares a
+    bucket with, so these buckets mostly fall together and their members are compared once instead of once per band.
+    """
     rows = _labelled(members, components, "id", "component")
-    parts = rows.groupBy("band", "key", "component").agg(F.count("*").alias("n"))
-    buckets = parts.groupBy("band", "key").agg(
-        F.count("*").alias("components"), F.sum("n").alias("size"), F.max(F.struct("n", "component"))["component"].alias("main")
+    still_open = rows.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    rows = rows.join(still_open.where("low < high").select("band", "key"), ["band", "key"])
+    rows = stored(rows.select("band", "key", "id", "component", "least"), "open_buckets")
+    nearest = rows.groupBy("id").agg(F.min("least").alias("near"))
+    group = rows.join(nearest, "id").groupBy("band", "key").agg(F.min("near").alias("group"))
+    rows = rows.join(group, ["band", "key"]).select("group", "id", "component").distinct()
+    return stored(rows.join(classes.select("id", "n", "registers"), "id"), "open_groups")
+
+
+def _tile_links(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> tuple[list[int], list[int]]:
+    """Verified links between the rows of two blocks, as a forest over their components: no more links than rows."""
+    found: tuple[list[int], list[int]] = ([], [])
+    if not len(left) or not len(right):
+        return found
+    ids, sizes, parts, main = (right[c].to_numpy() for c in ("id", "n", "component", "main"))
+    registers = np.frombuffer(b"".join(right["registers"]), "<u2").reshape(-1, REGISTERS)
+    bands = registers.view("<u8")
+    own = np.frombuffer(b"".join(left["registers"]), "<u2").reshape(-1, REGISTERS)
+    shingles = np.concatenate(list(right["shingles"]))
+    begin = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    names, codes = np.unique(shingles, return_inverse=True)
+    hit = np.zeros(len(names) + 1, bool)
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = root.get(up, up)
+            x = root[x]
+        return x
+
+    for k, (i, n, part, mine) in enumerate(zip(left["id"], left["n"], left["component"], left["shingles"])):
+        # two outsiders meet in both orders and are looked at in one
+        rows = np.flatnonzero((parts != part) & ((ids < i) | (parts == main)) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)))
+        rows = rows[(bands[rows] == own[k].view("<u8")).any(1)] if rows.size else rows
+        rows = rows[may_link(estimate((registers[rows] == own[k]).sum(1)), np.minimum(sizes[rows], n), percent / 100)] if rows.size else rows
+        if not rows.size:
+            continue
+        at = np.searchsorted(names, mine)
+        at = at[names[np.minimum(at, len(names) - 1)] == mine]
+        hit[at] = True
+        if rows.size * 4 < len(ids):
+            common = np.array([np.count_nonzero(hit[codes[begin[r] : begin[r] + sizes[r]]]) for r in rows])
+        else:
+            common = np.add.reduceat(hit[codes].astype(np.int64), begin)[rows]
+        hit[at] = False
+        for r in rows[100 * common >= percent * (sizes[rows] + n - common)]:
+            x, y = top(int(part)), top(int(parts[r]))
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                found[0].append(int(i))
+                found[1].append(int(ids[r]))
+    return found
+
+
+def _left_over(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Verified links (a, b) between different components of a group; ``rows`` of ``_open_groups``, ``sets`` of all their ids."""
+    parts = rows.groupBy("group", "component").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
+    groups = parts.groupBy("group").agg(
+        F.max(F.struct("rows", "component"))["component"].alias("main"), F.sum("rows").alias("rows"), F.sum("shingles").alias("shingles")
     )
-    buckets = buckets.where("components > 1").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    rows = rows.join(buckets.select("band", "key", "main", "blocks"), ["band", "key"])
-    rows = rows.join(classes.select("id", "n", "registers"), "id").withColumn("block", F.pmod(F.hash("id", "key"), "blocks"))
-    rows = stored(rows, "open_buckets")
-    # outsiders meet every block of their bucket; they come in blocks of bounded size themselves
+    blocks = F.greatest(F.ceil(F.col("rows") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    rows = rows.join(groups.select("group", "main", blocks.alias("blocks")), "group").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    # outsiders meet every block of their group; they come in blocks of bounded size themselves
     outside = rows.where("component <> main").withColumnRenamed("block", "other")
-    others = outside.select("band", "key", "other").distinct()
+    others = outside.select("group", "other").distinct()
     outside = outside.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    inside = rows.join(others, ["band", "key"])
-    fields = ["band", "key", "other", "block", "id", "n", "component", "registers"]
-    outside, inside = outside.select(*fields), inside.select(*(F.col(f).alias(f) for f in fields))
-    keys = ["band", "key", "other", "block"]
+    inside = rows.join(others, "group")
+    fields = ["group", "other", "block", "id", "n", "component", "main", "registers", "shingles"]
+    outside, inside = (side.join(sets, "id").select(*(F.col(f).alias(f) for f in fields)) for side in (outside, inside))
+    keys = ["group", "other", "block"]
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found: tuple[list, list] = ([], [])
-        if len(left) and len(right):
-            registers = np.frombuffer(b"".join(right["registers"]), "<u2").reshape(-1, REGISTERS)
-            ids, sizes, parts = (right[c].to_numpy() for c in ("id", "n", "component"))
-            # a pair that shares several bands is looked at in the first of them only
-            band = int(left["band"].iloc[0])
-            before = np.ascontiguousarray(registers[:, : band * ROWS]).view("<u8") if band else None
-            for i, n, part, own in zip(left["id"], left["n"], left["component"], left["registers"]):
-                own = np.frombuffer(own, "<u2")
-                rows = np.flatnonzero((parts != part) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)))
-                if band and rows.size:
-                    rows = rows[~(before[rows] == own[: band * ROWS].view("<u8")).any(1)]
-                if not rows.size:
-                    continue
-                guess = estimate((registers[rows] == own).sum(1))
-                hit = ids[rows[may_link(guess, np.minimum(sizes[rows], n), percent / 100)]]
-                found[0].append(np.maximum(hit, i))
-                found[1].append(np.minimum(hit, i))
-        return pd.DataFrame({"a": np.concatenate(found[0]) if found[0] else np.empty(0, np.int64), "b": np.concatenate(found[1]) if found[1] else np.empty(0, np.int64)})
-
-    pairs = outside.groupBy(*keys).cogroup(inside.groupBy(*keys)).applyInPandas(meet, "a long, b long")
-    return pairs.distinct()
+        return pd.DataFrame(dict(zip("ab", (np.array(x, np.int64) for x in _tile_links(left, right, percent)))))
+
+    ship_package(rows.sparkSession)
+    return outside.groupBy(*keys).cogroup(inside.groupBy(*keys)).applyInPandas(meet, "a long, b long")
 
 
 def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -246,19 +289,11 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) ->
     links = stored(_verified(nearest, full, percent), "nearest_links")
     components = connected_components(links)
 
-    def apart(pairs: DataFrame) -> DataFrame:
-        both = _labelled(_labelled(pairs.select("a", "b"), components, "a", "ca"), components, "b", "cb")
-        return both.where("ca <> cb").select("a", "b")
-
-    members = members.select("band", "key", "id")
-    rest = apart(stars.join(nearest, ["a", "b"], "left_anti"))
-    rest = rest.unionByName(_left_over(members, classes, components, percent).join(stars.select("a", "b"), ["a", "b"], "left_anti"))
-    rest = stored(rest, "rest")
-    if not rest.isEmpty():
-        more = rest.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        more = more.join(full.select(F.col("id").alias("doc_id")), "doc_id", "left_anti")
+    left = _open_groups(members, classes, components)
+    if not left.isEmpty():
+        more = left.select(F.col("id").alias("doc_id")).distinct().join(full.select(F.col("id").alias("doc_id")), "doc_id", "left_anti")
         full = full.unionByName(stored(_sets(documents, more, width), "more_sets"))
-        found = stored(_verified(rest, full, percent), "rest_links")
+        found = stored(_left_over(left, full, percent), "rest_links")
         if not found.isEmpty():
             components = connected_components(links.unionByName(found))
 
