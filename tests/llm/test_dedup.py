@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from caseloom.llm import hyperminhash, suffix_dedup
@@ -135,3 +136,32 @@ def test_suffix_array_and_prefixes():
         a, b = text[order[k - 1] :], text[order[k] :]
         want = next((n for n in range(12) if a[n : n + 1] != b[n : n + 1] or n >= min(len(a), len(b))), 12)
         assert got[k] == want
+
+
+def test_blocks_link_what_brute_force_links():
+    """Blocks of near copies around the threshold: the forest joins exactly the components of all links."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 63, 120, dtype=np.uint64)
+    rows = []
+    for i in range(60):
+        own = base.copy()
+        changed = rng.choice(len(own), rng.integers(0, 12), replace=False)
+        own[changed] = rng.integers(0, 1 << 63, len(changed), dtype=np.uint64)
+        s = np.unique(own)
+        rows.append((i, len(s), i, 0, hyperminhash.sketch(s).astype("<u2").tobytes(), s.view(np.int64)))
+    rows = pd.DataFrame(rows, columns=["id", "n", "component", "main", "registers", "shingles"])
+    rows = rows.sample(frac=1, random_state=1).reset_index(drop=True)
+
+    def parts(links):
+        root = list(range(len(rows)))
+        for a, b in links:
+            root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+        return root
+
+    sets = {i: set(s.tolist()) for i, s in zip(rows["id"], rows["shingles"])}
+    linked = {(a, b) for a in sets for b in sets if b < a and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    assert 0 < len(linked) < len(sets) * (len(sets) - 1) / 2
+    found = list(zip(*hyperminhash._tile_links(rows[rows["component"] != 0], rows, 85)))
+    assert set(found) <= linked and len(found) < len(sets)
+    assert parts(found) == parts(linked)
+    assert hyperminhash._tile_links(rows[:0], rows, 85) == ([], [])
