@@ -72,6 +72,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values: a plain sort, which for numbers beats the hash table behind ``np.unique``."""
+    values = np.sort(values)
+    return values[np.concatenate(([True], values[1:] != values[:-1]))] if values.size else values
+
+
 def _powers(n: int) -> np.ndarray:
     base = np.full(n, np.uint64(0xD6E8FEB86659FD93))
     base[0] = 1

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.llm.bpe import by_size
-from caseloom.llm.common import discard, map_batches, mix, stored
+from caseloom.llm.common import discard, distinct, map_batches, mix, stored
 
 LENGTH = 50
 GRAM = 16
@@ -35,51 +35,40 @@ SHARD_BYTES = 4 << 20
 SHARD_CONTEXTS = 512  # contexts of one anchor in one shard
 _FAR = np.iinfo(np.int64).max
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+_UPPER, _LOWER = np.uint64(0xFFFFFFFF00000000), np.uint64(0x00000000FFFFFFFF)
 
 
 # ---------------------------------------------------------------- anchors
 def packed(raw: np.ndarray) -> np.ndarray:
     """The eight bytes from each position on as one number, so that numbers sort like bytes (zeros after the end)."""
     padded = np.concatenate((raw, np.zeros(8, np.uint8)))
-    out = np.zeros(len(raw), np.uint64)
-    for k in range(8):
-        out |= padded[k : k + len(raw)].astype(np.uint64) << np.uint64(8 * (7 - k))
-    return out
+    return np.ndarray(len(raw), ">u8", padded, strides=(1,)).astype(np.uint64)
 
 
-def _slide(values: np.ndarray, width: int, pick) -> np.ndarray:
-    """Minimum or maximum of every ``width`` neighbours."""
+def _slide(values: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of every ``width`` neighbours."""
     step = 1
     while 2 * step <= width:
-        values = pick(values[:-step], values[step:])
+        values = np.minimum(values[:-step], values[step:])
         step *= 2
-    return pick(values[: len(values) - (width - step)], values[width - step :]) if step < width else values
+    return np.minimum(values[: len(values) - (width - step)], values[width - step :]) if step < width else values
 
 
 def window_anchors(raw: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First and last window of each run of windows with one anchor place, and the anchor's hash."""
     if len(raw) < length:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
-    width = length - GRAM + 1
-    eight = packed(raw)
     n = len(raw) - GRAM + 1
-    h = eight[:n] * _M1
-    h ^= h >> np.uint64(29)
-    h += eight[GRAM - 8 : GRAM - 8 + n]
-    h *= _M2
-    h ^= h >> np.uint64(32)
-    least = _slide(h, width, np.minimum)
-    edge = np.zeros(width - 1, np.uint64)
-    chosen = np.flatnonzero(_slide(np.concatenate((edge, least, edge)), width, np.maximum) == h)
-    windows = np.arange(len(least))
-    at = np.searchsorted(chosen, windows)
-    wrong = np.flatnonzero(h[chosen[at]] != least)
-    while wrong.size:
-        at[wrong] += 1
-        wrong = wrong[h[chosen[at[wrong]]] != least[wrong]]
-    first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    low = np.ndarray(n, "<u8", raw, strides=(1,)) * _M1
+    low ^= low >> np.uint64(29)
+    low += np.ndarray(n, "<u8", raw, offset=GRAM - 8, strides=(1,))
+    low *= _M2
+    # the upper half of the hash with the place below it: the smallest of a window names its leftmost place
+    placed = (low & _UPPER) | np.arange(n, dtype=np.uint64)
+    least = _slide(placed, length - GRAM + 1)
+    first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
     last = np.concatenate((first[1:] - 1, [len(least) - 1]))
-    return first, last, mix(least[first])
+    return first, last, mix(low[(least[first] & _LOWER).astype(np.int64)])
 
 
 def _bytes(text: str | None) -> np.ndarray:
@@ -90,7 +79,7 @@ def _anchors(documents: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in by_size(batch, 1):
-                found = [np.unique(window_anchors(_bytes(t.as_py()), length)[2]) for t in part.column(1)]
+                found = [distinct(window_anchors(_bytes(t.as_py()), length)[2]) for t in part.column(1)]
                 docs = np.repeat(part.column(0).to_numpy(), [len(f) for f in found])
                 hashes = np.concatenate(found).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(hashes)], names=["doc_id", "anchor"])
