@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.llm.bpe import by_size
-from caseloom.llm.common import map_batches, mix, stored, window_hashes, word_hashes
+from caseloom.llm.common import distinct, map_batches, mix, stored, window_hashes, word_hashes
 from caseloom.llm.components import connected_components
 from caseloom.session import ship_package
 
@@ -52,7 +52,7 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     words = word_hashes((text or "").encode())
     if not words.size:
         return words
-    return np.unique(window_hashes(words, min(width, len(words))) + np.uint64(min(width, len(words))))
+    return distinct(window_hashes(words, min(width, len(words))) + np.uint64(min(width, len(words))))
 
 
 def _compressed(values: np.ndarray) -> np.ndarray:
@@ -66,13 +66,15 @@ def _compressed(values: np.ndarray) -> np.ndarray:
 def sketch(shingles: np.ndarray) -> np.ndarray:
     """REGISTERS compressed minima of a non-empty sorted set."""
     bucket = (shingles >> (np.uint64(64) - _BUCKET_BITS)).astype(np.int64)
-    filled, first = np.unique(bucket, return_index=True)  # sorted hashes: the first of a bucket is its minimum
+    first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))  # sorted hashes: the first of a bucket is its minimum
     values = np.empty(REGISTERS, np.uint64)
-    values[filled] = shingles[first] << _BUCKET_BITS
-    empty = np.setdiff1d(np.arange(REGISTERS), filled, assume_unique=True)
-    for part in np.array_split(empty, max(1, len(empty) * len(shingles) // 65536)):
-        if part.size:
-            values[part] = mix(shingles[None, :] ^ _SEEDS[part][:, None]).min(axis=1)
+    values[bucket[first]] = shingles[first] << _BUCKET_BITS
+    vacant = np.ones(REGISTERS, bool)
+    vacant[bucket[first]] = False
+    empty = np.flatnonzero(vacant)
+    step = max(1, 65536 // len(shingles))
+    for part in (empty[k : k + step] for k in range(0, len(empty), step)):
+        values[part] = mix(shingles[None, :] ^ _SEEDS[part][:, None]).min(axis=1)
     return _compressed(values)
 
 
