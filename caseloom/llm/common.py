@@ -23,11 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: computed once, and safe when executors are lost."""
+def stored(df: DataFrame, name: str, slices: str | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it back: computed once, and safe when executors are lost.
+
+    ``slices``: the table's last column, whose values get a folder each, so that a filter on it reads only its own files."""
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").parquet(path, partitionBy=slices)
     # Spark deletes the shuffle files of finished steps when the driver collects its garbage; it rarely has to by itself
     gc.collect()
     spark.sparkContext._jvm.System.gc()

@@ -13,12 +13,14 @@ A byte goes when it lies in a ``length``-byte string that also starts in a docum
 * **Across shards**: an anchor with more contexts than a shard holds is split over several.  Their sorted strings are cut into
   ranges by hash and merged by binary search, so no task gets a whole hot anchor.
 
-Nothing is sampled or capped: a boilerplate line of every document costs one context per task and document group.
+The shards are worked off in a few rounds, each over its share of the anchors, so that shuffles and tables of one round are
+gone when the next begins.  Nothing is sampled or capped: a boilerplate line of every document costs one context per task and document group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -32,6 +34,7 @@ from caseloom.llm.common import discard, distinct, map_batches, mix, stored
 LENGTH = 50
 GRAM = 16
 SHARD_BYTES = 4 << 20
+SLICES = 4  # the anchors are handled in so many rounds, one after the other: what lies on disk for them is a share of all
 SHARD_CONTEXTS = 512  # contexts of one anchor in one shard
 _FAR = np.iinfo(np.int64).max
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -328,32 +331,39 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     shared = stored(shared, "shared_anchors")
     per_doc = stored(anchors.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared")), "shared")
     discard(anchors, shared)
-    contexts = stored(
-        _contexts(long.join(per_doc, "doc_id").select("doc_id", "text", "shared"), length).withColumn("name", F.xxhash64("context")),
-        "contexts",
-    )
-
-    distinct = contexts.groupBy("anchor", "name", "context").agg(F.min("doc_id").alias("doc_id"))
-    distinct = stored(distinct, "distinct_contexts")
-    hot = distinct.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > SHARD_CONTEXTS)
+    contexts = _contexts(long.join(per_doc, "doc_id").select("doc_id", "text", "shared"), length)
+    contexts = contexts.withColumn("name", F.xxhash64("context")).withColumn("slice", F.pmod("anchor", F.lit(SLICES)).cast("int"))
+    contexts = stored(contexts, "contexts", slices="slice")
+    discard(per_doc)
+    parts = [_slice_spans(contexts.where(F.col("slice") == k).drop("slice"), length) for k in range(SLICES)]
+    rows = reduce(DataFrame.unionByName, parts)
+    spans = stored(rows.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans")
+    discard(contexts, *parts)
+    return spans
+
+
+def _slice_spans(contexts: DataFrame, length: int) -> DataFrame:
+    """(doc_id, start, end) to remove, from all contexts (doc_id, start, anchor, context, name) of some anchors."""
+    distinct_contexts = contexts.groupBy("anchor", "name", "context").agg(F.min("doc_id").alias("doc_id"))
+    distinct_contexts = stored(distinct_contexts, "distinct_contexts")
+    hot = distinct_contexts.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > SHARD_CONTEXTS)
     # stored first: Spark then knows its size, and moves the contexts for this join only if it is too large to broadcast
     hot = stored(hot.select("anchor", F.ceil(F.col("n") / SHARD_CONTEXTS).cast("int").alias("parts")), "hot_anchors")
-    split = distinct.join(hot, "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    split = distinct_contexts.join(hot, "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     split = split.withColumn("part", F.pmod(F.xxhash64("name"), "parts").cast("int"))
     split = split.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
-    written = verdicts = stored(_shards(split.select("anchor", "part", "parts", "name", "context", "doc_id"), length), "verdicts")
-    discard(distinct, per_doc)
-    merged = _merge(verdicts.where("string is not null"), length)
-    verdicts = verdicts.where("string is null").drop("string", "part", "parts").unionByName(merged)
+    written = stored(_shards(split.select("anchor", "part", "parts", "name", "context", "doc_id"), length), "verdicts")
+    discard(distinct_contexts, hot)
+    merged = _merge(written.where("string is not null"), length)
+    verdicts = written.where("string is null").drop("string", "part", "parts").unionByName(merged)
 
     pieces = contexts.select("doc_id", "start", "anchor", "name").join(verdicts, ["anchor", "name"])
     pieces = pieces.where(F.array_min("docs") < F.col("doc_id"))
     pieces = pieces.select("doc_id", "start", F.explode(F.arrays_zip("offsets", "counts", "docs")).alias("run"))
     pieces = pieces.where(F.col("run.docs") < F.col("doc_id"))
     begin = F.col("start") + F.col("run.offsets")
-    span = F.struct(begin.alias("start"), (begin + F.col("run.counts") - 1 + length).alias("end"))
-    spans = stored(pieces.select("doc_id", span.alias("span")).groupBy("doc_id").agg(F.collect_set("span").alias("spans")), "spans")
-    discard(contexts, written)
+    spans = stored(pieces.select("doc_id", begin.alias("start"), (begin + F.col("run.counts") - 1 + length).alias("end")), "slice_spans")
+    discard(written)
     return spans
 
 
