@@ -131,6 +131,29 @@ def test_resampling(spark, table):
     assert resampling.resample(few.limit(0), none).count() == 0
 
 
+@pytest.mark.parametrize("change", ["none", "junk left out", "clean copies", "junk copies"])
+def test_resampling_follows_the_amount_of_clean_text(spark, table, change):
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(300)]
+    clean = lambda: " ".join(rng.choices(words, [300 - k for k in range(300)], k=rng.randint(40, 120)))
+    junk = lambda: " ".join(rng.choices(["buy", "now", "$$$", "click", *words[::60]], k=rng.randint(10, 60)))
+    kinds = {i: int(i % 10 < 7) for i in range(1500)}
+    rows = [(i, clean() if good else junk()) for i, good in kinds.items()]
+    labels = [(i, good) for i, good in kinds.items() if i % 3 == 0]
+    if change == "junk left out":
+        rows = [(i, t) for i, t in rows if kinds[i] or i % 3 == 0]
+    elif change != "none":
+        text = dict(rows)[1 if change == "clean copies" else 8]
+        rows += [(10_000 + k, text) for k in range(3000)]
+        kinds |= {10_000 + k: int(change == "clean copies") for k in range(3000)}
+    found = resampling.resample(table("doc_id long, text string", rows), table("doc_id long, quality int", labels)).toPandas()
+    good = found["doc_id"].map(kinds) == 1
+    assert found.columns.tolist() == ["doc_id", "log_weight", "gumbel_key", "kept"] and len(found) == len(rows)
+    assert found[good]["kept"].mean() > 0.98 and found[~good]["kept"].mean() < 0.02
+    copies = found["doc_id"] >= 10_000
+    assert found[good & ~copies]["kept"].mean() > 0.98 and found[~good & ~copies]["kept"].mean() < 0.02
+
+
 def test_kth_largest(spark, table):
     rng = np.random.default_rng(2)
     values = [float(x) for x in np.concatenate((rng.normal(size=2000), [1e9] * 3, np.zeros(500)))]
