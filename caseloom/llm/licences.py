@@ -60,17 +60,28 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
     ),
-    "cc-by": (
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-        "Licensed under the Creative Commons Attribution License.",
-    ),
+    **{
+        f"cc-{short.lower()}": (
+            f"Licensed under CC {short} 4.0.",
+            f"CC {short} 3.0",
+            f"This work is licensed under a Creative Commons {name} 4.0 International License.",
+            f"Licensed under the Creative Commons {name} License.",
+        )
+        for short, name in (
+            ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+            ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+            ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+        )
+    },
     "cc0": (
+        "Released under CC0 1.0.",
         "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
         "This work is dedicated to the public domain under Creative Commons Zero.",
     ),
 }
 # Licensing language of no family above.
 UNKNOWN = (
+    "All rights reserved.",
     "This software is licensed under the terms of a commercial agreement.",
     "Licensed under the terms of the community license of the project.",
     "All rights reserved; no part of this work may be copied without permission of the publisher.",
@@ -78,6 +89,8 @@ UNKNOWN = (
     "Use of this work is subject to the license terms of the owner.",
     "You may not use, copy or modify this software without written permission.",
 )
+# Paragraphs with such wording may be notices of no template: they are never taken for ordinary text.
+WORDING = r"(?i)licen[sc]|lizenz|copyright|©|creative commons|\bcc[ -]?(?:by|0|zero)\b|\bby-(?:nc|nd|sa)\b|public domain|(?:all|some) rights reserved"
 NEGATIVE_ROWS = 3_000  # paragraphs of the corpus the classifier is trained on at most, taken by hash
 TEMPLATE_SHARE = 0.6
 SEED = 11
@@ -112,14 +125,14 @@ def paragraphs(documents: DataFrame) -> DataFrame:
 def train(spark: SparkSession, lines: DataFrame) -> tuple[PipelineModel, list[str], float]:
     """Fitted stages, class names by label, and the probability a family must reach.
 
-    Negatives are at most NEGATIVE_ROWS paragraphs of the corpus that share few n-grams with the templates."""
+    Negatives are at most NEGATIVE_ROWS paragraphs of the corpus without licence wording that share few n-grams with the templates."""
     names = ["none", "unknown", *TEMPLATES]
     texts = [(names.index(f), s) for f, sentences in TEMPLATES.items() for s in sentences] + [(1, s) for s in UNKNOWN]
     rows = [(label, v, k % 6 == 5) for label, s in texts for k, v in enumerate(_variants(s))]
     known = _with_grams(spark.createDataFrame(rows, "label int, paragraph string, held boolean"))
     vocabulary = [r[0] for r in known.select(F.explode("grams").alias("g")).distinct().orderBy("g").collect()]  # of the templates
     terms = F.array(*map(F.lit, vocabulary))
-    sample = lines.orderBy(F.xxhash64(F.lit(SEED), "doc_id", "position"), "doc_id", "position").limit(NEGATIVE_ROWS)
+    sample = lines.where(~F.col("paragraph").rlike(WORDING)).orderBy(F.xxhash64(F.lit(SEED), "doc_id", "position"), "doc_id", "position").limit(NEGATIVE_ROWS)
     sample = _with_grams(sample.select("paragraph"))
     common = F.size(F.filter("grams", lambda g: F.array_contains(terms, g) & g.contains(" ")))
     negatives = sample.where(2 * common < F.size("grams") - F.size("words") + 1)

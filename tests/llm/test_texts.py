@@ -252,3 +252,28 @@ def test_licences(spark, table):
     found = {(r["doc_id"], r["position"], r["family"]) for r in licences.scan_licences(docs).where("confirmed").collect()}
     assert found == {(1, 1, "apache-2.0"), (4, 0, "gpl-3.0"), (None, 0, "mit")}
     assert licences.scan_licences(docs.limit(0)).count() == 0
+
+
+def test_licences_of_the_test_table(spark):
+    families = {
+        "This work is licensed under the GNU General Public License, version 3.": "gpl-3.0", "Released under the MIT License.": "mit",
+        "Licensed under CC BY-NC 4.0.": "cc-by-nc", "Licensed under the Apache License, Version 2.0.": "apache-2.0",
+    }
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = Counter((r["doc_id"], k, families[line]) for r in docs.collect() for k, line in enumerate((r["text"] or "").split("\n")) if line in families)
+    found = Counter((r["doc_id"], r["position"], r["family"]) for r in licences.scan_licences(docs).where("confirmed").collect())
+    assert len({f for _, _, f in want}) == 4 and found == want
+
+
+def test_licences_of_creative_commons(spark, table):
+    rows, want = [], set()
+    for k, short in enumerate(("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND")):
+        name = short.replace("BY", "Attribution").replace("SA", "ShareAlike").replace("ND", "NoDerivatives").replace("NC", "NonCommercial")
+        lines = [f"Licensed under CC {short} 4.0.", f"Licensed under a Creative Commons {name} 4.0 International License", f"Content is available under CC {short} 3.0"]
+        rows.append((k, "\n".join(lines)))
+        want |= {(k, i, f"cc-{short.lower()}") for i in range(3)}
+    # copies in the corpus are no ordinary text
+    rows += [(100 + k, "Licensed under CC BY-NC 4.0.\nsome words of a text") for k in range(200)]
+    want |= {(100 + k, 0, "cc-by-nc") for k in range(200)}
+    found = licences.scan_licences(table("doc_id long, text string", rows)).where("confirmed").collect()
+    assert {(r["doc_id"], r["position"], r["family"]) for r in found} == want
