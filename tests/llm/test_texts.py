@@ -277,3 +277,29 @@ def test_licences_of_creative_commons(spark, table):
     want |= {(100 + k, 0, "cc-by-nc") for k in range(200)}
     found = licences.scan_licences(table("doc_id long, text string", rows)).where("confirmed").collect()
     assert {(r["doc_id"], r["position"], r["family"]) for r in found} == want
+
+
+def test_licence_calibration(spark, table):
+    seen = [licences._variants(s) for s in (*licences.UNKNOWN, *(s for t in licences.TEMPLATES.values() for s in t))]
+    words = lambda s: tuple(re.findall(r"[^\W_]+", s.lower()))
+    known = {words(v) for variants in seen for v in variants}
+    altered = [(f, v) for f, t in (*licences.TEMPLATES.items(), ("unknown", licences.UNKNOWN)) for s in t for v in licences._altered(s)]
+    assert sum(words(v) in known for _, v in altered) < 0.05 * len(altered)
+    assert licences.separating_limit([0.9, 0.6, 0.7], [0.2, 0.4]) == 0.5
+    # altered notices of a known family: confirmed by its template, whatever their probability
+    rows = [
+        (1, "Kindly note, licensed under Apache License, Version 2.0, by the great people of many small towns and villages"),
+        (2, "Permission hereby granted, free of charge, to any person who is obtaining a copy of this software and its associated documentation files (the \"Software\"), to deal in the Software without restriction"),
+        (3, "This program may not be copied; its use is subject to the license terms of the owner and to a commercial agreement"),
+    ]
+    found = {r["doc_id"]: r for r in licences.scan_licences(table("doc_id long, text string", rows)).collect()}
+    assert (found[1]["family"], found[1]["confirmed"], found[2]["family"], found[2]["confirmed"]) == ("apache-2.0", True, "mit", True)
+    assert (found[3]["family"], found[3]["similarity"], found[3]["confirmed"]) == ("unknown", 0.0, False)
+
+
+def test_licence_confirmed_below_the_limit(spark, table, monkeypatch):
+    train = licences.train
+    monkeypatch.setattr(licences, "train", lambda *a: (*train(*a)[:2], 1.1))  # no probability reaches the limit
+    rows = [(1, "Licensed under the Apache License, Version 2.0."), (2, "All rights reserved.")]
+    found = {r["doc_id"]: (r["family"], r["confirmed"]) for r in licences.scan_licences(table("doc_id long, text string", rows)).collect()}
+    assert found == {1: ("apache-2.0", True), 2: ("unknown", False)}
