@@ -10,8 +10,9 @@ A byte goes when it lies in a ``length``-byte string that also starts in a docum
   suffix array is built by Larsson-Sadakane refinement: order by the first 8 bytes, then sort only the groups that are
   still open by the rank 8, 16, 32 ... bytes on.  Kasai's pass gives common prefixes (contexts side by side, one
   vector step per offset), and runs of common prefixes of ``length`` or more are equal strings.
-* **Across shards**: an anchor with more contexts than a shard holds is split over several.  Their sorted strings are cut into
-  ranges by hash and merged by binary search, so no task gets a whole hot anchor.
+* **Across shards**: an anchor with more contexts than a shard holds is split over several.  Each part names its distinct strings
+  once, with their smallest doc_id; the minimum by string is an aggregate over at most one row per part, and goes back by way of
+  the part's own number of the string to its windows, so no task gets a whole hot anchor or all windows of a string.
 
 The shards are worked off in a few rounds, each over its share of the anchors, so that shuffles and tables of one round are
 gone when the next begins.  Nothing is sampled or capped: a boilerplate line of every document costs one context per task and document group.
@@ -23,7 +24,6 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -215,16 +215,23 @@ def _runs(owner: np.ndarray, offset: np.ndarray, least: np.ndarray, n: int) -> l
     return out
 
 
-_VERDICTS = "anchor long, name long, offsets array<int>, counts array<int>, docs array<long>, string binary, part int, parts int"
+_VERDICTS = "anchor long, name long, offsets array<int>, counts array<int>, docs array<long>, string binary, part int, numbers array<int>"
 
 
 def _shards(contexts: DataFrame, length: int) -> DataFrame:
-    """Verdicts per context; for split anchors also each window as a string (``string`` set), for the merge.
+    """Verdicts per context.  For split anchors each distinct string of an (anchor, part) once (``string``, ``docs`` and its
+    number set), and per context the numbers of its windows' strings, for the merge.
 
     ``contexts``: anchor, part, parts, name, context, doc_id, sorted by (anchor, part) inside partitions."""
 
     def shard(rows: dict[str, list]) -> pa.RecordBatch:
-        out = {k: [] for k in ("anchor", "name", "offsets", "counts", "docs", "string", "part", "parts")}
+        out = {k: [] for k in ("anchor", "name", "offsets", "counts", "docs", "string", "part", "numbers")}
+
+        def add(i: int, offsets: list, counts: list, least_docs: list, string: bytes | None = None, numbers: list | None = None) -> None:
+            row = (rows["anchor"][i], rows["name"][i], offsets, counts, least_docs, string, rows["part"][i], numbers)
+            for values, value in zip(out.values(), row):
+                values.append(value)
+
         anchor = np.array(rows["anchor"], np.int64)
         part = np.array(rows["part"], np.int64)
         docs = np.array(rows["doc_id"], np.int64)
@@ -234,31 +241,28 @@ def _shards(contexts: DataFrame, length: int) -> DataFrame:
         sorted_rows = np.flatnonzero(several | split)
         runs: dict[int, list] = {int(i): [(0, len(rows["context"][i]) - length + 1, int(docs[i]))] for i in np.flatnonzero(~(several | split))}
         if sorted_rows.size:
-            own, offset, least, place = shard_minima([rows["context"][i] for i in sorted_rows], docs[sorted_rows], length)
+            own, offset, least, _ = shard_minima([rows["context"][i] for i in sorted_rows], docs[sorted_rows], length)
             for i, r in zip(sorted_rows.tolist(), _runs(own, offset, least, len(sorted_rows))):
                 runs[i] = r
-            to_merge = np.flatnonzero(split[sorted_rows][own])
-            for k in to_merge[np.argsort(place[to_merge])].tolist():  # in suffix order
+            known: dict[tuple[int, int, bytes], int] = {}  # by anchor, part and string
+            windows: dict[int, tuple[list[int], list[int]]] = {}  # offsets and numbers, by context
+            for k in np.flatnonzero(split[sorted_rows][own]).tolist():
                 i, o = int(sorted_rows[own[k]]), int(offset[k])
-                out["anchor"].append(rows["anchor"][i])
-                out["name"].append(rows["name"][i])
-                out["offsets"].append([o])
-                out["counts"].append([1])
-                out["docs"].append([int(least[k])])
-                out["string"].append(rows["context"][i][o : o + length])
-                out["part"].append(rows["part"][i])
-                out["parts"].append(rows["parts"][i])
+                text = rows["context"][i][o : o + length]
+                key = (rows["anchor"][i], rows["part"][i], text)
+                if key not in known:
+                    known[key] = len(known)
+                    add(i, [], [], [int(least[k])], text, [known[key]])
+                at = windows.setdefault(i, ([], []))
+                at[0].append(o)
+                at[1].append(known[key])
+            for i, (offsets, numbers) in windows.items():
+                del runs[i]
+                add(i, offsets, [], [], None, numbers)
         for i, r in runs.items():
             offsets, counts, least_docs = zip(*r)
-            out["anchor"].append(rows["anchor"][i])
-            out["name"].append(rows["name"][i])
-            out["offsets"].append(list(offsets))
-            out["counts"].append(list(counts))
-            out["docs"].append(list(least_docs))
-            out["string"].append(None)
-            out["part"].append(rows["part"][i])
-            out["parts"].append(rows["parts"][i])
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary(), pa.int32(), pa.int32()]
+            add(i, list(offsets), list(counts), list(least_docs))
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary(), pa.int32(), pa.list_(pa.int32())]
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], names=list(out))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,37 +292,19 @@ def _shards(contexts: DataFrame, length: int) -> DataFrame:
     return map_batches(contexts, run, _VERDICTS)
 
 
-def merge_sorted(runs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Merge sorted strings with their smallest docs: each run is placed in the merged ones by binary search."""
-    strings, docs = runs[0]
-    for more, its in runs[1:]:
-        at = np.searchsorted(strings, more)
-        known = at < len(strings)
-        known[known] = strings[at[known]] == more[known]
-        np.minimum.at(docs, at[known], its[known])
-        strings, docs = np.insert(strings, at[~known], more[~known]), np.insert(docs, at[~known], its[~known])
-    return strings, docs
-
-
-def _merge(strings: DataFrame, length: int) -> DataFrame:
-    """Smallest doc of each window of split anchors over all their shards; as many ranges as an anchor has shards."""
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        # a closing byte keeps strings that end in zero bytes apart: numpy drops those
-        text = np.array([bytes(s) + b"\x01" for s in pdf["string"]], f"S{length + 1}")
-        docs = np.array([d[0] for d in pdf["docs"]], np.int64)
-        runs = []
-        for rows in pdf.groupby("part").indices.values():
-            order = np.argsort(text[rows], kind="stable")
-            own, first = text[rows][order], docs[rows][order]
-            fresh = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-            runs.append((own[fresh], np.minimum.reduceat(first, fresh)))
-        merged, least = merge_sorted(runs)
-        found = least[np.searchsorted(merged, text)]
-        return pd.DataFrame({"anchor": pdf["anchor"], "name": pdf["name"], "offsets": pdf["offsets"], "counts": pdf["counts"], "docs": [[int(d)] for d in found]})
+def _merge(written: DataFrame) -> DataFrame:
+    """Smallest doc of each window of split anchors over all their parts.
 
-    rows = strings.withColumn("range", F.pmod(F.xxhash64("string"), F.col("parts")))
-    return rows.groupBy("anchor", "range").applyInPandas(merge, "anchor long, name long, offsets array<int>, counts array<int>, docs array<long>")
+    A string has at most one row per part, and a part at most SHARD_CONTEXTS contexts: no group grows with the corpus otherwise."""
+    strings = written.where("string is not null").select("anchor", "part", F.get("numbers", F.lit(0)).alias("number"), "string", F.get("docs", F.lit(0)).alias("doc"))
+    least = strings.groupBy("anchor", "string").agg(F.min("doc").alias("doc"))
+    named = strings.drop("doc").join(least, ["anchor", "string"]).drop("string")
+    windows = written.where("string is null and numbers is not null")
+    windows = windows.select("anchor", "part", "name", F.explode(F.arrays_zip("offsets", "numbers")).alias("w"))
+    windows = windows.select("anchor", "part", "name", F.col("w.offsets").alias("offset"), F.col("w.numbers").alias("number"))
+    return windows.join(named, ["anchor", "part", "number"]).select(
+        "anchor", "name", F.array("offset").alias("offsets"), F.array(F.lit(1)).alias("counts"), F.array("doc").alias("docs")
+    )
 
 
 # ---------------------------------------------------------------- the operator
@@ -354,8 +340,7 @@ def _slice_spans(contexts: DataFrame, length: int) -> DataFrame:
     split = split.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
     written = stored(_shards(split.select("anchor", "part", "parts", "name", "context", "doc_id"), length), "verdicts")
     discard(distinct_contexts, hot)
-    merged = _merge(written.where("string is not null"), length)
-    verdicts = written.where("string is null").drop("string", "part", "parts").unionByName(merged)
+    verdicts = written.where("numbers is null").drop("string", "part", "numbers").unionByName(_merge(written))
 
     pieces = contexts.select("doc_id", "start", "anchor", "name").join(verdicts, ["anchor", "name"])
     pieces = pieces.where(F.array_min("docs") < F.col("doc_id"))

@@ -165,3 +165,22 @@ def test_blocks_link_what_brute_force_links():
     assert set(found) <= linked and len(found) < len(sets)
     assert parts(found) == parts(linked)
     assert hyperminhash._tile_links(rows[:0], rows, 85) == ([], [])
+
+
+def test_split_anchors_name_each_string_once_per_part(spark, table):
+    """A passage in many surroundings: the rows that meet by string grow with the parts, not with the contexts."""
+    passage = b"the one passage that very many documents of the corpus have in common, word for word"
+    contexts, parts = [], 3
+    for k in range(60):
+        whole = f"{k:02d}{'x' * (k % 7)}".encode() + passage + f"{'y' * (k % 5)}{k:02d}".encode()
+        contexts.append((7, k % parts, parts, k, bytearray(whole), 100 - k))
+    rows = table("anchor long, part int, parts int, name long, context binary, doc_id long", contexts)
+    written = suffix_dedup._shards(rows.repartition(4, "anchor", "part").sortWithinPartitions("anchor", "part"), 50).cache()
+    per_string = written.where("string is not null").groupBy("anchor", "string").count().toPandas()
+    assert per_string["count"].max() <= parts
+    found = {(r["name"], r["offsets"][0]): r["docs"][0] for r in suffix_dedup._merge(written).collect()}
+    least: dict[bytes, int] = {}
+    windows = [(k, o, bytes(c[o : o + 50]), d) for _, _, _, k, c, d in contexts for o in range(len(c) - 49)]
+    for _, _, w, d in windows:
+        least[w] = min(least.get(w, d), d)
+    assert found == {(k, o): least[w] for k, o, w, _ in windows}
