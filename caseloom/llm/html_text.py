@@ -3,7 +3,8 @@
 A page becomes a tree of elements.  Every block of text (a paragraph, heading, list item, ...) passes points to its ancestors:
 one for being there, one per comma, one per hundred characters up to three; the parent gets them whole, the grandparent half,
 further ancestors less.  A container's points are discounted by its share of text inside links.  The best container is the
-article; siblings that score well beside it, or read like prose with few links, are kept with it.  Elements that are never
+article, or the ``article`` or ``main`` it lies in; siblings that score well beside it, and headings, lists and paragraphs with few
+links, however short, are kept with it.  Elements that are never
 article (menus, headers outside it, footers, asides, forms, scripts, and those whose class or id says advert, sidebar,
 comments, cookie notice, ...) are cut out beforehand.
 """
@@ -46,10 +47,12 @@ _UNWANTED = re.compile(
     r"skip|legal|copyright|disclaimer|outbrain|taboola)(?=$|[\s_-])",
     re.I,
 )
+_KEPT_BESIDE = frozenset("p pre blockquote ul ol dl table figure hgroup h1 h2 h3 h4 h5 h6".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _CONTENT = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|entry|story|text|body)(?=$|[\s_-])", re.I)
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+MOST_LINKED = 0.25  # share of text in links up to which a part beside the best container reads like prose
 _SPACES = re.compile(r"\s+")
 
 
@@ -179,6 +182,29 @@ def _link_density(node: Node) -> float:
     return node.linked / node.size if node.size else 0.0
 
 
+def _article(best: Node) -> Node:
+    """The outermost live article or main the best container lies in, if few of its words are links and no other article is
+    in it (a list of articles is none); else the container."""
+    out, up = best, best
+    while up is not None:
+        if up.tag in ("article", "main") and _link_density(up) < MOST_LINKED and (up is best or _articles(up) <= 1):
+            out = up
+        up = up.parent
+    return out
+
+
+def _articles(node: Node) -> int:
+    """Live articles in a node that are not within another one; a node that is an article counts as its only one."""
+    found, stack = 0, [node]
+    while stack:
+        current = stack.pop()
+        if current.tag == "article":
+            found += 1
+        else:
+            stack += [c for c in current.children if isinstance(c, Node) and not c.dead]
+    return found
+
+
 def main_text(page: str | None) -> str:
     """Text of the article: blocks in page order joined by one space; '' if there is none."""
     root = parse(page or "")
@@ -201,6 +227,7 @@ def main_text(page: str | None) -> str:
             node.score += 25
         node.score *= 1 - _link_density(node)
     best = max((n for n in nodes if id(n) in scored), key=lambda n: n.score, default=root)
+    best = _article(best)
     chosen = [best]
     if best.parent is not None:
         least = max(10.0, best.score * 0.2)
@@ -208,7 +235,7 @@ def main_text(page: str | None) -> str:
         for sibling in best.parent.children:
             if isinstance(sibling, str) or sibling.dead:
                 continue
-            prose = sibling.tag == "p" and _link_density(sibling) < 0.25 and sibling.size > 80
+            prose = sibling.tag in _KEPT_BESIDE and _link_density(sibling) < MOST_LINKED
             if sibling is best or (id(sibling) in scored and sibling.score >= least) or prose:
                 chosen.append(sibling)
     return " ".join(text for part in chosen for _, text in _blocks(part))

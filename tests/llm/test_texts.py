@@ -303,3 +303,21 @@ def test_licence_confirmed_below_the_limit(spark, table, monkeypatch):
     rows = [(1, "Licensed under the Apache License, Version 2.0."), (2, "All rights reserved.")]
     found = {r["doc_id"]: (r["family"], r["confirmed"]) for r in licences.scan_licences(table("doc_id long, text string", rows)).collect()}
     assert found == {1: ("apache-2.0", True), 2: ("unknown", False)}
+
+
+@pytest.mark.parametrize("outer", ["article", "main"])
+def test_page_text_keeps_all_parts_of_the_article(outer):
+    long = "<p>One, two, three, four, five, six" + ", word" * 40 + ".</p>"
+    text = "One, two, three, four, five, six" + ", word" * 40 + "."
+    page = "<body><nav><a href=x>Home</a></nav><div class=top><ul><li><a href=a>Link one</a><li><a href=b>Link two</a></ul></div>{}<footer>Foot</footer></body>"
+    for inner, want in (
+        (f"<h1>Title</h1><div class='content'>{long * 3}</div>", f"Title {text} {text} {text}"),
+        (f"<h1>Title</h1><p>Short.</p><div class='content'>{long * 3}</div><ul><li>i1<li>i2</ul>", f"Title Short. {text} {text} {text} i1 i2"),
+        (f"<section>{long * 4}</section><section><h2>End</h2><p>Last.</p></section>", f"{text} {text} {text} {text} End Last."),
+        (f"<header><h1>Title</h1></header><div><div>{long * 3}</div><aside>Ad, ad</aside></div>", None),
+    ):
+        found = html_text.main_text(page.format(f"<{outer}>{inner}</{outer}>"))
+        assert found == want or want is None and "Ad" not in found and "Link" not in found and text in found
+    # without an article element: headings, lists and short paragraphs beside the best container
+    beside = f"<div class=wrap><h1>Title</h1><p>Short.</p><div class='content'>{long * 3}</div><ul><li>i1<li>i2</ul><ul><li><a href=a>Link three</a></ul></div>"
+    assert html_text.main_text(page.format(beside)) == f"Title Short. {text} {text} {text} i1 i2"
