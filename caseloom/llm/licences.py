@@ -7,6 +7,10 @@ paragraphs.  A prediction is *confirmed* when one of the best family's templates
 ``TEMPLATE_SHARE`` of the template's distinct word pairs.  A family that is not confirmed counts only if its probability reaches
 a limit that separates right from wrong families on held-out alterations of all sentences; below it the paragraph is "unknown".
 
+Notices that are wrapped over several lines are found by runs: neighbouring lines that each have a telling word pair of the
+templates.  A run's joined text is compared with the templates too; where it confirms a family that none of its lines
+confirms alone, it is one row, and its lines that confirm nothing by themselves are none.
+
 Built-in functions and ``pyspark.ml`` only.
 """
 
@@ -91,6 +95,10 @@ UNKNOWN = (
 )
 # Paragraphs with such wording may be notices of no template: they are never taken for ordinary text.
 WORDING = r"(?i)licen[sc]|lizenz|copyright|©|creative commons|\bcc[ -]?(?:by|0|zero)\b|\bby-(?:nc|nd|sa)\b|public domain|(?:all|some) rights reserved"
+# Word pairs of these alone are in any text; the lines of a wrapped notice have others.
+_PLAIN = frozenset("a all an and any are as at be by for from in is it may no not of on or that the this to under use with without you".split())
+# Families whose templates share most of their words: of a run only the best of each counts.
+_RELATED = {"gpl-3.0": "gnu", "gpl-2.0": "gnu", "lgpl": "gnu", **{f: "cc" for f in TEMPLATES if f.startswith("cc-")}}
 NEGATIVE_ROWS = 3_000  # paragraphs of the corpus the classifier is trained on at most, taken by hash
 TEMPLATE_SHARE = 0.6
 SEED = 11
@@ -105,6 +113,11 @@ def _grams(words: str) -> Column:
     return F.concat(F.col(words), pairs)
 
 
+def _pairs(words: Column) -> Column:
+    rest = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.array_distinct(F.zip_with(F.slice(words, F.lit(1), rest), F.slice(words, F.lit(2), rest), lambda a, b: F.concat_ws(" ", a, b)))
+
+
 def _with_grams(rows: DataFrame) -> DataFrame:
     return rows.withColumn("words", _words(F.col("paragraph"))).withColumn("grams", _grams("words"))
 
@@ -139,6 +152,66 @@ def paragraphs(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", lines).where(F.col("paragraph").rlike(r"\p{L}"))
 
 
+def units(documents: DataFrame, pairs: list[str]) -> DataFrame:
+    """doc_id, position, paragraph, run: the lines with one of ``pairs`` (run NULL), and the confirmed runs (run: the family).
+
+    Lines of a confirmed run that no template confirms alone are left out.  All is worked out inside a row of ``documents``."""
+    names = list(TEMPLATES)
+    of = {f: sorted({p for s in TEMPLATES[f] for p in _pairs_of(s)}) for f in names}
+    telling = {f: [p for p in of[f] if not set(p.split()) <= _PLAIN] for f in names}
+    literal = lambda values: F.array(*map(F.lit, values))
+    hits = F.transform(
+        F.split(F.coalesce("text", F.lit("")), "\n"),
+        lambda x, i: F.struct(i.alias("position"), x.alias("paragraph"), F.array_intersect(_pairs(_words(x)), literal(pairs)).alias("pairs")),
+    )
+    hits = documents.select("doc_id", F.filter(hits, lambda h: F.size(h["pairs"]) > 0).alias("hits")).where(F.size("hits") > 0)
+    every = literal(sorted({p for f in names for p in telling[f]}))
+    hits = hits.withColumn("told", F.transform("hits", lambda h: F.arrays_overlap(h["pairs"], every)))
+
+    def begins(h: Column, i: Column) -> Column:
+        return (i == 0) | ~F.get("told", i) | ~F.get("told", i - 1) | (F.get("hits", i - 1)["position"] + 1 != h["position"])
+
+    marked = F.transform("hits", lambda h, i: F.struct(i.alias("at"), begins(h, i).alias("first")))
+    hits = hits.withColumn("first", F.transform(F.filter(marked, lambda m: m["first"]), lambda m: m["at"]))
+    run = F.transform("first", lambda a, k: F.slice("hits", a + 1, F.coalesce(F.get("first", k + 1), F.size("hits")) - a))
+    runs = hits.select("doc_id", F.explode(run).alias("hits"))
+    alone = runs.where(F.size("hits") == 1).select("doc_id", F.get("hits", F.lit(0)).alias("hit")).select("doc_id", "hit.position", "hit.paragraph", F.lit(None).cast("string").alias("run"))
+
+    several = runs.where(F.size("hits") > 1).withColumn("whole", F.array_join(F.transform("hits", lambda h: h["paragraph"]), " "))
+    several = several.withColumn("pairs", _pairs(_words(F.col("whole"))))
+    several = several.withColumn("by_run", F.array(*(_family_share(f, F.col("pairs")) for f in names)))
+    several = several.withColumn("by_line", F.transform("hits", lambda h: F.array(*(_family_share(f, h["pairs"]) for f in names))))
+
+    def confirms_alone(members: list[int]) -> Column:
+        return F.exists("by_line", lambda x: F.array_max(F.array(*(F.get(x, F.lit(k)) for k in members))) >= TEMPLATE_SHARE)
+
+    def begin_of(family: str) -> Column:
+        return F.get(F.filter("hits", lambda h: F.arrays_overlap(h["pairs"], literal(telling[family]))), F.lit(0))["position"]
+
+    groups: dict[str, list[int]] = {}
+    for k, f in enumerate(names):
+        groups.setdefault(_RELATED.get(f, f), []).append(k)
+    found = []
+    for members in groups.values():
+        shares = [F.get("by_run", F.lit(k)) for k in members]
+        best = F.array_max(F.array(*shares))
+        by_a_line = confirms_alone(members)
+        # the notice begins with the first line that has a telling pair of its family
+        begin = [begin_of(names[k]) for k in members]
+        notice = F.coalesce(*(F.when(x == best, F.struct(b.alias("position"), F.col("whole").alias("paragraph"), F.lit(names[k]).alias("run"))) for x, b, k in zip(shares, begin, members)))
+        found.append(F.when((best >= TEMPLATE_SHARE) & ~by_a_line, notice))
+    several = several.withColumn("found", F.filter(F.array(*found), lambda x: x.isNotNull()))
+    line = F.transform(
+        "hits",
+        lambda h, i: F.when(
+            (F.size("found") == 0) | (F.array_max(F.get("by_line", i)) >= TEMPLATE_SHARE),
+            F.struct(h["position"].alias("position"), h["paragraph"].alias("paragraph"), F.lit(None).cast("string").alias("run")),
+        ),
+    )
+    several = several.select("doc_id", F.explode(F.concat(F.filter(line, lambda x: x.isNotNull()), "found")).alias("unit"))
+    return alone.unionByName(several.select("doc_id", "unit.position", "unit.paragraph", "unit.run"))
+
+
 def train(spark: SparkSession, lines: DataFrame) -> tuple[PipelineModel, list[str], float]:
     """Fitted stages, class names by label, and the probability a family must reach.
 
@@ -173,9 +246,9 @@ def train(spark: SparkSession, lines: DataFrame) -> tuple[PipelineModel, list[st
 
 
 def scan_licences(documents: DataFrame) -> DataFrame:
-    """doc_id, position, family, probability, similarity, confirmed: one row per paragraph with licensing language.
+    """doc_id, position, family, probability, similarity, confirmed: one row per paragraph (line or wrapped notice) with licensing language.
 
-    ``position`` is the line number from 0.  ``similarity`` is the largest share of a template's word pairs found in the paragraph
+    ``position`` is the number from 0 of the line, or of a wrapped notice's first line.  ``similarity`` is the largest share of a template's word pairs found in the paragraph
     (of the predicted family; 0 for "unknown", which is never confirmed).  NULL, empty and blank texts have no rows; rows are
     read one by one, so NULL ids, repeated rows and further columns (left out) change nothing; an empty table gives no rows.
     """
@@ -185,17 +258,17 @@ def scan_licences(documents: DataFrame) -> DataFrame:
     counter, classifier = model.stages
     # A paragraph without a word pair of the templates is ordinary text (single words of theirs are everywhere); only the
     # others are counted and scored.
-    pairs = F.array(*map(F.lit, sorted(g for g in counter.vocabulary if " " in g)))
-    counted = counter.transform(_with_grams(lines).where(F.arrays_overlap("grams", pairs)))
+    counted = counter.transform(_with_grams(units(documents, sorted(g for g in counter.vocabulary if " " in g))))
     scored = classifier.transform(counted).withColumn("p", vector_to_array("probability"))
     families = F.slice("p", F.lit(3), F.lit(len(names) - 2))
-    licence = scored.withColumn("best", F.array_max(families)).withColumn("at", F.array_position(families, F.array_max(families)))
-    licence = licence.withColumn("family", F.get(F.array(*map(F.lit, names[2:])), (F.col("at") - 1).cast("int")))
+    known = F.array(*map(F.lit, names[2:]))
+    at = F.coalesce(F.array_position(known, F.col("run")), F.array_position(families, F.array_max(families)))
+    licence = scored.withColumn("at", (at - 1).cast("int"))
+    licence = licence.withColumn("best", F.get(families, F.col("at"))).withColumn("family", F.get(known, F.col("at")))
     licence = licence.withColumn("pairs", F.filter("grams", lambda g: g.contains(" ")))
     similarity = F.lit(0.0)
-    for family, sentences in TEMPLATES.items():
-        shares = [_share_found(s) for s in sentences]
-        similarity = F.when(F.col("family") == family, F.greatest(*shares) if len(shares) > 1 else shares[0]).otherwise(similarity)
+    for family in TEMPLATES:
+        similarity = F.when(F.col("family") == family, _family_share(family, F.col("pairs"))).otherwise(similarity)
     # the templates of the best family are compared first: what they confirm needs no probability
     licence = licence.withColumn("similarity", similarity).withColumn("found", F.col("similarity") >= TEMPLATE_SHARE)
     licence = licence.where(F.col("found") | (F.get("p", F.lit(0)) < 0.5)).withColumn("named", F.col("found") | (F.col("best") >= limit))
@@ -207,7 +280,16 @@ def scan_licences(documents: DataFrame) -> DataFrame:
     )
 
 
-def _share_found(sentence: str) -> Column:
+def _pairs_of(sentence: str) -> list[str]:
     words = [w for w in re.split(r"[^\w]+|_", sentence.lower()) if w]
-    pairs = sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
-    return F.size(F.array_intersect("pairs", F.array(*map(F.lit, pairs)))) / F.lit(float(len(pairs)))
+    return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
+
+
+def _share_found(sentence: str, found: Column) -> Column:
+    pairs = _pairs_of(sentence)
+    return F.size(F.array_intersect(found, F.array(*map(F.lit, pairs)))) / F.lit(float(len(pairs)))
+
+
+def _family_share(family: str, found: Column) -> Column:
+    """The largest share of a template's word pairs among ``found``."""
+    return F.array_max(F.array(*(_share_found(s, found) for s in TEMPLATES[family])))

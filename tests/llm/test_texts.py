@@ -321,3 +321,23 @@ def test_page_text_keeps_all_parts_of_the_article(outer):
     # without an article element: headings, lists and short paragraphs beside the best container
     beside = f"<div class=wrap><h1>Title</h1><p>Short.</p><div class='content'>{long * 3}</div><ul><li>i1<li>i2</ul><ul><li><a href=a>Link three</a></ul></div>"
     assert html_text.main_text(page.format(beside)) == f"Title Short. {text} {text} {text} i1 i2"
+
+
+def test_licences_wrapped_over_lines(spark, table):
+    import textwrap
+
+    mit = (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), "
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense."
+    )
+    gpl = licences.TEMPLATES["gpl-3.0"][1]
+    rows = [
+        (1, "Some words.\n\n" + "\n".join(textwrap.wrap(mit, 72)) + "\n\nthe end of it"),
+        (2, "\n".join(f" * {x}" for x in textwrap.wrap(gpl, 45))),
+        (3, "Licensed under the Apache License, Version 2.0.\nLicensed under the MIT License."),
+        (None, "x\n" + "\n".join(textwrap.wrap(gpl, 60))),
+        (None, "x\n" + "\n".join(textwrap.wrap(gpl, 60))),
+    ]
+    found = [(r["doc_id"], r["position"], r["family"]) for r in licences.scan_licences(table("doc_id long, text string", rows)).where("confirmed").collect()]
+    want = [(1, 2, "mit"), (2, 0, "gpl-3.0"), (3, 0, "apache-2.0"), (3, 1, "mit"), (None, 1, "gpl-3.0"), (None, 1, "gpl-3.0")]
+    assert Counter(found) == Counter(want)
