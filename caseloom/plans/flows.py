@@ -96,8 +96,8 @@ def research_load(
     cutoff: date = research.CUTOFF,
     clusters: int = research.CLUSTERS,
 ) -> DataFrame:
-    """Preferred (else newest) lake object -> strict rules -> clusters -> research table."""
-    extract = lake.read_lake(spark, lake.preferred_object(spark, lake_path, preferred))
+    """Preferred (else newest) lake object -> strict rules -> clusters -> research table.  What is not called JSON is CSV."""
+    extract = lake.read_lake(spark, lake.preferred_object(spark, lake_path, preferred), otherwise="csv")
     rows = lake.require_rows(research.clean(extract, cutoff), "research table after cleaning")
     # Written before clustering: k-means passes over the data many times.
     cleaned = lake.replace_table(rows, f"{target.rstrip('/')}_unclustered")

@@ -39,13 +39,17 @@ def read_small_text(spark: SparkSession, text: str) -> str:
         stream.close()
 
 
-def first_character(spark: SparkSession, text: str) -> str:
-    """First character of a file that is no blank, unpacked by its codec; '' when there is none."""
+def _opened(spark: SparkSession, text: str):
+    """Stream over a file's content, unpacked by its codec."""
     path = _path(spark, text)
     stream = filesystem(spark, text).open(path)
     codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(path)
-    if codec is not None:
-        stream = codec.createInputStream(stream)
+    return stream if codec is None else codec.createInputStream(stream)
+
+
+def first_character(spark: SparkSession, text: str) -> str:
+    """First character of a file that is no blank, unpacked by its codec; '' when there is none."""
+    stream = _opened(spark, text)
     try:
         while (byte := stream.read()) >= 0:
             if byte < 128 and not chr(byte).isspace():
@@ -55,6 +59,19 @@ def first_character(spark: SparkSession, text: str) -> str:
         stream.close()
 
 
+def first_line(spark: SparkSession, text: str) -> str | None:
+    """First line of a file that is not blank, unpacked by its codec; None when there is none."""
+    stream = _opened(spark, text)
+    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        while (line := reader.readLine()) is not None:
+            if line.strip():
+                return line
+        return None
+    finally:
+        reader.close()
+
+
 def publish_text(spark: SparkSession, target: str, content: str) -> None:
     """Write beside the target, then rename: readers see the whole file or none.
 

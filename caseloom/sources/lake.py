@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import reduce
 
@@ -14,6 +16,9 @@ from caseloom.functions.scalars import missing_to_null
 from caseloom.sources import files
 
 
+PROBES = 32  # files looked into at once
+
+
 class EmptyInput(ValueError):
     """An input that must hold rows holds none."""
 
@@ -30,65 +35,121 @@ def read_json(
 ) -> DataFrame:
     """JSON lines (splittable), or with ``array`` one JSON array per file.
 
-    Without a schema every field is read as text in a single inference pass.
+    Without a schema every field is read as text in a single inference pass.  With one, a record that is no JSON ends the
+    job that meets it; it never becomes a row of NULL.
     """
     reader = spark.read.option("primitivesAsString", True).option("multiLine", array)
-    return (reader.schema(schema) if schema else reader).json(path)
+    return (reader.schema(schema).option("mode", "FAILFAST") if schema else reader).json(path)
 
 
 def read_csv(
     spark: SparkSession, path: str | Sequence[str], quoted_newlines: bool = False
 ) -> DataFrame:
-    """CSV with a header, every column as text, missing-value markers as NULL.
+    """CSV with a header, every column as text, missing-value markers as NULL.  Several files are matched by column name.
 
     Nothing is inferred, so the file is scanned once and stays splittable; only files with line
     breaks inside quotes need ``quoted_newlines``, which reads each file in one task.
     """
+    paths = [path] if isinstance(path, str) else list(path)
+    members = [file for p in paths for file in _data_files(spark, p)]
+    if not members:
+        raise EmptyInput(f"{', '.join(paths)} holds no files")
+    return by_name([_csv_of_one_header(spark, group, quoted_newlines) for group in csv_groups(spark, members)])
+
+
+def _csv_of_one_header(spark: SparkSession, paths: Sequence[str], quoted_newlines: bool = False) -> DataFrame:
     df = (
         spark.read.option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", quoted_newlines)
-        .csv(path)
+        .csv([spark_path(p) for p in paths])
     )
     quoted = ["`" + c.replace("`", "``") + "`" for c in df.columns]
     return df.select(*[missing_to_null(F.col(q)).alias(c) for q, c in zip(quoted, df.columns)])
 
 
-def _data_files(spark: SparkSession, path: str) -> list[str]:
-    if files.is_directory(spark, path):
-        return [f"{path.rstrip('/')}/{n}" for n in files.children(spark, path)]
-    return [path]
+def csv_groups(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """CSV files by their header line: Spark binds the columns of one read by position, so only files with the same
+    header may share one.  Files without a line are left out, unless there are no others.
+
+    A file is opened for its first block only, ``PROBES`` at once.
+    """
+    groups: dict[str, list[str]] = {}
+    for file, line in zip(paths, _probed(lambda p: files.first_line(spark, p), paths)):
+        if line is not None:
+            groups.setdefault(line, []).append(file)
+    return [groups[line] for line in sorted(groups)] or [list(paths)]
+
+
+def _probed(look: Callable[[str], object], paths: Sequence[str]) -> list:
+    with ThreadPoolExecutor(max_workers=PROBES) as pool:
+        return list(pool.map(look, paths))
+
 
+def spark_path(path: str) -> str:
+    """A path whose characters stand for themselves where Spark would expand patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
-def format_of(spark: SparkSession, file: str) -> str:
-    """'csv', 'json_array' or 'json_lines' of one file: by its ending and, for JSON, by its first character that is no blank."""
-    bare = file.lower()
-    for suffix in (".gz", ".bz2", ".zst"):
-        bare = bare.removesuffix(suffix)
-    if bare.endswith(".csv"):
+
+def by_name(frames: Sequence[DataFrame]) -> DataFrame:
+    """Rows of all frames, columns matched by name, missing ones as NULL."""
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
+
+
+def _data_files(spark: SparkSession, path: str) -> list[str]:
+    """Files of a lake object; part files of a folder may lie in folders below it."""
+    if not files.is_directory(spark, path):
+        return [path]
+    below = [f"{path.rstrip('/')}/{n}" for n in files.children(spark, path)]
+    return [file for p in below for file in _data_files(spark, p)]
+
+
+def format_of(spark: SparkSession, file: str, within: str = "", otherwise: str = "json") -> str:
+    """'csv', 'json_array' or 'json_lines' of one file: by its ending, else by that of the object it belongs to, else
+    ``otherwise`` (daily extracts: JSON unless called CSV; research extracts: CSV unless called JSON).  JSON is an array if its
+    first character that is no blank says so."""
+    for name in (file, within):
+        bare = name.rstrip("/").lower()
+        for suffix in (".gz", ".bz2", ".zst"):
+            bare = bare.removesuffix(suffix)
+        if bare.endswith((".csv", ".json")):
+            kind = bare.rsplit(".", 1)[1]
+            break
+    else:
+        kind = otherwise
+    if kind == "csv":
         return "csv"
     return "json_array" if files.first_character(spark, file) == "[" else "json_lines"
 
 
+def by_format(spark: SparkSession, data: Sequence[str], within: str = "", otherwise: str = "json") -> dict[str, list[str]]:
+    """Format -> the files that have it."""
+    kinds: dict[str, list[str]] = {}
+    for file, kind in zip(data, _probed(lambda f: format_of(spark, f, within, otherwise), data)):
+        kinds.setdefault(kind, []).append(file)
+    return dict(sorted(kinds.items()))
+
+
 def read_lake(
-    spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | None = None
+    spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | None = None, otherwise: str = "json"
 ) -> DataFrame:
     """One lake object (a file, or a folder of part files).  Each file is read in its own format, and columns are matched by
-    name.  JSON that cannot be read stops the load instead of becoming rows of NULL."""
+    name.  JSON that cannot be read stops the load instead of becoming rows of NULL: at once when the schema is inferred, with
+    the first job that reads it when ``schema`` is given."""
     data = _data_files(spark, path)
     if not data:
         raise EmptyInput(f"{path} holds no files")
-    kinds: dict[str, list[str]] = {}
-    for file in data:
-        kinds.setdefault(fmt or format_of(spark, file), []).append(file)
     frames = []
-    for kind, members in sorted(kinds.items()):
-        df = read_csv(spark, members) if kind == "csv" else read_json(spark, members, schema, array=kind == "json_array")
+    for kind, members in ({fmt: data} if fmt else by_format(spark, data, path, otherwise)).items():
+        if kind == "csv":
+            df = read_csv(spark, members)
+        else:
+            df = read_json(spark, [spark_path(m) for m in members], schema, array=kind == "json_array")
         if "_corrupt_record" in df.columns:
             raise ValueError(f"{path} holds {kind} files with text that is no JSON record")
         frames.append(df)
-    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
+    return by_name(frames)
 
 
 def csv_header(

@@ -10,7 +10,7 @@ from caseloom.plans import flows, research, snapshot
 from caseloom.plans.warehouse import create_store
 from caseloom.sources.lake import EmptyInput
 from caseloom.sources.registry import ModelRegistry, append_audit, audit_record, error_log, read_audit
-from caseloom.streaming.incremental import ingest_new_files
+from caseloom.streaming.incremental import ingest_new_files, quarantined
 
 FIELDS = ["DR NO", "AREA", "Area Name", "Crm Cd", "Date Occ", "Time Occ", "Vict Age", "LAT", "LON"]
 
@@ -111,7 +111,7 @@ def test_stream_loads_every_file_once(spark, tmp_path):
     store = create_store(spark, str(tmp_path / "w"))
 
     def run():
-        ingest_new_files(spark, str(lake), schema(), store, str(tmp_path / "staging"), str(tmp_path / "ck"),
+        ingest_new_files(spark, str(lake), store, str(tmp_path / "staging"), str(tmp_path / "ck"), str(tmp_path / "q"),
                          files_per_batch=1).awaitTermination()
 
     write(lake, "a.json", [record(1), record(2)])
@@ -132,8 +132,8 @@ def test_stream_equals_batch_on_disjoint_files(spark, tmp_path):
     for n in range(3):
         write(lake, f"{n}.json", [record(n * 10 + i, area=str(n + 1)) for i in range(4)])
     streamed = create_store(spark, str(tmp_path / "s"))
-    ingest_new_files(spark, str(lake), schema(), streamed, str(tmp_path / "st"), str(tmp_path / "ck"),
-                     files_per_batch=2).awaitTermination()
+    ingest_new_files(spark, str(lake), streamed, str(tmp_path / "st"), str(tmp_path / "ck"), str(tmp_path / "q"),
+                     files_per_batch=2, schema=schema()).awaitTermination()
     batch = create_store(spark, str(tmp_path / "b"))
     from caseloom.plans.warehouse import merge_staging
 
@@ -142,6 +142,42 @@ def test_stream_equals_batch_on_disjoint_files(spark, tmp_path):
         assert sorted(map(str, streamed.table(t).collect())) == sorted(map(str, batch.table(t).collect()))
 
 
+def test_stream_takes_every_format_and_sets_broken_records_aside(spark, tmp_path):
+    lake = tmp_path / "lake"
+    store = create_store(spark, str(tmp_path / "s"))
+
+    def run():
+        ingest_new_files(spark, str(lake), store, str(tmp_path / "st"), str(tmp_path / "ck"), str(tmp_path / "q"),
+                         files_per_batch=3).awaitTermination()
+
+    def csv(name, fields, rows):
+        lines = [",".join(fields), *(",".join(r[f] for f in fields) for r in rows)]
+        (lake / name).write_text("\n".join(lines) + "\n")
+
+    write(lake, "a.json", [record(1), record(2)])
+    (lake / "b.json").write_text(json.dumps([record(3), record(4)]))
+    csv("c.csv", FIELDS, [record(5), record(6, area="08")])
+    csv("d e[1]%20.csv", FIELDS[::-1], [record(7), record(8)])
+    run()
+    assert sorted(r["dr_no"] for r in store.table("fact_crime").collect()) == list("12345678")
+    assert {r["area_id"] for r in store.table("dim_area").collect()} == {"0", "7", "8"}
+    assert quarantined(spark, str(tmp_path / "q")).count() == 0
+
+    (lake / "f.json").write_text(json.dumps(record(9)) + "\nno record\n")
+    (lake / "g.csv").write_text('DR NO,AREA,Area Name\n10,07,"x, y"\n11,07,x,too,many\n12,07\n')
+    (lake / "h.json").write_text("[1, ")
+    (lake / "i.csv").write_text("")
+    (lake / "k.json").write_text("nothing but noise\n")
+    run()
+    rows = {r["dr_no"]: r for r in store.table("fact_crime").collect()}
+    assert set(rows) == {*"123456789", "10", "12"}
+    broken = {(r["file"].rsplit("/", 1)[1], r["record"]) for r in quarantined(spark, str(tmp_path / "q")).collect()}
+    assert broken == {("f.json", "no record"), ("g.csv", "11,07,x,too,many"), ("h.json", "[1, "), ("k.json", "nothing but noise")}
+    commits = len(store.commits())
+    run()
+    assert len(store.commits()) == commits
+
+
 def test_snapshot_restores_exactly_and_detects_damage(spark, table, tmp_path):
     tables = {"a": table("k string, v double", [("x", 1.0), ("y", None)]), "b": table("n int", [])}
     folder = snapshot.snapshot(spark, tables, str(tmp_path / "snaps"), datetime(2024, 1, 2, 3, 4, 5))

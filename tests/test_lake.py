@@ -104,3 +104,38 @@ def test_each_file_is_read_in_its_own_format(spark, tmp_path):
     (folder / "e.json").write_text("this is no record\n")
     with pytest.raises(ValueError):
         lake.read_lake(spark, str(folder))
+
+
+def test_csv_parts_are_matched_by_name(spark, tmp_path):
+    import gzip
+
+    write(tmp_path / "m" / "a.csv", "dr_no,area\n1,x\n")
+    write(tmp_path / "m" / "b.csv", "area,dr_no\ny,2\n")
+    write(tmp_path / "m" / "below" / "c d[1].csv", "\nlat,DR_NO\n3.5,3\n")
+    write(tmp_path / "m" / "empty.csv", "")
+    with gzip.open(tmp_path / "m" / "e.csv.gz", "wt") as f:
+        f.write("dr_no,lat\n4,4.5\n")
+    for rows in (lake.read_lake(spark, str(tmp_path / "m")), lake.read_csv(spark, str(tmp_path / "m"))):
+        assert sorted((r["dr_no"], r["area"], r["lat"]) for r in rows.collect()) == [
+            ("1", "x", None), ("2", "y", None), ("3", None, "3.5"), ("4", None, "4.5")]
+    with pytest.raises(lake.EmptyInput):
+        lake.read_csv(spark, [])
+
+
+def test_files_without_an_ending_go_by_their_object_or_the_rule(spark, tmp_path):
+    part = write(tmp_path / "x.csv" / "part-0", "a,b\n1,2\n")
+    assert lake.format_of(spark, part, str(tmp_path / "x.csv")) == "csv"
+    assert lake.read_lake(spark, str(tmp_path / "x.csv")).collect() == [("1", "2")]
+    data = write(tmp_path / "x.dat", "a,b\n1,2\n")
+    assert lake.read_lake(spark, data, otherwise="csv").collect() == [("1", "2")]
+    with pytest.raises(ValueError):
+        lake.read_lake(spark, data)
+
+
+def test_broken_json_is_refused_with_a_schema_too(spark, tmp_path):
+    path = write(tmp_path / "x.json", '{"a": "1"}\nno record\n')
+    schema = spark.createDataFrame([], "a string").schema
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        lake.read_lake(spark, path, schema=schema).collect()
+    with pytest.raises(ValueError):
+        lake.read_lake(spark, path)
