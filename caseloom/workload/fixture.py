@@ -6,8 +6,9 @@ dialects, with ``{us}``, ``{iso}`` and ``{shift}`` standing for the three dialec
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,49 +16,38 @@ from pyspark.sql import functions as F
 CUTOFF = date(1999, 12, 31)
 AS_OF = date(2000, 6, 30)
 
-# column -> (tables it needs besides lineitem, expression)
+# column -> expression
 _RAW = {
     "dr_no": (
-        (),
-        "case when l_suppkey % 10 = 0 then concat(' ', cast(l_orderkey * 10 + l_linenumber as varchar(20)), ' ') "
-        "else cast(l_orderkey * 10 + l_linenumber as varchar(20)) end",
+        "case when l_suppkey % 10 = 0 then concat(' ', cast(l_orderkey * 10 + l_linenumber as varchar(20)), "
+        "' ') else cast(l_orderkey * 10 + l_linenumber as varchar(20)) end"
     ),
-    "date_rptd": ((), "concat({us_shifted}, ' 12:00:00 AM')"),
+    "date_rptd": "concat({us_shifted}, ' 12:00:00 AM')",
     "date_occ": (
-        (),
         "case when l_partkey % 50 = 7 then null when l_linenumber % 2 = 0 then concat({us}, ' 12:00:00 AM') "
-        "else concat({iso}, 'T00:00:00.000') end",
+        "else concat({iso}, 'T00:00:00.000') end"
     ),
     "time_occ": (
-        (),
-        "concat(lpad(cast((l_orderkey % 24) * 100 + l_partkey % 60 as varchar(20)), 4, '0'), "
-        "case when l_suppkey % 3 = 0 then '.0' else '' end)",
-    ),
-    "area_id": (
-        ("customer",),
-        "case when l_partkey % 30 = 4 then null else lpad(cast(c_nationkey + 1 as varchar(20)), 2, '0') end",
-    ),
-    "area_name": (("customer", "nation"), "n_name"),
-    "crm_cd": (("part",), "cast(p_size + 100 as varchar(20))"),
-    "crm_cd_desc": (("part",), "p_type"),
-    "status_id": ((), "case when l_partkey % 40 = 3 then null else concat(l_returnflag, l_linestatus) end"),
-    "status_desc": ((), "concat('Status ', l_returnflag, l_linestatus)"),
-    "premis_id": ((), "concat(cast(l_suppkey + 101 as varchar(20)), '.0')"),
-    "premis_desc": (("supplier",), "s_name"),
-    "weapon_id": (("part",), "case when l_returnflag = 'N' then null else substr(p_brand, 7) end"),
-    "weapon_desc": (("part",), "case when l_returnflag = 'N' then null else p_brand end"),
-    "vict_age": ((), "l_quantity * 2 - 5"),
-    "vict_sex": (
-        (),
-        "case l_partkey % 5 when 0 then 'M' when 1 then 'F' when 2 then 'X' when 3 then 'H' end",
-    ),
-    "lat": ((), "case when l_partkey % 60 = 0 then 0.0e0 else 33.7e0 + (l_partkey % 120) / 200.0e0 end"),
-    "lon": (
-        (),
-        "case when l_partkey % 60 in (0, 30) then 0.0e0 else -118.7e0 + (l_suppkey % 100) / 200.0e0 end",
+        "concat(lpad(cast((l_orderkey % 24) * 100 + l_partkey % 60 as varchar(20)), 4, '0'), case when "
+        "l_suppkey % 3 = 0 then '.0' else '' end)"
     ),
+    "area_id": "case when l_partkey % 30 = 4 then null else lpad(cast(c_nationkey + 1 as varchar(20)), 2, '0') end",
+    "area_name": "n_name",
+    "crm_cd": "cast(p_size + 100 as varchar(20))",
+    "crm_cd_desc": "p_type",
+    "status_id": "case when l_partkey % 40 = 3 then null else concat(l_returnflag, l_linestatus) end",
+    "status_desc": "concat('Status ', l_returnflag, l_linestatus)",
+    "premis_id": "concat(cast(l_suppkey + 101 as varchar(20)), '.0')",
+    "premis_desc": "s_name",
+    "weapon_id": "case when l_returnflag = 'N' then null else substr(p_brand, 7) end",
+    "weapon_desc": "case when l_returnflag = 'N' then null else p_brand end",
+    "vict_age": "l_quantity * 2 - 5",
+    "vict_sex": "case l_partkey % 5 when 0 then 'M' when 1 then 'F' when 2 then 'X' when 3 then 'H' end",
+    "lat": "case when l_partkey % 60 = 0 then 0.0e0 else 33.7e0 + (l_partkey % 120) / 200.0e0 end",
+    "lon": "case when l_partkey % 60 in (0, 30) then 0.0e0 else -118.7e0 + (l_suppkey % 100) / 200.0e0 end",
 }
 RAW_COLUMNS = tuple(_RAW)
+DOUBLES = ("vict_age", "lat", "lon")  # as text they read differently in the two engines
 
 _SHIFT = "cast(l_partkey % 20 - 2 as int)"
 _SPARK = {
@@ -71,13 +61,14 @@ _DUCK = {
     "us_shifted": f"strftime(l_shipdate + to_days({_SHIFT}), '%m/%d/%Y')",
 }
 
-# dimension table -> join conditions leading to it from lineitem
-_JOINS = {
-    "customer": (("orders", "l_orderkey = o_orderkey"), ("customer", "o_custkey = c_custkey")),
-    "nation": (("nation", "c_nationkey = n_nationkey"),),
-    "part": (("part", "l_partkey = p_partkey"),),
-    "supplier": (("supplier", "l_suppkey = s_suppkey"),),
-}
+# tables joined to lineitem, in order
+_JOINS = (
+    ("orders", "l_orderkey = o_orderkey"),
+    ("customer", "o_custkey = c_custkey"),
+    ("nation", "c_nationkey = n_nationkey"),
+    ("part", "l_partkey = p_partkey"),
+    ("supplier", "l_suppkey = s_suppkey"),
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,23 +76,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw(spark: SparkSession, sf_dir: str, columns: Sequence[str] = RAW_COLUMNS) -> DataFrame:
-    """Raw incidents with the wanted columns; tables no wanted column needs are not joined.
-
-    Every line item matches exactly one row of each table, so a left-out join changes no result.
-    """
-    needed = {t for c in columns for t in _RAW[c][0]}
+    """Raw incidents with the wanted columns, over all six tables whichever columns are wanted: a line item without its
+    order, customer, nation, part or supplier is no incident."""
     df = table(spark, sf_dir, "lineitem")
-    for reached in _JOINS:
-        if reached in needed:
-            for name, condition in _JOINS[reached]:
-                df = df.join(table(spark, sf_dir, name), F.expr(condition))
-    return df.select(*[F.expr(_RAW[c][1].format(**_SPARK)).alias(c) for c in columns])
+    for name, condition in _JOINS:
+        df = df.join(table(spark, sf_dir, name), F.expr(condition))
+    return df.select(*[F.expr(_RAW[c].format(**_SPARK)).alias(c) for c in columns])
 
 
 # ---------------------------------------------------------------- the same as SQL text
 RAW_SQL = (
     "raw as (select "
-    + ", ".join(f"{expr.format(**_DUCK)} as {name}" for name, (_, expr) in _RAW.items())
+    + ", ".join(f"{expr.format(**_DUCK)} as {name}" for name, expr in _RAW.items())
     + " from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey"
     " join nation on c_nationkey = n_nationkey join part on l_partkey = p_partkey"
     " join supplier on l_suppkey = s_suppkey)"
@@ -180,6 +166,39 @@ DIM_SQL = {
 }
 
 
+# table -> (key, its other columns) of the seven dimensions
+DIM_PARTS = {
+    "dim_area": ("area_id", ("area_name",)),
+    "dim_crime": ("crm_cd", ("crm_cd_desc",)),
+    "dim_status": ("status_id", ("status_desc",)),
+    "dim_premise": ("premis_id", ("premis_desc",)),
+    "dim_weapon": ("weapon_id", ("weapon_desc",)),
+    "dim_date": ("date_id", ("year", "month", "day", "day_of_week", "quarter")),
+    "dim_time": ("time_id", ("hour", "time_of_day")),
+}
+
+
+def stacked_sql(suffix: str = "") -> str:
+    """All dimensions as one statement: (table_name, member, attributes), values as text."""
+    return " union all ".join(
+        f"select '{t}' as table_name, cast({key} as varchar) as member, "
+        f"concat_ws('|', {', '.join(f'cast({c} as varchar)' for c in others)}) as attributes from {t}{suffix}"
+        for t, (key, others) in DIM_PARTS.items()
+    )
+
+
+def stacked(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``stacked_sql`` over Spark tables."""
+    frames = [
+        tables[t].select(
+            F.lit(t).alias("table_name"), F.col(key).cast("string").alias("member"),
+            F.concat_ws("|", *[F.col(c).cast("string") for c in others]).alias("attributes"),
+        )
+        for t, (key, others) in DIM_PARTS.items()
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
 def with_raw(body: str) -> str:
     return f"with {RAW_SQL} {body}"
 

@@ -5,15 +5,16 @@ from __future__ import annotations
 from datetime import timedelta
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from caseloom.operators import forecast
 from caseloom.plans import flows, snapshot
 from caseloom.plans.warehouse import create_store
 from caseloom.session import work_path
+from caseloom.sources import headers as H
 from caseloom.sources import lake
 from caseloom.sources.registry import ModelRegistry, append_audit, error_log, read_audit
-from caseloom.streaming.incremental import ingest_new_files
+from caseloom.sources.store import Store
+from caseloom.streaming.incremental import ingest_new_files, quarantined
 from caseloom.workload import fixture as fx
 from caseloom.workload import stores
 from caseloom.workload.column_queries import DAILY_SPELLING, HISTORICAL_SPELLING, RESEARCH_SPELLING, spelled
@@ -33,26 +34,76 @@ def _daily_lake(spark, sf_dir) -> str:
     return folder
 
 
-@query("e1_daily", _FACT)
-def _daily(spark, sf_dir):
+_loaded: dict[tuple[str, str, str], Store] = {}
+
+
+def _once(kind: str):
+    """A load that runs once per application and data set for all queries that look at its tables."""
+
+    def decorate(load):
+        def run(spark, sf_dir) -> Store:
+            key = (spark.sparkContext.applicationId, sf_dir, kind)
+            if key not in _loaded:
+                _loaded[key] = load(spark, sf_dir)
+            return _loaded[key]
+
+        return run
+
+    return decorate
+
+
+def _dimensions(store: Store):
+    return fx.stacked({t: store.table(t) for t in fx.DIM_PARTS})
+
+
+_ALL_DIMENSIONS = fx.with_fact(fx.stacked_sql(), *fx.DIM_SQL)
+
+
+@_once("daily")
+def _daily_store(spark, sf_dir) -> Store:
     store = create_store(spark, work_path(spark, "warehouse"))
     flows.daily_load(spark, _daily_lake(spark, sf_dir), work_path(spark, "staging"), store)
-    return store.table("fact_crime").drop("occ_year")
+    return store
+
+
+@query("e1_daily", _FACT)
+def _daily(spark, sf_dir):
+    return _daily_store(spark, sf_dir).table("fact_crime").drop("occ_year")
+
 
+@query("e1_dimensions", _ALL_DIMENSIONS)
+def _daily_dimensions(spark, sf_dir):
+    return _dimensions(_daily_store(spark, sf_dir))
 
-def _csv(spark, rows, path: str) -> str:
-    writer = rows.write.option("header", True).option("escape", '"')
+
+def _csv(spark, rows, path: str, compression: str = "none") -> str:
+    writer = rows.write.option("header", True).option("escape", '"').option("compression", compression)
     # Blanks around a value are part of the raw data.
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 
-@query("e2_historical", _FACT)
-def _historical(spark, sf_dir):
+@_once("historical")
+def _historical_store(spark, sf_dir) -> Store:
     path = _csv(spark, spelled(fx.raw(spark, sf_dir), HISTORICAL_SPELLING), work_path(spark, "history.csv"))
     store = create_store(spark, work_path(spark, "warehouse"))
     flows.historical_load(spark, path, work_path(spark, "staging"), store)
-    return store.table("fact_crime").drop("occ_year")
+    return store
+
+
+@query("e2_historical", _FACT)
+def _historical(spark, sf_dir):
+    return _historical_store(spark, sf_dir).table("fact_crime").drop("occ_year")
+
+
+@query("e2_dimensions", _ALL_DIMENSIONS)
+def _historical_dimensions(spark, sf_dir):
+    return _dimensions(_historical_store(spark, sf_dir))
+
+
+@query("l9_dimensions", _ALL_DIMENSIONS)
+def _stored_dimensions(spark, sf_dir):
+    return _dimensions(stores.incident_store(spark, sf_dir))
 
 
 _DAY = fx.date_sql("date_occ")
@@ -123,17 +174,82 @@ def _research_training(spark, sf_dir):
     return _scored(flows.research_training(_research_table(spark, sf_dir), models, AT, small))
 
 
+# ---------------------------------------------------------------- mixed formats
+def _texts(spark, sf_dir):
+    """The raw input with daily headers, text values only, all rows of a record number in one partition."""
+    raw = fx.raw(spark, sf_dir)
+    texts = spelled(raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns]), DAILY_SPELLING)
+    share = F.pmod(F.xxhash64(F.trim(_number(texts))), F.lit(4))
+    return texts.withColumn("share", share).repartition(8, F.trim(_number(texts)))
+
+
+def _number(texts):
+    return F.col(DAILY_SPELLING.get("dr_no", "dr_no"))
+
+
+def _land_share(spark, texts, share: int, folder: str) -> None:
+    """A quarter of the records as JSON lines, JSON arrays, CSV, or gzipped CSV with its columns the other way round."""
+    rows = texts.where(F.col("share") == share).drop("share")
+    if share == 0:
+        rows.write.json(f"{folder}/lines.json")
+    elif share == 1:
+        # one array per file: its records joined by commas, in brackets
+        number = F.spark_partition_id()
+        arrays = rows.select(number.alias("part"), F.to_json(F.struct(*rows.columns)).alias("record"))
+        whole = arrays.groupBy("part").agg(F.concat(F.lit("["), F.array_join(F.collect_list("record"), ","), F.lit("]")))
+        whole.write.partitionBy("part").text(f"{folder}/array.json")
+    elif share == 2:
+        _csv(spark, rows, f"{folder}/plain.csv")
+    else:
+        columns = rows.columns[::-1]
+        _csv(spark, rows.select(*columns), f"{folder}/turned.csv", compression="gzip")
+
+
+@query("s4_mixed_lake", fx.with_raw(
+    "select " + ", ".join(f"cast({c} as varchar) as {c}" for c in fx.RAW_COLUMNS if c not in fx.DOUBLES) + " from raw"))
+def _mixed_lake(spark, sf_dir):
+    """One lake object of JSON lines, JSON arrays and two kinds of CSV, read back by column name."""
+    folder = work_path(spark, "mixed")
+    texts = _texts(spark, sf_dir)
+    for share in range(4):
+        _land_share(spark, texts, share, folder)
+    read = lake.read_lake(spark, folder)
+    return H.map_columns(read, {DAILY_SPELLING.get(c, c): c for c in fx.RAW_COLUMNS if c not in fx.DOUBLES})
+
+
+@query("s1_json_array", fx.with_raw("select area_id, count(*) as n, count(distinct dr_no) as numbers from raw group by 1"))
+def _json_array(spark, sf_dir):
+    """All raw incidents as JSON arrays, one per file."""
+    folder = work_path(spark, "arrays")
+    _land_share(spark, _texts(spark, sf_dir).withColumn("share", F.lit(1)), 1, folder)
+    read = H.map_columns(lake.read_lake(spark, f"{folder}/array.json"), {DAILY_SPELLING.get(c, c): c for c in fx.RAW_COLUMNS})
+    return read.groupBy("area_id").agg(F.count("*").alias("n"), F.count_distinct("dr_no").alias("numbers"))
+
+
+@_once("streamed")
+def _streamed_store(spark, sf_dir) -> Store:
+    """All raw incidents arrive as files of four kinds; two runs of the stream, with several batches each, load each file once."""
+    texts, folder = _texts(spark, sf_dir), work_path(spark, "lake")
+    store = create_store(spark, work_path(spark, "warehouse"))
+    places = [work_path(spark, name) for name in ("staging", "checkpoint", "quarantine")]
+    for shares in ((0, 2), (1, 3)):
+        for share in shares:
+            _land_share(spark, texts, share, folder)
+        ingest_new_files(spark, folder, store, *places, files_per_batch=6).awaitTermination()
+    if not quarantined(spark, places[-1]).isEmpty():
+        raise ValueError("records of the test tables were set aside")
+    return store
+
+
 @query("st1_incremental", _FACT)
 def _incremental(spark, sf_dir):
-    """All raw incidents arrive as JSON files; one run of the stream loads each file once."""
-    folder = _daily_lake(spark, sf_dir)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in
-                           [DAILY_SPELLING.get(c, c) for c in fx.RAW_COLUMNS]])
-    store = create_store(spark, work_path(spark, "warehouse"))
-    ingest_new_files(
-        spark, folder, schema, store, work_path(spark, "staging"), work_path(spark, "checkpoint")
-    ).awaitTermination()
-    return store.table("fact_crime").drop("occ_year")
+    return _streamed_store(spark, sf_dir).table("fact_crime").drop("occ_year")
+
+
+@query("st1_members", fx.with_fact(f"select table_name, member from ({fx.stacked_sql()})", *fx.DIM_SQL))
+def _incremental_members(spark, sf_dir):
+    """Members of the seven dimensions; which label a code keeps depends on the batch that brings it first."""
+    return _dimensions(_streamed_store(spark, sf_dir)).select("table_name", "member")
 
 
 # ---------------------------------------------------------------- audit and snapshots
