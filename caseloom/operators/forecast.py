@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from datetime import date
 
 import numpy as np
@@ -18,13 +18,13 @@ from pyspark.sql import types as T
 from caseloom.functions.calendar import calendar_sql, cyclic_calendar_sql
 from caseloom.operators import features as M
 from caseloom.operators import series as S
+from caseloom.operators.histogram_trees import Growth, TreeModel, boosted_nodes, forest_nodes
 from caseloom.operators.trees import FlatEnsemble, flatten
 from caseloom.session import ship_package, work_path
 from caseloom.sources.lake import EmptyInput
 
 LOWER_BAND, UPPER_BAND = 0.85, 1.15
 HORIZON = 90
-ROWS_PER_TASK = 50_000
 
 
 # ---------------------------------------------------------------- what to train
@@ -35,7 +35,13 @@ class Forest:
     min_leaf: int = 4
     seed: int = 42
 
+    def train(self, rows: DataFrame, features: Mapping[str, str]) -> TreeModel:
+        """A forest for one series; ``rows`` hold the values of ``features`` and ``y``."""
+        nodes = forest_nodes(rows, list(features), self.trees, Growth(self.depth, 0.0, self.min_leaf), self.seed)
+        return TreeModel(rows.sparkSession, dict(features), nodes.toArrow().to_pandas(), np.ones(self.trees), float(self.trees))
+
     def estimator(self) -> RandomForestRegressor:
+        """The same for the rows of many series together, which no task holds."""
         return RandomForestRegressor(
             numTrees=self.trees, maxDepth=self.depth, minInstancesPerNode=self.min_leaf, seed=self.seed,
             featuresCol="features", labelCol="y", predictionCol="yhat",
@@ -44,15 +50,20 @@ class Forest:
 
 @dataclass(frozen=True)
 class Boosted:
-    """Few larger steps by default: a boosting round is a Spark job, so 1000 rounds at 0.01 cost minutes."""
-
-    rounds: int = 100
-    rate: float = 0.1
+    rounds: int = 1000
+    rate: float = 0.01
     depth: int = 5
     subsample: float = 0.8
     seed: int = 42
 
+    def train(self, rows: DataFrame, features: Mapping[str, str]) -> TreeModel:
+        """Boosted trees for one series; ``rows`` hold the values of ``features`` and ``y``."""
+        nodes = boosted_nodes(rows, list(features), self.rounds, self.rate, Growth(self.depth), self.subsample, self.seed)
+        weights = np.array([1.0, *[self.rate] * self.rounds])
+        return TreeModel(rows.sparkSession, dict(features), nodes.toArrow().to_pandas(), weights, 1.0)
+
     def estimator(self) -> GBTRegressor:
+        """The same for the rows of many series together, which no task holds; here a round is a Spark job."""
         return GBTRegressor(
             maxIter=self.rounds, stepSize=self.rate, maxDepth=self.depth, subsamplingRate=self.subsample,
             seed=self.seed, featuresCol="features", labelCol="y", predictionCol="yhat",
@@ -92,13 +103,10 @@ class Additive:
 Recipe = Forest | Boosted | Additive
 
 
-def _pipeline(recipe: Recipe, series: DataFrame) -> Pipeline:
+def _pipeline(recipe: Additive, series: DataFrame) -> Pipeline:
     """Features and estimator in one saved unit: the fitted model needs nothing but ``ds``."""
-    if isinstance(recipe, Additive):
-        span = S.profile(series).first()
-        columns = recipe.terms(span["first_day"], span["last_day"])
-    else:
-        columns = calendar_sql("ds")
+    span = S.profile(series).first()
+    columns = recipe.terms(span["first_day"], span["last_day"])
     listed = ", ".join(f"{sql} AS {name}" for name, sql in columns.items())
     return Pipeline(
         stages=[
@@ -109,33 +117,54 @@ def _pipeline(recipe: Recipe, series: DataFrame) -> Pipeline:
     )
 
 
-def fit(series: DataFrame, recipe: Recipe) -> PipelineModel:
-    return _pipeline(recipe, series).fit(series)
+Model = PipelineModel | TreeModel
+
 
+def _training_rows(series: DataFrame, features: Mapping[str, str]) -> DataFrame:
+    return series.select(*[F.expr(sql).cast("double").alias(name) for name, sql in features.items()], F.col("y").cast("double").alias("y"))
 
-def predict(model: PipelineModel, days: DataFrame) -> DataFrame:
+
+def fit(series: DataFrame, recipe: Recipe) -> Model:
+    """A model of one series, which is bounded by the calendar: the additive one is solved over a single partition, and trees grow
+    in tasks that hold the series, so how the rows were partitioned changes no fitted value."""
+    if isinstance(recipe, Additive):
+        return _pipeline(recipe, series).fit(series.coalesce(1))
+    features = calendar_sql("ds")
+    return recipe.train(_training_rows(series, features), features)
+
+
+def predict(model: Model, days: DataFrame) -> DataFrame:
     """``days`` plus ``yhat``; the same call for every kind of model."""
     return model.transform(days).select(*days.columns, "yhat")
 
 
+def save_model(model: Model, path: str) -> None:
+    if isinstance(model, TreeModel):
+        model.save(path)
+    else:
+        model.write().save(path)
+
+
+def load_model(spark: SparkSession, path: str) -> Model:
+    return TreeModel.load(spark, path) if TreeModel.saved_at(spark, path) else PipelineModel.load(path)
+
+
 # ---------------------------------------------------------------- scoring
 @dataclass(frozen=True)
 class Trained:
-    model: PipelineModel
+    """A fitted model, its errors on the holdout days and the forecasts (ds, y, yhat) they were computed from."""
+
+    model: Model
     mae: float | None
     rmse: float | None
     training_rows: int
+    holdout: tuple[tuple[date, int, float], ...] = ()
 
 
 def error_measures(compared: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return compared.groupBy(*keys).agg(S.mae(), S.rmse())
 
 
-def _packed(series: DataFrame, rows: int) -> DataFrame:
-    """As few partitions as the row count justifies: training runs hundreds of short jobs."""
-    return series.coalesce(1 + rows // ROWS_PER_TASK)
-
-
 def train_and_evaluate(
     series: DataFrame,
     recipe: Recipe,
@@ -152,9 +181,14 @@ def train_and_evaluate(
         if minimum is not None:
             S.require_history(known, minimum)
         train, test = S.holdout_split(known, holdout)
-        scored = predict(fit(_packed(train, rows), recipe), test.select("ds"))
-        errors = error_measures(S.actual_vs_forecast(test, scored)).first()
-        return Trained(fit(_packed(known, rows), recipe), errors["mae"], errors["rmse"], rows)
+        scored = predict(fit(train, recipe), test.select("ds"))
+        compared = S.actual_vs_forecast(test, scored).select("ds", "y", "yhat").orderBy("ds").persist()
+        try:
+            errors = error_measures(compared).first()
+            kept = tuple((r["ds"], r["y"], r["yhat"]) for r in compared.collect())  # at most ``holdout`` rows
+        finally:
+            compared.unpersist()
+        return Trained(fit(known, recipe), errors["mae"], errors["rmse"], rows, kept)
     finally:
         known.unpersist()
 
@@ -166,7 +200,7 @@ def retrain(series: DataFrame, recipe: Recipe, as_of: date) -> Trained:
         rows = known.count()
         if rows == 0:
             raise EmptyInput("no days to train on")
-        return Trained(fit(_packed(known, rows), recipe), None, None, rows)
+        return Trained(fit(known, recipe), None, None, rows)
     finally:
         known.unpersist()
 
@@ -184,8 +218,11 @@ def direct_forecast(model: PipelineModel, series: DataFrame, periods: int = HORI
 
 # ---------------------------------------------------------------- recursive forecast
 def fit_on_lags(series: DataFrame, recipe: Forest | Boosted, keys: Sequence[str] = ()):
-    """Tree ensemble on the lag feature set, incomplete first rows dropped."""
+    """Tree ensemble on the lag feature set, incomplete first rows dropped.  With ``keys``, one for all series together."""
     rows = M.complete_rows(M.lag_features(series, keys))
+    if not keys:
+        features = {name: f"`{name}`" for name in M.LAG_FEATURES}
+        return recipe.train(_training_rows(rows, features), features)
     assembler = VectorAssembler(inputCols=list(M.LAG_FEATURES), outputCol="features")
     # Training passes over its input several times; the windows should run once.
     inputs = assembler.transform(rows).select("features", "y").persist()
@@ -233,7 +270,8 @@ def recursive_forecast(
     spark = series.sparkSession
     ship_package(spark)
     depth = max(*M.LAGS, *M.WINDOWS)
-    ensemble = spark.sparkContext.broadcast(flatten(spark, model, work_path(spark, "ensemble")))
+    trees = model.ensemble if isinstance(model, TreeModel) else flatten(spark, model, work_path(spark, "ensemble"))
+    ensemble = spark.sparkContext.broadcast(trees)
 
     newest = Window.partitionBy(*keys).orderBy(F.desc("ds"))
     tail = series.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= depth)
@@ -281,9 +319,13 @@ def recursive_forecast(
     )
 
 
+# The settings of the comparison, which has its own.
+COMPARED: dict[str, Recipe] = {"boosted": Boosted(rate=0.02, subsample=1.0), "forest": Forest(min_leaf=1)}
+
+
 def compare_models(
     series: DataFrame,
-    recipes: Mapping[str, Forest | Boosted],
+    recipes: Mapping[str, Forest | Boosted] = COMPARED,
     cutoff: date | None = None,
     holdout: int = S.HOLDOUT_ROWS,
 ) -> DataFrame:
@@ -305,10 +347,3 @@ def compare_models(
         return error_measures(compared, ["model"])
     finally:
         train.unpersist()
-
-
-def quick(recipe: Recipe) -> Recipe:
-    """The same kind of model with few small trees, for smoke runs."""
-    if isinstance(recipe, Forest):
-        return replace(recipe, trees=20, depth=6)
-    return replace(recipe, rounds=10) if isinstance(recipe, Boosted) else recipe

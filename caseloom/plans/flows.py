@@ -6,7 +6,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -183,7 +182,7 @@ def forecast_for(
     models: ModelRegistry, name: str, as_of: date, periods: int = M.HORIZON
 ) -> DataFrame:
     """(ds, yhat, yhat_lower, yhat_upper) from ``as_of`` on; empty when the model is unknown."""
-    model: PipelineModel | None = models.load_latest(name)
+    model = models.load_latest(name)
     spine = S.date_spine(
         models.latest_row(name), F.lit(as_of), F.date_add(F.lit(as_of), periods - 1)
     )

@@ -91,3 +91,4 @@ MODEL_REGISTRY = _struct("model_name STRING, created_at TIMESTAMP, path STRING")
 MODEL_METRICS = _struct(
     "model_name STRING, created_at TIMESTAMP, mae DOUBLE, rmse DOUBLE, training_rows INT"
 )
+HOLDOUT_FORECASTS = _struct("model_name STRING, created_at TIMESTAMP, ds DATE, y DOUBLE, yhat DOUBLE")

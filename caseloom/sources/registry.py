@@ -5,18 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseloom.operators.forecast import Trained
-from caseloom.schemas import AUDIT, MODEL_METRICS, MODEL_REGISTRY
+from caseloom.operators.forecast import Model, Trained, load_model, save_model
+from caseloom.schemas import AUDIT, HOLDOUT_FORECASTS, MODEL_METRICS, MODEL_REGISTRY
 from caseloom.sources import files
 
 
 class ModelRegistry:
-    """``models/<name>/<time>`` folders plus two append-only tables, ``metrics`` and ``registry``.
+    """``models/<name>/<time>`` folders plus three append-only tables, ``holdout``, ``metrics`` and ``registry``.
 
     A model is written first, its metrics next and its registry row last, so a listed model is
     always complete.
@@ -41,9 +40,16 @@ class ModelRegistry:
     def metrics(self) -> DataFrame:
         return self._table("metrics", MODEL_METRICS)
 
+    def holdout(self) -> DataFrame:
+        """The forecasts of the holdout days that a model's errors were computed from."""
+        return self._table("holdout", HOLDOUT_FORECASTS)
+
     def publish(self, name: str, trained: Trained, created_at: datetime) -> str:
         path = f"{self.root}/models/{name}/{created_at:%Y%m%dT%H%M%S%f}"
-        trained.model.write().save(path)
+        save_model(trained.model, path)
+        if trained.holdout:
+            rows = [(name, created_at, day, float(y), yhat) for day, y, yhat in trained.holdout]
+            self.spark.createDataFrame(rows, HOLDOUT_FORECASTS).coalesce(1).write.mode("append").parquet(f"{self.root}/holdout")
         row = (name, created_at, trained.mae, trained.rmse, trained.training_rows)
         self._append("metrics", row, MODEL_METRICS)
         self._append("registry", (name, created_at, path), MODEL_REGISTRY)
@@ -52,10 +58,10 @@ class ModelRegistry:
     def latest_row(self, name: str) -> DataFrame:
         return self.registry().where(F.col("model_name") == name).orderBy(F.desc("created_at")).limit(1)
 
-    def load_latest(self, name: str) -> PipelineModel | None:
+    def load_latest(self, name: str) -> Model | None:
         """The newest model of that name; None if there is none."""
         row = self.latest_row(name).first()
-        return None if row is None else PipelineModel.load(row["path"])
+        return None if row is None else load_model(self.spark, row["path"])
 
     def names(self) -> list[str]:
         return [r["model_name"] for r in self.registry().select("model_name").distinct().orderBy("model_name").collect()]

@@ -18,7 +18,7 @@ from caseloom.workload import stores
 from caseloom.workload.registry import query
 
 AT = datetime(2024, 1, 31, 6, 0)
-FOREST, BOOSTED = forecast.quick(forecast.Forest()), forecast.quick(forecast.Boosted())
+FOREST, BOOSTED = forecast.Forest(), forecast.Boosted()
 
 
 def days_sql(body: str, **extra: str) -> str:
@@ -270,10 +270,9 @@ def _train_evaluate(spark, sf_dir):
 
 @query("m11_recursive")
 def _recursive(spark, sf_dir):
-    """One shared model, rolled 90 days ahead for every area."""
-    days = S.densify(_days(spark, sf_dir, ["area_id"]), ["area_id"])
-    model = forecast.fit_on_lags(days, FOREST, ["area_id"])
-    return forecast.recursive_forecast(days, model, keys=["area_id"])
+    """The whole series, 90 days ahead, every forecast fed back as history."""
+    days = S.densify(_days(spark, sf_dir))
+    return forecast.recursive_forecast(days, forecast.fit_on_lags(days, FOREST))
 
 
 @query("m12_direct")
@@ -284,12 +283,12 @@ def _direct(spark, sf_dir):
 
 @query("m14_compare")
 def _compare(spark, sf_dir):
-    return forecast.compare_models(_days(spark, sf_dir), {"boosted": BOOSTED, "forest": FOREST}, fx.CUTOFF)
+    return forecast.compare_models(_days(spark, sf_dir), cutoff=fx.CUTOFF)
 
 
 @query("d7_forecast")
 def _served_forecast(spark, sf_dir):
-    """Train, publish, load the newest model back and serve 90 days from ``AS_OF``."""
+    """Train the champion, publish it, load the newest model of its name back and serve 90 days from ``AS_OF``."""
     models = ModelRegistry(spark, work_path(spark, "models"))
-    flows.train_champion(_days(spark, sf_dir), models, AT, fx.CUTOFF, FOREST)
+    flows.train_champion(_days(spark, sf_dir), models, AT, fx.CUTOFF)
     return flows.forecast_for(models, flows.CHAMPION, fx.AS_OF)

@@ -27,9 +27,10 @@ def wave(spark):
 
 @pytest.mark.parametrize("recipe", [FOREST, BOOSTED], ids=["forest", "boosted"])
 def test_flat_ensemble_equals_the_model(spark, wave, tmp_path, recipe):
-    model = P.fit_on_lags(wave, recipe)
-    flat = flatten(spark, model, str(tmp_path / "m"))
     rows = M.complete_rows(M.lag_features(wave))
+    assembled = VectorAssembler(inputCols=list(M.LAG_FEATURES), outputCol="features").transform(rows)
+    model = recipe.estimator().fit(assembled)
+    flat = flatten(spark, model, str(tmp_path / "m"))
     scored = model.transform(VectorAssembler(inputCols=list(M.LAG_FEATURES), outputCol="features").transform(rows))
     got = scored.select(*M.LAG_FEATURES, "yhat").toPandas()
     want = flat.predict(got[list(M.LAG_FEATURES)].to_numpy(float), chunk=50)
@@ -41,12 +42,11 @@ def test_recursive_forecast_by_hand(spark, wave):
     model = P.fit_on_lags(wave, FOREST)
     rolled = [r["yhat"] for r in P.recursive_forecast(wave, model, 4).orderBy("ds").collect()]
     history = [(r["ds"], float(r["y"])) for r in wave.orderBy("ds").collect()]
-    assembler = VectorAssembler(inputCols=list(M.LAG_FEATURES), outputCol="features")
     for step in range(4):
         day = history[-1][0] + timedelta(1)
         frame = spark.createDataFrame([*history, (day, 0.0)], "ds date, y double")
         row = M.lag_features(frame).where(f"ds = DATE'{day}'")
-        value = model.transform(assembler.transform(row)).first()["yhat"]
+        value = model.transform(row).first()["yhat"]
         assert value == pytest.approx(rolled[step], rel=1e-9)
         history.append((day, value))
 
@@ -102,6 +102,8 @@ def test_registry_serves_the_newest_and_metrics_follow(spark, wave, tmp_path):
     newest = models.publish("forest", first, datetime(2024, 1, 2))
     flows.daily_retrain(wave, models, date(2022, 6, 1), datetime(2024, 1, 3), BOOSTED)
     assert models.names() == ["forest", flows.CHAMPION]
+    again = models.holdout().groupBy("created_at").agg(S.mae(), S.rmse()).collect()
+    assert len(again) == 2 and all((r["mae"], r["rmse"]) == pytest.approx((first.mae, first.rmse)) for r in again)
     assert models.latest_row("forest").first()["path"] == newest
     latest = dashboard.latest_metrics(models.metrics(), models.registry())
     rows = {r["model_name"]: r for r in latest.collect()}
