@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import map_batches, stored, texts_of
+from caseloom.llm.common import discard, map_batches, stored, texts_of
 from caseloom.llm.quotient_filter import CountingFilter, permute, restore
 from caseloom.session import ship_package
 
@@ -206,7 +206,9 @@ def collocations(documents: DataFrame, longest: int = 3, least: int = 10, percen
         raise ValueError(f"{longest} word ids of {bits} bits each are too long to pack")
     bucket_bits = min(bits, max(LEAST_BUCKET_BITS, (occurrences // BUCKET_GRAMS).bit_length()))
     filters = stored(shard_filters(cut, frequent, longest, bits, bucket_bits), "filters")
+    discard(cut)
     found = stored(merged_counts(filters, bits, bucket_bits, least), "candidates")
+    discard(filters)
 
     counts = found.unionByName(frequent.select(F.array("id").alias("words"), F.col("f").alias("a")))
     n = F.size("words")
