@@ -191,8 +191,37 @@ def forecast_for(
     return M.with_band(M.predict(model, spine))
 
 
+MODEL_TABLES = ("registry", "metrics", "holdout")
+
+
 def snapshot_store(store: Store, models: ModelRegistry, destination: str, at: datetime) -> str:
-    """Star schema and model tables as one verified snapshot."""
+    """Star schema, model tables and the fitted models as one verified snapshot.  Registered paths are kept below the models' folder."""
     tables = {name: store.table(name) for name in TABLES}
-    tables |= {"model_registry": models.registry(), "model_metrics": models.metrics()}
-    return snapshot.snapshot(store.spark, tables, destination, at)
+    below = F.substring_index(F.col("path"), f"{models.root}/", -1)
+    tables |= {
+        "model_registry": models.registry().withColumn("path", below), "model_metrics": models.metrics(), "model_holdout": models.holdout()
+    }
+    folder = snapshot.snapshot(store.spark, tables, destination, at)
+    snapshot.snapshot_files(store.spark, f"{models.root}/models", destination, folder)
+    return folder
+
+
+def restore_store(spark: SparkSession, folder: str, target: str) -> tuple[Store, ModelRegistry]:
+    """A store and a model registry below ``target`` holding what the snapshot holds, all verified first.
+
+    The tables become visible by one commit and the models by their registry rows, which come last, so a restore that
+    dies leaves neither; ``target`` must not hold a store yet."""
+    store, models = Store(spark, f"{target}/warehouse"), ModelRegistry(spark, f"{target}/registry")
+    if store.commits() or models.names():
+        raise ValueError(f"{target} is in use")
+    tables = snapshot.verify(spark, folder)
+    number, load = store.new_load()
+    rows = {name: store.write(name, load, tables[name].select(*TABLES[name].names)) for name in TABLES}
+    snapshot.restore_files(spark, folder, folder.rsplit("/", 1)[0], f"{models.root}/models")
+    here = F.concat(F.lit(f"{models.root}/"), F.col("path"))
+    for name in reversed(MODEL_TABLES):
+        df = tables[f"model_{name}"]
+        df = df.withColumn("path", here) if name == "registry" else df
+        df.write.mode("overwrite").parquet(f"{models.root}/{name}")
+    store.commit(number, load, rows, batch=f"snapshot {folder}")
+    return store, models

@@ -96,3 +96,21 @@ def publish_text(spark: SparkSession, target: str, content: str) -> None:
 
 def delete(spark: SparkSession, text: str) -> None:
     filesystem(spark, text).delete(_path(spark, text), True)
+
+
+def copy(spark: SparkSession, source: str, target: str) -> None:
+    """Copy one file as a stream; readers of the target see the whole file or none."""
+    configuration = spark._jsc.hadoopConfiguration()
+    fs = filesystem(spark, target)
+    staged = f"{target}.{spark._jvm.java.util.UUID.randomUUID().toString()}"
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(
+        filesystem(spark, source), _path(spark, source), fs, _path(spark, staged), False, configuration
+    )
+    if not fs.rename(_path(spark, staged), _path(spark, target)):
+        delete(spark, staged)
+        if not exists(spark, target):
+            raise OSError(f"cannot write {target}")
+
+
+def make_folder(spark: SparkSession, text: str) -> None:
+    filesystem(spark, text).mkdirs(_path(spark, text))

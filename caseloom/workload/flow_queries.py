@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.plans import flows, snapshot
 from caseloom.plans.warehouse import create_store
+from caseloom.schemas import TABLES
 from caseloom.session import work_path
 from caseloom.sources import headers as H
 from caseloom.sources import lake
@@ -273,22 +276,54 @@ def _audit_summary(spark, sf_dir):
         F.count("*").alias("runs"), F.count_if(F.col("error_message") != "").alias("with_message"))
 
 
+_snapshots: dict[tuple[str, str], tuple[str, ModelRegistry, Store, ModelRegistry]] = {}
+
+
+def _restored(spark, sf_dir) -> tuple[str, ModelRegistry, Store, ModelRegistry]:
+    """Snapshot of the loaded store and a trained model, and the store and registry restored from it; once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _snapshots:
+        store = stores.incident_store(spark, sf_dir)
+        models = ModelRegistry(spark, work_path(spark, "models"))
+        flows.train_champion(flows.fact_series(store), models, AT, fx.CUTOFF)
+        folder = flows.snapshot_store(store, models, work_path(spark, "snapshots"), AT)
+        _snapshots[key] = (folder, models, *flows.restore_store(spark, folder, work_path(spark, "restored")))
+    return _snapshots[key]
+
+
 @query("s18_snapshot", fx.with_fact(
     "select 'fact_crime' as name, count(*) as rows from fact union all " + " union all ".join(
         f"select '{t}', count(*) from {t}" for t in fx.DIM_SQL)
-    + " union all select 'model_registry', 0 union all select 'model_metrics', 0", *fx.DIM_SQL))
+    + " union all select * from (values ('model_registry', 1), ('model_metrics', 1), ('model_holdout', 90))", *fx.DIM_SQL))
 def _snapshot(spark, sf_dir):
-    store = stores.incident_store(spark, sf_dir)
-    models = ModelRegistry(spark, work_path(spark, "models"))
-    folder = flows.snapshot_store(store, models, work_path(spark, "snapshots"), AT)
+    folder = _restored(spark, sf_dir)[0]
     return snapshot.read_manifest(spark, folder).select(F.col("table").alias("name"), "rows")
 
 
+@query("s18_checksums", "select unnest([" + ", ".join(f"'{t}'" for t in TABLES) + "]) as name, true as equal")
+def _checksums(spark, sf_dir):
+    """Does every restored table have the checksum that the manifest holds?"""
+    folder, _, store, _ = _restored(spark, sf_dir)
+    found = [snapshot.fingerprint(store.table(t)).select(F.lit(t).alias("name"), "rows", "checksum") for t in TABLES]
+    expected = snapshot.read_manifest(spark, folder).withColumnRenamed("table", "name").withColumn("equal", F.lit(True))
+    return reduce(DataFrame.unionByName, found).join(expected, ["name", "rows", "checksum"], "left").select(
+        "name", F.coalesce("equal", F.lit(False)).alias("equal"))
+
+
 @query("s19_restore", _FACT)
 def _restore(spark, sf_dir):
-    store = stores.incident_store(spark, sf_dir)
-    models = ModelRegistry(spark, work_path(spark, "models"))
-    folder = flows.snapshot_store(store, models, work_path(spark, "snapshots"), AT)
-    target = work_path(spark, "restored")
-    snapshot.restore(spark, folder, target)
-    return spark.read.parquet(f"{target}/fact_crime").drop("occ_year")
+    return _restored(spark, sf_dir)[2].table("fact_crime").drop("occ_year")
+
+
+@query("s19_dimensions", _ALL_DIMENSIONS)
+def _restored_dimensions(spark, sf_dir):
+    return _dimensions(_restored(spark, sf_dir)[2])
+
+
+@query("s19_model", f"select cast(d as date) as ds, true as equal from unnest(generate_series(date '{fx.AS_OF}', "
+       f"date '{fx.AS_OF + timedelta(89)}', interval 1 day)) t(d)")
+def _restored_model(spark, sf_dir):
+    """90 days served by the stored and by the restored champion."""
+    _, models, _, restored = _restored(spark, sf_dir)
+    one, other = (flows.forecast_for(m, flows.CHAMPION, fx.AS_OF).select("ds", F.col("yhat").alias(n)) for m, n in ((models, "a"), (restored, "b")))
+    return one.join(other, "ds").select("ds", (F.col("a") == F.col("b")).alias("equal"))

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from caseloom.plans import flows, research, snapshot
 from caseloom.plans.warehouse import create_store
+from caseloom.schemas import TABLES
 from caseloom.sources.lake import EmptyInput
 from caseloom.sources.registry import ModelRegistry, append_audit, audit_record, error_log, read_audit
 from caseloom.streaming.incremental import ingest_new_files, quarantined
@@ -193,6 +194,43 @@ def test_snapshot_restores_exactly_and_detects_damage(spark, table, tmp_path):
     assert not (tmp_path / "other").exists()
 
 
+def test_a_restored_folder_opens_as_store_and_registry(spark, tmp_path):
+    from datetime import timedelta
+
+    from caseloom.operators import forecast as M
+
+    lake = tmp_path / "lake"
+    write(lake, "a.json", [record(i, f"2020-01-{1 + i % 28:02d}", area=str(i % 3)) for i in range(60)])
+    store = create_store(spark, str(tmp_path / "w"))
+    flows.daily_load(spark, str(lake), str(tmp_path / "staging"), store)
+    models = ModelRegistry(spark, str(tmp_path / "m"))
+    series = spark.createDataFrame([(date(2020, 1, 1) + timedelta(i), 10 + i % 7) for i in range(150)], "ds date, y bigint")
+    for n, recipe in enumerate((M.Boosted(rounds=5), M.Boosted(rounds=5), M.Additive(changepoints=2, yearly=1))):
+        models.publish("m" if n < 2 else "additive", M.train_and_evaluate(series, recipe), datetime(2024, 1, 1 + n))
+    folder = flows.snapshot_store(store, models, str(tmp_path / "snaps"), datetime(2024, 1, 9))
+    names = len(spark.read.parquet(f"{folder}/_files").collect())
+    assert len([p for p in (tmp_path / "snaps" / "blobs").iterdir() if not p.name.startswith(".")]) < names  # equal contents once
+    again, registry = flows.restore_store(spark, folder, str(tmp_path / "back"))
+    for t in TABLES:
+        assert sorted(map(str, again.table(t).collect())) == sorted(map(str, store.table(t).collect()))
+    assert sorted(registry.metrics().collect()) == sorted(models.metrics().collect())
+    for name in ("m", "additive"):
+        want, got = (flows.forecast_for(r, name, date(2020, 7, 1), 5).orderBy("ds").collect() for r in (models, registry))
+        assert got == want and len(got) == 5
+        assert registry.latest_row(name).first()["path"].startswith(str(tmp_path / "back"))
+    write(lake, "b.json", [record(1000)])
+    flows.daily_load(spark, str(lake), str(tmp_path / "staging"), again)
+    assert again.table("fact_crime").count() == 61
+    with pytest.raises(ValueError, match="in use"):
+        flows.restore_store(spark, folder, str(tmp_path / "back"))
+    damaged = next(p for p in (tmp_path / "snaps" / "blobs").iterdir() if not p.name.startswith("."))
+    damaged.write_bytes(b"other")
+    (damaged.parent / f".{damaged.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(snapshot.SnapshotMismatch, match="files"):
+        flows.restore_store(spark, folder, str(tmp_path / "third"))
+    assert create_store(spark, str(tmp_path / "third" / "warehouse")).table("fact_crime").count() == 0
+
+
 def test_fingerprint_ignores_order_and_partitioning(spark):
     one = spark.range(1000).selectExpr("id", "string(id % 7) as s")
     assert snapshot.fingerprint(one).first() == snapshot.fingerprint(
@@ -215,4 +253,4 @@ def test_snapshot_of_the_store(spark, tmp_path):
     store = create_store(spark, str(tmp_path / "w"))
     models = ModelRegistry(spark, str(tmp_path / "m"))
     folder = flows.snapshot_store(store, models, str(tmp_path / "snaps"), datetime(2024, 1, 1))
-    assert snapshot.read_manifest(spark, folder).count() == 10
+    assert snapshot.read_manifest(spark, folder).count() == 11
