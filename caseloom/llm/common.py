@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
 
@@ -52,6 +53,14 @@ def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], It
     return df.mapInArrow(function, schema)
 
 
+def hand_back() -> None:
+    """Return memory that a finished task has freed: Python workers wait for the next stage with what their allocators keep."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Python strings, NULL as ''."""
     return [x or "" for x in column.to_pylist()]

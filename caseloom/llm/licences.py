@@ -146,6 +146,18 @@ def separating_limit(right: list[float], wrong: list[float]) -> float:
     return min(middles, key=lambda t: sum(p < t for p in right) / max(len(right), 1) + sum(p >= t for p in wrong) / max(len(wrong), 1))
 
 
+def any_word_of(words: set[str]) -> str:
+    """Pattern for one of the words at the start of a word.  Common beginnings are written once, so a place in the text is left
+    after a letter or two instead of being tried against every word."""
+    branches: dict[str, set[str]] = {}
+    for word in words:
+        branches.setdefault(word[:1], set()).add(word[1:])
+    if "" in branches:  # a shorter word ends here: nothing after it needs a look
+        return ""
+    inner = [first + any_word_of(rest) for first, rest in sorted(branches.items())]
+    return inner[0] if len(inner) == 1 else f"(?:{'|'.join(inner)})"
+
+
 def paragraphs(documents: DataFrame) -> DataFrame:
     """doc_id, position, paragraph: non-blank lines."""
     lines = F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("position", "paragraph")
@@ -153,18 +165,23 @@ def paragraphs(documents: DataFrame) -> DataFrame:
 
 
 def units(documents: DataFrame, pairs: list[str]) -> DataFrame:
-    """doc_id, position, paragraph, run: the lines with one of ``pairs`` (run NULL), and the confirmed runs (run: the family).
+    """doc_id, position, paragraph, run: the lines with one of ``pairs`` and a telling word of theirs (run NULL), and the confirmed runs
+    (run: the family).
 
     Lines of a confirmed run that no template confirms alone are left out.  All is worked out inside a row of ``documents``."""
     names = list(TEMPLATES)
     of = {f: sorted({p for s in TEMPLATES[f] for p in _pairs_of(s)}) for f in names}
     telling = {f: [p for p in of[f] if not set(p.split()) <= _PLAIN] for f in names}
     literal = lambda values: F.array(*map(F.lit, values))
+    # A first look at whole texts, then at lines: without a beginning of a template's telling words there is nothing to compare.
+    look = r"(?<![\p{L}\p{Nd}])" + any_word_of({w for p in pairs for w in p.split()} - _PLAIN)
+    lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("position"), x.alias("paragraph")))
+    lines = F.filter(lines, lambda h: F.lower(h["paragraph"]).rlike(look))
     hits = F.transform(
-        F.split(F.coalesce("text", F.lit("")), "\n"),
-        lambda x, i: F.struct(i.alias("position"), x.alias("paragraph"), F.array_intersect(_pairs(_words(x)), literal(pairs)).alias("pairs")),
+        lines,
+        lambda h: F.struct(h["position"].alias("position"), h["paragraph"].alias("paragraph"), F.array_intersect(_pairs(_words(h["paragraph"])), literal(pairs)).alias("pairs")),
     )
-    hits = documents.select("doc_id", F.filter(hits, lambda h: F.size(h["pairs"]) > 0).alias("hits")).where(F.size("hits") > 0)
+    hits = documents.where(F.lower("text").rlike(look)).select("doc_id", F.filter(hits, lambda h: F.size(h["pairs"]) > 0).alias("hits")).where(F.size("hits") > 0)
     every = literal(sorted({p for f in names for p in telling[f]}))
     hits = hits.withColumn("told", F.transform("hits", lambda h: F.arrays_overlap(h["pairs"], every)))
 
@@ -242,7 +259,6 @@ def train(spark: SparkSession, lines: DataFrame) -> tuple[PipelineModel, list[st
     held = [(r["p"], r["label"] == r["at"] + 1) for r in held.collect()]
     limit = separating_limit([p for p, right in held if right], [p for p, right in held if not right])
     return PipelineModel([counter, model]), names, limit
-    return PipelineModel([counter, model]), names, max(0.5, min(0.9, limit or 0.5))
 
 
 def scan_licences(documents: DataFrame) -> DataFrame:

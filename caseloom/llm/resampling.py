@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import map_batches, mix, stored, window_hashes, word_hashes
+from caseloom.llm.common import hand_back, map_batches, mix, stored, window_hashes, word_hashes
 
 BUCKETS = 10_000
 SMOOTHING = 3.0
@@ -48,6 +48,8 @@ def bucket_counts(documents: DataFrame) -> DataFrame:
                 total += np.bincount(features(text.as_py()), minlength=BUCKETS)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["bucket", "n"])
+        batch = None
+        hand_back()
 
     return map_batches(documents.select("text").distinct(), run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
@@ -171,6 +173,8 @@ def resample(
                 [batch.column(0), pa.array(score, pa.float64()), pa.array(unseen, pa.float64()), pa.array(map(len, grams), pa.int64())],
                 names=["doc_id", "log_weight", "unseen", "n_grams"],
             )
+        batch = grams = None
+        hand_back()
 
     scored = map_batches(docs, run, "doc_id long, log_weight double, unseen double, n_grams long")
     scored = scored.withColumn("gumbel_key", F.col("log_weight") + gumbel(seed))

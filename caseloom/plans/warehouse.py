@@ -91,12 +91,18 @@ def unknown_members(spark: SparkSession, table: str) -> DataFrame:
 
 
 def rejects(staging: DataFrame) -> DataFrame:
-    """One row: per numeric column, how many non-blank texts are not numbers (read as NULL)."""
-    names = ("area_id", "crm_cd", "premis_id", "weapon_id", "time_occ", "lat", "lon", "vict_age")
+    """One row: per numeric column, how many non-blank texts are no numbers of its kind (codes and times are whole numbers
+    of 32 bits) and so were read as NULL or the unknown member."""
+    codes = ("area_id", "crm_cd", "premis_id", "weapon_id")
+    names = (*codes, "time_occ", "lat", "lon", "vict_age")
 
     def bad(name: str) -> F.Column:
         text = F.trim(F.col(name).cast("string"))
-        return F.count_if((text != "") & X.double_of(staging, name).isNull()).alias(name)
+        if name in codes:
+            read = X.canonical_code(F.col(name), False)
+        else:
+            read = X.half_even_int(F.col(name), False) if name == "time_occ" else X.double_of(staging, name)
+        return F.count_if((text != "") & read.isNull()).alias(name)
 
     present = [n for n in names if n in staging.columns]
     day = F.count_if(F.col("date_occ").isNotNull() & X.date_of(staging, "date_occ").isNull())
@@ -145,18 +151,20 @@ def merge_staging(
     def write(table: str) -> int:
         return store.write(table, load, new_rows(store, table, staging, strict))
 
-    # The fact, by far the longest job, is submitted first.
-    counts = _side_by_side({t: lambda t=t: write(t) for t in reversed(BATCH_ROWS)})
+    # The fact, by far the longest job, is submitted first; unreadable values are counted beside it.
+    jobs = {t: lambda t=t: write(t) for t in reversed(BATCH_ROWS)}
+    counts = _side_by_side({**jobs, "rejects": lambda: rejects(staging).first().asDict()})
+    unread = {c: n for c, n in counts.pop("rejects").items() if n}
 
     if check_orphans:
         dimensions = {
             t: store.table(t).unionByName(store.loaded(t, [load])) for t, _ in FOREIGN_KEYS.values()
         }
         require_no_orphans(orphan_counts(store.loaded("fact_crime", [load]), dimensions, FOREIGN_KEYS))
-    return store.commit(number, load, counts, batch)
+    return store.commit(number, load, counts, batch, unread)
 
 
-def _side_by_side(actions: dict[str, Callable[[], int]]) -> dict[str, int]:
+def _side_by_side(actions: dict[str, Callable[[], object]]) -> dict[str, object]:
     """Results of Spark actions run concurrently; a failure is raised after all have ended."""
     with ThreadPoolExecutor(max_workers=len(actions)) as pool:
         running = {name: pool.submit(action) for name, action in actions.items()}

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +28,7 @@ class Commit:
     load: str
     batch: str | None
     rows: dict[str, int]
+    rejects: dict[str, int] = field(default_factory=dict)  # staging values that could not be read, by column
 
 
 class Store:
@@ -51,10 +52,12 @@ class Store:
         number = max((c.number for c in self.commits()), default=0) + 1
         return number, f"{number}-{uuid.uuid4().hex[:12]}"
 
-    def commit(self, number: int, load: str, rows: dict[str, int], batch: str | None = None) -> Commit:
+    def commit(
+        self, number: int, load: str, rows: dict[str, int], batch: str | None = None, rejects: dict[str, int] | None = None
+    ) -> Commit:
         """Make a load visible.  Fails if another load took the number since this one looked at the
         tables; it must then be repeated, as its rows were chosen without those of the other."""
-        done = Commit(number, load, batch, {t: n for t, n in rows.items() if n})
+        done = Commit(number, load, batch, {t: n for t, n in rows.items() if n}, rejects or {})
         files.publish_text(self.spark, f"{self.root}/commits/{number:08d}.json", json.dumps(asdict(done)))
         return done
 

@@ -53,6 +53,21 @@ def _stored_fact(spark, sf_dir):
     return stores.fact(spark, sf_dir).drop("occ_year")
 
 
+@query("l9_rejects", fx.with_raw(
+    "select 'crm_cd' as name, count(*) as n from raw where trim(crm_cd_desc) <> '' union all "
+    "select 'premis_id', count(*) from raw where premis_id like '1%' union all "
+    "select 'date_occ', count(*) from raw where date_occ is not null and area_id like '1%'"))
+def _rejects(spark, sf_dir):
+    """What a load's commit says of values it could not read: texts as codes, codes beyond 32 bits, days that are none."""
+    broken = stores.staging_table(spark, sf_dir).withColumns({
+        "crm_cd": F.col("crm_cd_desc"),
+        "premis_id": F.expr("case when premis_id like '1%' then concat('9', lpad(substr(premis_id, 1, 3), 12, '0')) else premis_id end"),
+        "date_occ": F.expr("case when date_occ is not null and area_id like '1%' then concat('no day ', date_occ) else date_occ end"),
+    })
+    commit = warehouse.merge_staging(warehouse.create_store(spark, work_path(spark, "rejects")), broken)
+    return spark.createDataFrame(list(commit.rejects.items()), "name string, n long")
+
+
 # Two batches: even supplier numbers first, then all the others; keys occurring in both keep the
 # row of the first batch.
 _EVEN = "cast(substr(premis_id, length(premis_id) - 2, 1) as int) % 2 = 1"
