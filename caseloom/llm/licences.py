@@ -33,36 +33,43 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "License-Identifier: Apache-2.0",
     ),
     "gpl-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
         "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "You should have received a copy of the GNU General Public License along with this program.",
+        "License-Identifier: GPL-3.0-or-later",
     ),
     "gpl-2.0": (
         "This work is licensed under the GNU General Public License, version 2.",
         "it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License.",
+        "License-Identifier: GPL-2.0-only",
     ),
     "lgpl": (
         "This library is licensed under the GNU Lesser General Public License.",
         "it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
+        "License-Identifier: LGPL-2.1",
     ),
     "mit": (
         "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
         "files (the \"Software\"), to deal in the Software without restriction.",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "License-Identifier: MIT",
     ),
     "bsd": (
         "Licensed under the BSD License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
         "conditions are met.",
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "License-Identifier: BSD-3-Clause",
     ),
     "mpl-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
+        "License-Identifier: MPL-2.0",
     ),
     **{
         f"cc-{short.lower()}": (
@@ -82,6 +89,32 @@ TEMPLATES = {
         "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
         "This work is dedicated to the public domain under Creative Commons Zero.",
     ),
+    "agpl-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License.",
+        "License-Identifier: AGPL-3.0-or-later",
+    ),
+    "epl-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+        "License-Identifier: EPL-2.0",
+    ),
+    "isc": (
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+        "License-Identifier: ISC",
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "License-Identifier: Unlicense",
+    ),
+    "bsl-1.0": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "License-Identifier: BSL-1.0",
+    ),
+    "eupl-1.2": (
+        "Licensed under the European Union Public Licence, version 1.2.",
+        "License-Identifier: EUPL-1.2",
+    ),
 }
 # Licensing language of no family above.
 UNKNOWN = (
@@ -92,13 +125,16 @@ UNKNOWN = (
     "This file is licensed under the same license as the package itself.",
     "Use of this work is subject to the license terms of the owner.",
     "You may not use, copy or modify this software without written permission.",
+    "Proprietary and confidential; redistribution is prohibited.",
+    "We may not obtain a copy of the book without permission of the publisher.",
+    "This article compares the licenses that projects choose and how their terms differ.",
 )
 # Paragraphs with such wording may be notices of no template: they are never taken for ordinary text.
 WORDING = r"(?i)licen[sc]|lizenz|copyright|©|creative commons|\bcc[ -]?(?:by|0|zero)\b|\bby-(?:nc|nd|sa)\b|public domain|(?:all|some) rights reserved"
 # Word pairs of these alone are in any text; the lines of a wrapped notice have others.
 _PLAIN = frozenset("a all an and any are as at be by for from in is it may no not of on or that the this to under use with without you".split())
 # Families whose templates share most of their words: of a run only the best of each counts.
-_RELATED = {"gpl-3.0": "gnu", "gpl-2.0": "gnu", "lgpl": "gnu", **{f: "cc" for f in TEMPLATES if f.startswith("cc-")}}
+_RELATED = {"gpl-3.0": "gnu", "gpl-2.0": "gnu", "lgpl": "gnu", "agpl-3.0": "gnu", **{f: "cc" for f in TEMPLATES if f.startswith("cc-")}}
 NEGATIVE_ROWS = 3_000  # paragraphs of the corpus the classifier is trained on at most, taken by hash
 TEMPLATE_SHARE = 0.6
 SEED = 11
@@ -118,6 +154,11 @@ def _pairs(words: Column) -> Column:
     return F.array_distinct(F.zip_with(F.slice(words, F.lit(1), rest), F.slice(words, F.lit(2), rest), lambda a, b: F.concat_ws(" ", a, b)))
 
 
+def _literal(grams: list[str]) -> Column:
+    """The n-grams, which hold letters, digits and spaces only, as a constant array: one literal that Spark splits once per plan."""
+    return F.split(F.lit("|".join(grams)), r"\|")
+
+
 def _with_grams(rows: DataFrame) -> DataFrame:
     return rows.withColumn("words", _words(F.col("paragraph"))).withColumn("grams", _grams("words"))
 
@@ -130,13 +171,17 @@ def _variants(sentence: str) -> list[str]:
 
 
 def _altered(sentence: str) -> list[str]:
-    """Notices as the training has not seen them: words dropped or swapped, other lead-ins and endings."""
+    """Notices as the training has not seen them: words dropped or swapped, other lead-ins and endings.  Of short sentences some of
+    these are variants that it has seen; they are left out."""
     words = sentence.split()
     dropped = [" ".join(w for k, w in enumerate(words) if k % 5 != at) for at in (1, 3)]
     swapped = list(words)
     for k in range(1, len(words) - 1, 4):
         swapped[k], swapped[k + 1] = swapped[k + 1], swapped[k]
-    return [*dropped, " ".join(swapped), f"Unless noted otherwise, this package holds: {sentence}", f"{sentence} Questions go to the maintainers of the project."]
+    made = [*dropped, " ".join(swapped), f"Unless noted otherwise, this package holds: {sentence}", f"{sentence} Questions go to the maintainers of the project."]
+    plain = lambda text: re.findall(r"[^\W_]+", text.lower())
+    seen = [plain(v) for v in _variants(sentence)]
+    return [v for v in made if plain(v) not in seen]
 
 
 def separating_limit(right: list[float], wrong: list[float]) -> float:
@@ -146,16 +191,31 @@ def separating_limit(right: list[float], wrong: list[float]) -> float:
     return min(middles, key=lambda t: sum(p < t for p in right) / max(len(right), 1) + sum(p >= t for p in wrong) / max(len(wrong), 1))
 
 
-def any_word_of(words: set[str]) -> str:
-    """Pattern for one of the words at the start of a word.  Common beginnings are written once, so a place in the text is left
-    after a letter or two instead of being tried against every word."""
+def any_of(words: set[str]) -> str:
+    """Pattern for one of the words.  Common beginnings are written once, so a place in the text is left after a letter or two
+    instead of being tried against every word."""
     branches: dict[str, set[str]] = {}
     for word in words:
         branches.setdefault(word[:1], set()).add(word[1:])
-    if "" in branches:  # a shorter word ends here: nothing after it needs a look
+    inner = [re.escape(first) + any_of(rest) for first, rest in sorted(branches.items()) if first]
+    if not inner:
         return ""
-    inner = [first + any_word_of(rest) for first, rest in sorted(branches.items())]
-    return inner[0] if len(inner) == 1 else f"(?:{'|'.join(inner)})"
+    return f"(?:{'|'.join(inner)})" + "?" * ("" in branches)
+
+
+def telling_pairs(pairs: list[str]) -> str:
+    """Pattern for one of the word pairs, as ``_pairs`` finds them in lower-cased text; pairs of plain words alone are left out."""
+    after: dict[str, set[str]] = {}
+    for first, second in (p.split() for p in pairs if not set(p.split()) <= _PLAIN):
+        after.setdefault(first, set()).add(second)
+    # first words that are followed by the same words share a branch
+    same: dict[frozenset[str], set[str]] = {}
+    for first, seconds in after.items():
+        same.setdefault(frozenset(seconds), set()).add(first)
+    gap = r"[^\p{L}\p{Nd}]+"
+    branches = "|".join(any_of(firsts) + gap + any_of(set(seconds)) for seconds, firsts in sorted(same.items(), key=lambda x: min(x[1])))
+    # the look at the first word's beginning rejects most places of a text before any branch is tried
+    return rf"(?<![\p{{L}}\p{{Nd}}])(?={any_of(set(after))}{gap})(?:{branches})(?![\p{{L}}\p{{Nd}}])"
 
 
 def paragraphs(documents: DataFrame) -> DataFrame:
@@ -165,24 +225,24 @@ def paragraphs(documents: DataFrame) -> DataFrame:
 
 
 def units(documents: DataFrame, pairs: list[str]) -> DataFrame:
-    """doc_id, position, paragraph, run: the lines with one of ``pairs`` and a telling word of theirs (run NULL), and the confirmed runs
+    """doc_id, position, paragraph, run: the lines with licence wording or a telling pair of ``pairs`` (run NULL), and the confirmed runs
     (run: the family).
 
     Lines of a confirmed run that no template confirms alone are left out.  All is worked out inside a row of ``documents``."""
     names = list(TEMPLATES)
     of = {f: sorted({p for s in TEMPLATES[f] for p in _pairs_of(s)}) for f in names}
     telling = {f: [p for p in of[f] if not set(p.split()) <= _PLAIN] for f in names}
-    literal = lambda values: F.array(*map(F.lit, values))
-    # A first look at whole texts, then at lines: without a beginning of a template's telling words there is nothing to compare.
-    look = r"(?<![\p{L}\p{Nd}])" + any_word_of({w for p in pairs for w in p.split()} - _PLAIN)
+    # Whole texts are looked at first, then lines; only lines that pass are split into words.
+    look = f"{WORDING.removeprefix('(?i)')}|{telling_pairs(pairs)}"
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("position"), x.alias("paragraph")))
     lines = F.filter(lines, lambda h: F.lower(h["paragraph"]).rlike(look))
     hits = F.transform(
         lines,
-        lambda h: F.struct(h["position"].alias("position"), h["paragraph"].alias("paragraph"), F.array_intersect(_pairs(_words(h["paragraph"])), literal(pairs)).alias("pairs")),
+        lambda h: F.struct(h["position"].alias("position"), h["paragraph"].alias("paragraph"), F.array_intersect(_pairs(_words(h["paragraph"])), _literal(pairs)).alias("pairs")),
     )
-    hits = documents.where(F.lower("text").rlike(look)).select("doc_id", F.filter(hits, lambda h: F.size(h["pairs"]) > 0).alias("hits")).where(F.size("hits") > 0)
-    every = literal(sorted({p for f in names for p in telling[f]}))
+    # A text without such lines has no run and leaves with the explode below; a filter here would work the lines out twice.
+    hits = documents.where(F.lower("text").rlike(look)).select("doc_id", hits.alias("hits"))
+    every = _literal(sorted({p for f in names for p in telling[f]}))
     hits = hits.withColumn("told", F.transform("hits", lambda h: F.arrays_overlap(h["pairs"], every)))
 
     def begins(h: Column, i: Column) -> Column:
@@ -192,18 +252,17 @@ def units(documents: DataFrame, pairs: list[str]) -> DataFrame:
     hits = hits.withColumn("first", F.transform(F.filter(marked, lambda m: m["first"]), lambda m: m["at"]))
     run = F.transform("first", lambda a, k: F.slice("hits", a + 1, F.coalesce(F.get("first", k + 1), F.size("hits")) - a))
     runs = hits.select("doc_id", F.explode(run).alias("hits"))
-    alone = runs.where(F.size("hits") == 1).select("doc_id", F.get("hits", F.lit(0)).alias("hit")).select("doc_id", "hit.position", "hit.paragraph", F.lit(None).cast("string").alias("run"))
-
-    several = runs.where(F.size("hits") > 1).withColumn("whole", F.array_join(F.transform("hits", lambda h: h["paragraph"]), " "))
-    several = several.withColumn("pairs", _pairs(_words(F.col("whole"))))
-    several = several.withColumn("by_run", F.array(*(_family_share(f, F.col("pairs")) for f in names)))
-    several = several.withColumn("by_line", F.transform("hits", lambda h: F.array(*(_family_share(f, h["pairs"]) for f in names))))
+    several = F.size("hits") > 1  # a single line is compared with its family's templates later
+    runs = runs.withColumn("whole", F.when(several, F.array_join(F.transform("hits", lambda h: h["paragraph"]), " ")))
+    runs = runs.withColumn("pairs", F.when(several, _pairs(_words(F.col("whole")))))
+    runs = runs.withColumn("by_run", F.when(several, F.array(*(_family_share(f, F.col("pairs")) for f in names))))
+    runs = runs.withColumn("by_line", F.when(several, F.transform("hits", lambda h: F.array(*(_family_share(f, h["pairs"]) for f in names)))))
 
     def confirms_alone(members: list[int]) -> Column:
         return F.exists("by_line", lambda x: F.array_max(F.array(*(F.get(x, F.lit(k)) for k in members))) >= TEMPLATE_SHARE)
 
     def begin_of(family: str) -> Column:
-        return F.get(F.filter("hits", lambda h: F.arrays_overlap(h["pairs"], literal(telling[family]))), F.lit(0))["position"]
+        return F.get(F.filter("hits", lambda h: F.arrays_overlap(h["pairs"], _literal(telling[family]))), F.lit(0))["position"]
 
     groups: dict[str, list[int]] = {}
     for k, f in enumerate(names):
@@ -217,7 +276,7 @@ def units(documents: DataFrame, pairs: list[str]) -> DataFrame:
         begin = [begin_of(names[k]) for k in members]
         notice = F.coalesce(*(F.when(x == best, F.struct(b.alias("position"), F.col("whole").alias("paragraph"), F.lit(names[k]).alias("run"))) for x, b, k in zip(shares, begin, members)))
         found.append(F.when((best >= TEMPLATE_SHARE) & ~by_a_line, notice))
-    several = several.withColumn("found", F.filter(F.array(*found), lambda x: x.isNotNull()))
+    runs = runs.withColumn("found", F.filter(F.array(*found), lambda x: x.isNotNull()))
     line = F.transform(
         "hits",
         lambda h, i: F.when(
@@ -225,8 +284,8 @@ def units(documents: DataFrame, pairs: list[str]) -> DataFrame:
             F.struct(h["position"].alias("position"), h["paragraph"].alias("paragraph"), F.lit(None).cast("string").alias("run")),
         ),
     )
-    several = several.select("doc_id", F.explode(F.concat(F.filter(line, lambda x: x.isNotNull()), "found")).alias("unit"))
-    return alone.unionByName(several.select("doc_id", "unit.position", "unit.paragraph", "unit.run"))
+    found_or_line = F.explode(F.concat(F.filter(line, lambda x: x.isNotNull()), "found")).alias("unit")
+    return runs.select("doc_id", found_or_line).select("doc_id", "unit.position", "unit.paragraph", "unit.run")
 
 
 def train(spark: SparkSession, lines: DataFrame) -> tuple[PipelineModel, list[str], float]:
@@ -238,14 +297,15 @@ def train(spark: SparkSession, lines: DataFrame) -> tuple[PipelineModel, list[st
     rows = [(label, v, held) for label, s in texts for held, make in ((False, _variants), (True, _altered)) for v in make(s)]
     known = _with_grams(spark.createDataFrame(rows, "label int, paragraph string, held boolean"))
     vocabulary = [r[0] for r in known.where("not held").select(F.explode("grams").alias("g")).distinct().orderBy("g").collect()]  # of the templates
-    terms = F.array(*map(F.lit, vocabulary))
+    terms = _literal(vocabulary)
     sample = lines.where(~F.col("paragraph").rlike(WORDING)).orderBy(F.xxhash64(F.lit(SEED), "doc_id", "position"), "doc_id", "position").limit(NEGATIVE_ROWS)
     sample = _with_grams(sample.select("paragraph"))
     common = F.size(F.filter("grams", lambda g: F.array_contains(terms, g) & g.contains(" ")))
     negatives = sample.where(2 * common < F.size("grams") - F.size("words") + 1)
     negatives = negatives.select(F.lit(0).alias("label"), "paragraph", F.lit(False).alias("held"), "words", "grams")
     counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features")
-    data = stored(counter.transform(known.unionByName(negatives)).select("label", "features", "held"), "licence_rows")
+    # some thousand rows at most (NEGATIVE_ROWS and the sentences): the solver's many passes are one short task each
+    data = stored(counter.transform(known.unionByName(negatives)).select("label", "features", "held").coalesce(1), "licence_rows")
     counts = {r["label"]: r["count"] for r in data.where("not held").groupBy("label").count().collect()}
     total = sum(counts.values())
     balance = F.lit(1.0)
@@ -303,7 +363,7 @@ def _pairs_of(sentence: str) -> list[str]:
 
 def _share_found(sentence: str, found: Column) -> Column:
     pairs = _pairs_of(sentence)
-    return F.size(F.array_intersect(found, F.array(*map(F.lit, pairs)))) / F.lit(float(len(pairs)))
+    return F.size(F.array_intersect(found, _literal(pairs))) / F.lit(float(len(pairs)))
 
 
 def _family_share(family: str, found: Column) -> Column:

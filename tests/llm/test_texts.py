@@ -341,3 +341,30 @@ def test_licences_wrapped_over_lines(spark, table):
     found = [(r["doc_id"], r["position"], r["family"]) for r in licences.scan_licences(table("doc_id long, text string", rows)).where("confirmed").collect()]
     want = [(1, 2, "mit"), (2, 0, "gpl-3.0"), (3, 0, "apache-2.0"), (3, 1, "mit"), (None, 1, "gpl-3.0"), (None, 1, "gpl-3.0")]
     assert Counter(found) == Counter(want)
+
+
+def test_licences_of_further_families_and_unknown_wording(spark, table):
+    want = {
+        "GNU Affero General Public License, version 3": "agpl-3.0", "SPDX-License-Identifier: Apache-2.0": "apache-2.0",
+        "SPDX-License-Identifier: GPL-2.0-only": "gpl-2.0", "This is free and unencumbered software released into the public domain.": "unlicense",
+        "Distributed under the Boost Software License, Version 1.0.": "bsl-1.0", "Licensed under the Zlib License.": "unknown",
+        "Proprietary and confidential; redistribution is prohibited.": "unknown",
+        "We may not obtain a copy of the book without permission of the publisher": "unknown",
+    }
+    rows = [*enumerate(want), (90, "word " * 200_000 + "\nLicensed under the MIT License.\n" + "the use of it " * 50_000), (91, "Licensed under the ISC License.\r\n" * 2)]
+    found = licences.scan_licences(table("doc_id long, text string", rows)).collect()
+    assert {text: [r["family"] for r in found if r["doc_id"] == k] for k, text in enumerate(want)} == {t: [f] for t, f in want.items()}
+    assert [(r["position"], r["family"]) for r in found if r["doc_id"] == 90 and r["confirmed"]] == [(1, "mit")]
+    assert sorted(r["position"] for r in found if r["doc_id"] == 91 and r["family"] == "isc") == [0, 1]
+
+
+def test_telling_pairs_are_those_of_the_words(spark, table):
+    """The pattern finds a text exactly when its word pairs hold a telling one."""
+    rng = random.Random(5)
+    words = ["free", "freed", "of", "the", "license", "licenses", "2", "0", "gnu", "general", "cc", "by", "bya"]
+    pairs = ["free of", "of the", "gnu general", "general license", "2 0", "cc by", "the license"]
+    told = set(pairs) - {"of the"}
+    rows = [(k, "".join(rng.choice(words) + rng.choice([" ", "-", ", ", "\n", "_"]) for _ in range(rng.randint(0, 6)))) for k in range(600)]
+    split = licences._pairs(licences._words(F.col("text")))
+    got = table("doc_id long, text string", rows).select("text", F.lower("text").rlike(licences.telling_pairs(pairs)).alias("hit"), split.alias("pairs")).collect()
+    assert all(r["hit"] == bool(told & set(r["pairs"])) for r in got) and {r["hit"] for r in got} == {True, False}
