@@ -130,7 +130,9 @@ UNKNOWN = (
     "This article compares the licenses that projects choose and how their terms differ.",
 )
 # Paragraphs with such wording may be notices of no template: they are never taken for ordinary text.
-WORDING = r"(?i)licen[sc]|lizenz|copyright|©|creative commons|\bcc[ -]?(?:by|0|zero)\b|\bby-(?:nc|nd|sa)\b|public domain|(?:all|some) rights reserved"
+# A pattern for lower-cased text from the start of a word on, where most places are left at once.
+WORDING = r"(?:(?:sub|re|un)?licen[sc]|lizenz|copyright|©|creative commons|cc[ -]?(?:by|0|zero)\b|by-(?:nc|nd|sa)\b|public domain|(?:all|some) rights reserved)"
+_START = r"(?<![\p{L}\p{Nd}])"
 # Word pairs of these alone are in any text; the lines of a wrapped notice have others.
 _PLAIN = frozenset("a all an and any are as at be by for from in is it may no not of on or that the this to under use with without you".split())
 # Families whose templates share most of their words: of a run only the best of each counts.
@@ -204,7 +206,7 @@ def any_of(words: set[str]) -> str:
 
 
 def telling_pairs(pairs: list[str]) -> str:
-    """Pattern for one of the word pairs, as ``_pairs`` finds them in lower-cased text; pairs of plain words alone are left out."""
+    """Pattern for one of the word pairs from the start of a word on, as ``_pairs`` finds them in lower-cased text; pairs of plain words alone are left out."""
     after: dict[str, set[str]] = {}
     for first, second in (p.split() for p in pairs if not set(p.split()) <= _PLAIN):
         after.setdefault(first, set()).add(second)
@@ -215,7 +217,7 @@ def telling_pairs(pairs: list[str]) -> str:
     gap = r"[^\p{L}\p{Nd}]+"
     branches = "|".join(any_of(firsts) + gap + any_of(set(seconds)) for seconds, firsts in sorted(same.items(), key=lambda x: min(x[1])))
     # the look at the first word's beginning rejects most places of a text before any branch is tried
-    return rf"(?<![\p{{L}}\p{{Nd}}])(?={any_of(set(after))}{gap})(?:{branches})(?![\p{{L}}\p{{Nd}}])"
+    return rf"(?={any_of(set(after))}{gap})(?:{branches})(?![\p{{L}}\p{{Nd}}])"
 
 
 def paragraphs(documents: DataFrame) -> DataFrame:
@@ -233,7 +235,7 @@ def units(documents: DataFrame, pairs: list[str]) -> DataFrame:
     of = {f: sorted({p for s in TEMPLATES[f] for p in _pairs_of(s)}) for f in names}
     telling = {f: [p for p in of[f] if not set(p.split()) <= _PLAIN] for f in names}
     # Whole texts are looked at first, then lines; only lines that pass are split into words.
-    look = f"{WORDING.removeprefix('(?i)')}|{telling_pairs(pairs)}"
+    look = f"{_START}(?:{WORDING}|{telling_pairs(pairs)})"
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("position"), x.alias("paragraph")))
     lines = F.filter(lines, lambda h: F.lower(h["paragraph"]).rlike(look))
     hits = F.transform(
@@ -298,7 +300,7 @@ def train(spark: SparkSession, lines: DataFrame) -> tuple[PipelineModel, list[st
     known = _with_grams(spark.createDataFrame(rows, "label int, paragraph string, held boolean"))
     vocabulary = [r[0] for r in known.where("not held").select(F.explode("grams").alias("g")).distinct().orderBy("g").collect()]  # of the templates
     terms = _literal(vocabulary)
-    sample = lines.where(~F.col("paragraph").rlike(WORDING)).orderBy(F.xxhash64(F.lit(SEED), "doc_id", "position"), "doc_id", "position").limit(NEGATIVE_ROWS)
+    sample = lines.where(~F.lower("paragraph").rlike(_START + WORDING)).orderBy(F.xxhash64(F.lit(SEED), "doc_id", "position"), "doc_id", "position").limit(NEGATIVE_ROWS)
     sample = _with_grams(sample.select("paragraph"))
     common = F.size(F.filter("grams", lambda g: F.array_contains(terms, g) & g.contains(" ")))
     negatives = sample.where(2 * common < F.size("grams") - F.size("words") + 1)

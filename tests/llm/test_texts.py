@@ -366,5 +366,5 @@ def test_telling_pairs_are_those_of_the_words(spark, table):
     told = set(pairs) - {"of the"}
     rows = [(k, "".join(rng.choice(words) + rng.choice([" ", "-", ", ", "\n", "_"]) for _ in range(rng.randint(0, 6)))) for k in range(600)]
     split = licences._pairs(licences._words(F.col("text")))
-    got = table("doc_id long, text string", rows).select("text", F.lower("text").rlike(licences.telling_pairs(pairs)).alias("hit"), split.alias("pairs")).collect()
+    got = table("doc_id long, text string", rows).select("text", F.lower("text").rlike(licences._START + licences.telling_pairs(pairs)).alias("hit"), split.alias("pairs")).collect()
     assert all(r["hit"] == bool(told & set(r["pairs"])) for r in got) and {r["hit"] for r in got} == {True, False}
