@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import stored
+from caseloom.llm.common import discard, stored
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -25,7 +25,9 @@ def connected_components(links: DataFrame) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
-        edges = stored(small.select(F.col("e.u").alias("u"), F.col("e.m").alias("v")).where("u <> v").distinct(), "links")
+        fresh = stored(small.select(F.col("e.u").alias("u"), F.col("e.m").alias("v")).where("u <> v").distinct(), "links")
+        discard(edges)
+        edges = fresh
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break

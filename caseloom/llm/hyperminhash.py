@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.llm.bpe import by_size
-from caseloom.llm.common import distinct, map_batches, mix, stored, window_hashes, word_hashes
+from caseloom.llm.common import configured, discard, distinct, map_batches, mix, stored, window_hashes, word_hashes
 from caseloom.llm.components import connected_components
 from caseloom.session import ship_package
 
@@ -95,15 +95,22 @@ def may_link(guess: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndar
 
 
 def band_keys(registers: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band, of its ROWS 16-bit registers."""
+    """One 64-bit key per band, of its ROWS 16-bit registers and its number."""
     return mix(registers.reshape(BANDS, ROWS).astype("<u2").view("<u8")[:, 0] + np.arange(BANDS, dtype=np.uint64))
 
 
-_SKETCHED = "doc_id long, n_shingles long, set1 long, set2 long, registers binary, bands array<long>"
+_SKETCHED = "doc_id long, n_shingles long, set1 long, set2 long, registers binary"
+# Texts whose sets are needed are picked by a Bloom filter of their ids before they are shuffled; its bits are bounded by Spark's
+# spark.sql.optimizer.runtime.bloomFilter.maxNumBits, whatever the number of ids.
+_FILTERED = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1MB",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
+}
 
 
 def sketches(documents: DataFrame, width: int) -> DataFrame:
-    """Per document: set size, a 128-bit name of the set, its sketch and band keys (NULL for an empty set)."""
+    """Per document: set size, a 128-bit name of the set and its sketch (NULL for an empty set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,24 +119,39 @@ def sketches(documents: DataFrame, width: int) -> DataFrame:
                 for text in part.column(1):
                     s = shingle_set(text.as_py(), width)
                     if not s.size:
-                        rows.append((0, 0, 0, None, None))
+                        rows.append((0, 0, 0, None))
                         continue
                     registers = sketch(s)
                     a = int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum().view(np.int64))
                     b = int(np.bitwise_xor.reduce(mix(s + np.uint64(0x14057B7EF767814F))).view(np.int64))
-                    rows.append((len(s), a, b, registers.astype("<u2").tobytes(), band_keys(registers).view(np.int64)))
-                n, a, b, registers, bands = zip(*rows)
+                    rows.append((len(s), a, b, registers.astype("<u2").tobytes()))
+                n, a, b, registers = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(registers, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "set1", "set2", "registers", "bands"],
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(registers, pa.binary())],
+                    names=["doc_id", "n_shingles", "set1", "set2", "registers"],
                 )
 
     return map_batches(documents.select("doc_id", "text"), run, _SKETCHED)
 
 
-def _sets(documents: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(id, shingles array<long>) of the wanted documents."""
-    rows = documents.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+def _banded(classes: DataFrame) -> DataFrame:
+    """(key, id), one row per class and band."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            registers = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u2").reshape(-1, REGISTERS)
+            keys = np.concatenate([band_keys(row) for row in registers] or [np.empty(0, np.uint64)]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], names=["key", "id"])
+
+    return map_batches(classes.select("id", "registers"), run, "key long, id long")
+
+
+def _sets(documents: DataFrame, wanted: DataFrame, width: int, name: str) -> DataFrame:
+    """(id, shingles array<long>) of the wanted documents (column id, repeats allowed), stored."""
+    ids = stored(wanted.groupBy("id").agg(F.count("*").alias("uses")), f"{name}_ids")
+    # Spark makes Bloom filters of filtered scans only
+    chosen = ids.where("uses > 0").select(F.col("id").alias("doc_id"))
+    rows = documents.select("doc_id", "text").join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,7 +159,10 @@ def _sets(documents: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 found = [shingle_set(t.as_py(), width).view(np.int64) for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(pa.int64()))], names=["id", "shingles"])
 
-    return map_batches(rows, run, "id long, shingles array<long>")
+    with configured(documents.sparkSession, _FILTERED):
+        found = stored(map_batches(rows, run, "id long, shingles array<long>"), name)
+    discard(ids)
+    return found
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -183,13 +208,15 @@ def _open_groups(members: DataFrame, classes: DataFrame, components: DataFrame)
     bucket with, so these buckets mostly fall together and their members are compared once instead of once per band.
     """
     rows = _labelled(members, components, "id", "component")
-    still_open = rows.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    rows = rows.join(still_open.where("low < high").select("band", "key"), ["band", "key"])
-    rows = stored(rows.select("band", "key", "id", "component", "least"), "open_buckets")
+    still_open = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    rows = rows.join(still_open.where("low < high").select("key"), "key")
+    rows = stored(rows.select("key", "id", "component", "least"), "open_buckets")
     nearest = rows.groupBy("id").agg(F.min("least").alias("near"))
-    group = rows.join(nearest, "id").groupBy("band", "key").agg(F.min("near").alias("group"))
-    rows = rows.join(group, ["band", "key"]).select("group", "id", "component").distinct()
-    return stored(rows.join(classes.select("id", "n", "registers"), "id"), "open_groups")
+    group = stored(rows.join(nearest, "id").groupBy("key").agg(F.min("near").alias("group")), "bucket_groups")
+    named = rows.join(group, "key").select("group", "id", "component").distinct()
+    found = stored(named.join(classes.select("id", "n", "registers"), "id"), "open_groups")
+    discard(rows, group)
+    return found
 
 
 def _tile_links(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> tuple[list[int], list[int]]:
@@ -240,11 +267,13 @@ def _tile_links(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> tuple[
 def _left_over(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Verified links (a, b) between different components of a group; ``rows`` of ``_open_groups``, ``sets`` of all their ids."""
     parts = rows.groupBy("group", "component").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
+    # stored first, so that the join below is one of two plain tables and Spark can split a large group's partition
     groups = parts.groupBy("group").agg(
         F.max(F.struct("rows", "component"))["component"].alias("main"), F.sum("rows").alias("rows"), F.sum("shingles").alias("shingles")
     )
     blocks = F.greatest(F.ceil(F.col("rows") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    rows = rows.join(groups.select("group", "main", blocks.alias("blocks")), "group").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    groups = stored(groups.select("group", "main", blocks.alias("blocks")), "groups")
+    rows = rows.join(groups, "group").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     # outsiders meet every block of their group; they come in blocks of bounded size themselves
     outside = rows.where("component <> main").withColumnRenamed("block", "other")
     others = outside.select("group", "other").distinct()
@@ -273,31 +302,35 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) ->
     signed = stored(sketches(documents, width), "sketches")
     sets = ["n_shingles", "set1", "set2"]
     known = signed.where("n_shingles > 0 and doc_id is not null")
-    named = known.groupBy(*sets).agg(F.min("doc_id").alias("id"))
-    chosen = known.join(named.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    classes = stored(chosen.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "registers", "bands"), "classes")
+    first = known.groupBy(*sets).agg(F.min(F.struct("doc_id", "registers")).alias("first"))
+    classes = stored(first.select(*sets, F.col("first.doc_id").alias("id"), F.col("n_shingles").alias("n"), F.col("first.registers").alias("registers")), "classes")
+    named = classes.select(*sets, "id")
 
-    banded = classes.select("id", F.posexplode("bands").alias("band", "key"))
-    buckets = banded.groupBy("band", "key").agg(F.min("id").alias("least"), F.count("*").alias("size")).where("size > 1")
-    members = stored(banded.join(buckets, ["band", "key"]).select("band", "key", "id", "least"), "members")
+    banded = stored(_banded(classes), "bands")
+    buckets = banded.groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("size")).where("size > 1")
+    members = stored(banded.join(buckets, "key").select("key", "id", "least"), "members")
+    discard(banded)
 
     stars = members.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct()
     stars = stored(_gated(stars, classes, percent), "stars")
     # one star per class first: most groups close with it
     nearest = stars.groupBy("a").agg(F.max(F.struct(F.col("guess"), (-F.col("b")).alias("b")))["b"].alias("b"))
-    nearest = nearest.select("a", (-F.col("b")).alias("b"))
-    ends = stars.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    full = stored(_sets(documents, ends, width), "sets")
+    nearest = stored(nearest.select("a", (-F.col("b")).alias("b")), "nearest")
+    full = _sets(documents, nearest.select(F.explode(F.array("a", "b")).alias("id")), width, "sets")
     links = stored(_verified(nearest, full, percent), "nearest_links")
     components = connected_components(links)
+    discard(stars, nearest)
 
     left = _open_groups(members, classes, components)
+    discard(members)
     if not left.isEmpty():
-        more = left.select(F.col("id").alias("doc_id")).distinct().join(full.select(F.col("id").alias("doc_id")), "doc_id", "left_anti")
-        full = full.unionByName(stored(_sets(documents, more, width), "more_sets"))
-        found = stored(_left_over(left, full, percent), "rest_links")
+        more = left.select("id").distinct().join(full.select("id"), "id", "left_anti")
+        further = _sets(documents, more, width, "more_sets")
+        found = stored(_left_over(left, full.unionByName(further), percent), "rest_links")
+        discard(further)
         if not found.isEmpty():
             components = connected_components(links.unionByName(found))
+    discard(full, left)
 
     by_set = _labelled(named, components, "id", "component").select(*sets, F.col("component").alias("_component"))
     out = signed.select("doc_id", *sets).join(by_set, sets, "left")
