@@ -5,14 +5,16 @@ one for being there, one per comma, one per hundred characters up to three; the
 further ancestors less.  A container's points are discounted by its share of text inside links.  The best container is the
 article, or the ``article`` or ``main`` it lies in; siblings that score well beside it, and headings, lists and paragraphs with few
 links, however short, are kept with it.  Elements that are never
-article (menus, headers outside it, footers, asides, forms, scripts, and those whose class or id says advert, sidebar,
-comments, cookie notice, ...) are cut out beforehand.
+article (menus, headers outside it, footers, asides, forms, scripts, and those whose class or id says advert, comments, cookie
+notice, ...) are cut out beforehand.  A class that says sidebar, header, widget, ... cuts an element only if it is not around the
+article: themes name whole pages so.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -40,70 +42,109 @@ _CLOSES_P = frozenset(
 _ITEM_SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
 _SAME_ITEM = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
+# Words of a class or id that say an element is no article.  Those of the first kind do so wherever they stand.  Those of the second
+# often name a page's layout too: an element that holds most of the page's article stays.  Of these, the third kind is for
+# elements outside an article only; inside one they name a part of it.
+_CLUTTER = (
+    "ad|ads|advert\\w*|adsense|sponsor\\w*|promo\\w*|breadcrumb\\w*|comments?|commentlist|disqus|respond|replies|cookies?|consent|notice|"
+    "notification|popup|newsletter|subscribe|subscription|share|sharing|related|recommend\\w*|pagination|pager|login|signup|outbrain|taboola"
+)
+_LAYOUT = (
+    "nav|navbar|navigation|menu|menubar|sidebar\\w*|side|aside|footer\\w*|banner|alert|modal|overlay|social|widget|search|toolbar|skip"
+)
+_OUTSIDE = "header|masthead|legal|copyright|disclaimer"
 _UNWANTED = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|nav|navbar|navigation|menu|menubar|breadcrumb\w*|sidebar\w*|"
-    r"side|aside|footer\w*|header|masthead|comments?|commentlist|disqus|respond|replies|cookies?|consent|notice|notification|alert|popup|"
-    r"modal|overlay|newsletter|subscribe|subscription|share|sharing|social|related|recommend\w*|widget|pagination|pager|login|signup|search|toolbar|"
-    r"skip|legal|copyright|disclaimer|outbrain|taboola)(?=$|[\s_-])",
-    re.I,
+    rf"(?:^|[_-])(?:(?P<clutter>{_CLUTTER})|(?P<layout>{_LAYOUT})|(?P<outside>{_OUTSIDE}))(?=$|[_-])", re.I
 )
+_WITHOUT = re.compile(r"(?:no|not|has|with|without)[_-]", re.I)  # "no-sidebar" and the like speak of the page
 _KEPT_BESIDE = frozenset("p pre blockquote ul ol dl table figure hgroup h1 h2 h3 h4 h5 h6".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _CONTENT = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|entry|story|text|body)(?=$|[\s_-])", re.I)
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# Possessive throughout: a tag that does not end is given up after one look.
+_OTHER = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*+>|<\?[^>]*+>", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
+_END = {tag: re.compile(rf"</{tag}\s*+>", re.I) for tag in _RAW}
+DEEPEST = 512  # elements nested deeper lie side by side, as in browsers
+REACH = 32  # ancestors that a block passes points to: the last gets less than a hundred-thousandth
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 MOST_LINKED = 0.25  # share of text in links up to which a part beside the best container reads like prose
 _SPACES = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "mark", "parent", "children", "score", "dead", "size", "linked", "open_blocks")
+    __slots__ = ("tag", "mark", "parent", "children", "score", "dead", "layout", "inside", "depth", "size", "linked", "articles", "prose")
 
     def __init__(self, tag: str, mark: str, parent: "Node | None", dead: bool):
         self.tag, self.mark, self.parent, self.dead = tag, mark, parent, dead
         self.children: list[Node | str] = []
         self.score = 0.0
-        self.size = self.linked = 0
+        self.size = self.linked = self.articles = self.prose = 0
+        self.layout = False  # its class names a part of the page's layout
+        self.inside = parent is not None and (parent.inside or tag in ("article", "main"))
+        self.depth = parent.depth + 1 if parent is not None else 0
+
+
+def _kind(mark: str, inside: bool) -> str | None:
+    """'clutter', 'layout' or None, from the words of a class and id."""
+    kinds = {m.lastgroup for token in mark.split() if not _WITHOUT.match(token) for m in _UNWANTED.finditer(token)}
+    if inside:
+        kinds.discard("outside")
+    return "clutter" if "clutter" in kinds else "layout" if kinds else None
 
 
 def parse(page: str) -> Node:
-    """A tolerant tree: void elements, raw text elements, and end tags that are missing or have no start."""
+    """A tolerant tree: void elements, raw text elements, and end tags that are missing or have no start.
+
+    Every character is looked at a bounded number of times: quotes count until a tag comes whose quotes never close."""
     root = Node("#root", "", None, False)
-    node, at = root, 0
-    end = len(page)
-    while at < end:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            node.children.append(page[at:])
+    node, at, text = root, 0, 0
+    end, last = len(page), page.rfind(">")
+    opened: Counter[str] = Counter()  # open elements by tag
+    flat: Counter[str] = Counter()  # elements too deep to be opened
+    pattern = _TAG
+    while True:
+        at = page.find("<", at)
+        if at < 0 or (at > last and not page.startswith("<!--", at)):
+            node.children.append(page[text:])
             break
-        if m.start() > at:
-            node.children.append(page[at : m.start()])
-        at = m.end()
-        tag = m.group(2)
-        if tag is None:
+        m = _OTHER.match(page, at) or pattern.match(page, at)
+        if m is None and pattern is _TAG and page[at + 1 : at + 2].strip("/").isalpha():
+            pattern = _PLAIN_TAG
+            m = pattern.match(page, at)
+        if m is None:
+            at += 1
+            continue
+        if at > text:
+            node.children.append(page[text:at])
+        at = text = m.end()
+        if m.re is _OTHER:
             continue
+        tag = m.group(2)
         tag = tag.lower()
         if m.group(1):
-            up = node
-            while up is not root and up.tag != tag:
-                up = up.parent
-            if up is not root:
-                node = up.parent
+            if flat[tag]:
+                flat[tag] -= 1
+            elif opened[tag]:
+                up = node
+                while up.tag != tag:
+                    up = up.parent
+                node = _closed(node, up, opened)
             continue
-        if tag in _CLOSES_P:
+        if tag in _CLOSES_P and opened["p"]:
             up = node
             while up.tag not in ("p", "#root", "td", "th", "li", "button", "object", "div", "article", "section", "body"):
                 up = up.parent
             if up.tag == "p":
-                node = up.parent
+                node = _closed(node, up, opened)
         if tag in _SAME_ITEM:
             up = node
             while up.tag not in _SAME_ITEM[tag] and up.tag not in _ITEM_SCOPE[tag] and up is not root:
                 up = up.parent
             if up.tag in _SAME_ITEM[tag]:
-                node = up.parent
+                node = _closed(node, up, opened)
         attributes = m.group(3)
-        mark, dead = "", node.dead or tag in _NEVER
+        mark, kind, dead = "", None, node.dead or tag in _NEVER
         if attributes and attributes != "/" and not dead:
             found = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)}
             mark = f"{found.get('class', '')} {found.get('id', '')}"
@@ -113,18 +154,48 @@ def parse(page: str) -> Node:
                 or found.get("aria-hidden") == "true"
                 or "display:none" in style
                 or "visibility:hidden" in style
-                or (tag not in ("html", "body", "article", "main") and _UNWANTED.search(mark) is not None)
             )
-        fresh = Node(tag, mark, node, dead)
+            if tag not in ("html", "body", "article", "main"):
+                kind = _kind(mark, node.inside)
+        fresh = Node(tag, mark, node, dead or kind == "clutter")
+        fresh.layout = kind == "layout"
         node.children.append(fresh)
         if tag in _RAW:
-            close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = close.end() if close else end
+            close = _END[tag].search(page, at)
+            at = text = close.end() if close else end
         elif tag not in _VOID and not (attributes and attributes.endswith("/") and tag not in _BLOCKS):
-            node = fresh
+            if fresh.depth < DEEPEST:
+                node = fresh
+                opened[tag] += 1
+            else:
+                flat[tag] += 1
     return root
 
 
+def _closed(node: Node, up: Node, opened: Counter[str]) -> Node:
+    """Close all elements from ``node`` up to ``up``; what is open then."""
+    while node is not up:
+        opened[node.tag] -= 1
+        node = node.parent
+    opened[up.tag] -= 1
+    return up.parent
+
+
+def _cut_layout(root: Node) -> None:
+    """Elements with a layout's class go, but for those around the longest article or main, or if there is none, those that
+    hold over half of the page's unlinked text."""
+    nodes = _measure(root)
+    articles = [n for n in nodes if n.tag in ("article", "main")]
+    around = max(articles, key=lambda n: n.prose, default=None)
+    kept = set()
+    while around is not None:
+        kept.add(id(around))
+        around = around.parent
+    for node in nodes:
+        if node.layout and id(node) not in kept and (articles or 2 * node.prose <= root.prose):
+            node.dead = True
+
+
 def _blocks(node: Node) -> list[tuple[Node, str]]:
     """(container, text) of the blocks below a node in page order; white space inside a block is one space."""
     out: list[tuple[Node, str]] = []
@@ -175,6 +246,8 @@ def _measure(root: Node) -> list[Node]:
         below = [c for c in node.children if isinstance(c, Node) and not c.dead]
         node.size = own + sum(c.size for c in below)
         node.linked = node.size if node.tag == "a" else sum(c.linked for c in below)
+        node.articles = 1 if node.tag == "article" else sum(c.articles for c in below)
+        node.prose = node.size - node.linked
     return order[::-1]
 
 
@@ -187,27 +260,16 @@ def _article(best: Node) -> Node:
     in it (a list of articles is none); else the container."""
     out, up = best, best
     while up is not None:
-        if up.tag in ("article", "main") and _link_density(up) < MOST_LINKED and (up is best or _articles(up) <= 1):
+        if up.tag in ("article", "main") and _link_density(up) < MOST_LINKED and (up is best or up.articles <= 1):
             out = up
         up = up.parent
     return out
 
 
-def _articles(node: Node) -> int:
-    """Live articles in a node that are not within another one; a node that is an article counts as its only one."""
-    found, stack = 0, [node]
-    while stack:
-        current = stack.pop()
-        if current.tag == "article":
-            found += 1
-        else:
-            stack += [c for c in current.children if isinstance(c, Node) and not c.dead]
-    return found
-
-
 def main_text(page: str | None) -> str:
     """Text of the article: blocks in page order joined by one space; '' if there is none."""
     root = parse(page or "")
+    _cut_layout(root)
     nodes = _measure(root)
     blocks = _blocks(root)
     if not blocks:
@@ -216,7 +278,9 @@ def main_text(page: str | None) -> str:
     for block, text in blocks:
         points = 1 + text.count(",") + min(len(text) // 100, 3)
         weight, up = 1.0, block.parent if block.tag in _PARAGRAPHS else block
-        while up is not None and up.tag not in ("#root", "html"):
+        for _ in range(REACH):
+            if up is None or up.tag in ("#root", "html"):
+                break
             if up.tag not in ("p", "b", "i", "em", "strong", "span", "a"):  # inline elements are no containers
                 up.score += points * weight
                 scored[id(up)] = up

@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -368,3 +369,45 @@ def test_telling_pairs_are_those_of_the_words(spark, table):
     split = licences._pairs(licences._words(F.col("text")))
     got = table("doc_id long, text string", rows).select("text", F.lower("text").rlike(licences._START + licences.telling_pairs(pairs)).alias("hit"), split.alias("pairs")).collect()
     assert all(r["hit"] == bool(told & set(r["pairs"])) for r in got) and {r["hit"] for r in got} == {True, False}
+
+
+ARTICLE = "<h1>Big title</h1>" + "".join(f"<p>Paragraph {k} has words, commas, and enough of plain text to score.</p>" for k in range(5))
+PROSE = "Big title " + " ".join(f"Paragraph {k} has words, commas, and enough of plain text to score." for k in range(5))
+
+
+@pytest.mark.parametrize("page, text", [
+    (f'<body class="has-sidebar"><div class="container no-sidebar"><article>{ARTICLE}</article></div><footer>x</footer>', PROSE),
+    (f'<div class="content-sidebar-wrap"><main><article>{ARTICLE}</article></main><div class="sidebar"><article><p>A teaser, short</p></article></div></div>', PROSE),
+    (f'<article><header class="entry-header"><h1>Head line</h1></header>{ARTICLE}</article>', "Head line " + PROSE),
+    (f'<article>{ARTICLE}<section class="legal"><p>Legal section.</p></section><div class="share">Share</div></article>', PROSE + " Legal section."),
+    (f'<article>{ARTICLE}</article><div id="comments">' + "<article><p>A comment, and long, and longer still</p></article>" * 30 + "</div>", PROSE),
+    (f'<div class="theme-widget-wrap"><div class="widget"><div>{ARTICLE}</div></div></div><div class="sidebar"><p>Side text</p></div>', PROSE),
+    (f'<div class="header"><p>Site name</p></div><div>{ARTICLE}</div>', PROSE),
+])
+def test_page_text_and_classes_of_layout(page, text):
+    assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize("page", [
+    "<a" + "x" * 400_000, '<a "' * 100_000 + ">", "<a '\"" * 40_001 + " > end", "<" * 400_000, "<!--" * 100_000, "<div>x" * 20_000,
+    "<article>x" * 20_000, "<div>" * 20_000 + "x" + "</div>" * 20_000 + "</b>" * 20_000, "<ul>" + "<li>x" * 20_000,
+])
+def test_odd_pages_take_linear_time(page):
+    start = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - start < 10  # quadratic work would take minutes
+
+
+def test_tags_that_never_end_are_text():
+    assert html_text.main_text("<p>one, two</p> 3 < 4 <b") == "one, two 3 < 4 <b"
+    assert html_text.main_text('<p class="x>one</p><p>two</p>') == "one two"
+
+
+def test_archives_odd_addresses_and_missing_ids(spark, table):
+    pages = table("page_id long, url string, html string", [(None, "a\tb", "same"), (None, "a\r\nb", "same"), (0, "filedesc://x y", "other"), (0, "u", "other"), (3, None, None)])
+    rows = sorted(((r.page_id, r.uri, r.record_type, r.refers_to) for r in warc.archive_pages(pages).where("page_id is not null").collect()), key=lambda r: r[0])
+    assert [r[0] for r in rows] == [0, 0, 3] and rows[2][1:] == ("urn:none", "response", None)
+    assert {r[1] for r in rows[:2]} == {"filedesc://x%20y", "u"} and {(r[2], r[3]) for r in rows[:2]} == {("response", None), ("revisit", 0)}
+    again = warc.archive_pages(pages).where("page_id is null").collect()
+    assert {r.uri for r in again} == {"a%09b", "a%0D%0Ab"} and {r.refers_to for r in again} == {None}
+    assert sorted(r.record_type for r in again) == ["response", "revisit"]
