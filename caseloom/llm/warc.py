@@ -9,7 +9,7 @@ become revisit records that keep their HTTP head and refer to the stored one.
 Archives are written by Spark's text sink (records end in a line end in both formats; bytes pass through unchanged), rolled
 by record count, and read back whole by ``binaryFile``, unpacked as a stream; so they work on any file system Spark has.
 
-Identifiers are version 8 UUIDs (free layout): 58 bits of a hash of archive and position, and the record's 64-bit key if its
+Identifiers are version 8 UUIDs (free layout): 57 bits of a hash of archive and position, and the record's 64-bit key if its
 HTTP head has one, so a reference can be resolved without looking the other record up.
 """
 
@@ -61,7 +61,10 @@ def write_arc(pages: DataFrame, path: str) -> None:
     """Pages (page_id, url, html) as ARC files, versions 1 and 2 by turns; html NULL: empty, page_id NULL: no key."""
     body = F.coalesce("html", F.lit(""))
     # a URL field holds no white space
-    url = F.coalesce(F.regexp_replace(F.regexp_replace("url", r"[\r\n\t]", "%0A"), r"\s", "%20"), F.lit(NO_URL))
+    url = F.col("url")
+    for space, code in (("\t", "%09"), ("\n", "%0A"), ("\x0b", "%0B"), ("\f", "%0C"), ("\r", "%0D"), (" ", "%20")):
+        url = F.replace(url, F.lit(space), F.lit(code))
+    url = F.coalesce(url, F.lit(NO_URL))
     url = F.when(url == "", NO_URL).otherwise(url)
     key = F.coalesce(F.concat(F.lit(f"{KEY_HEADER}: "), F.col("page_id").cast("string"), F.lit("\r\n")), F.lit(""))
     head = F.concat(
@@ -132,14 +135,15 @@ def parse_arc(packed: bytes) -> Iterator[dict]:
         if not line.strip():
             continue  # documents are set apart by line ends
         fields = line.decode("utf-8", "replace").split(" ")
-        if fields[0].startswith("filedesc:"):
+        if not version:  # the first record says how the others are to be read; a page may well have such an address too
+            if not fields[0].startswith("filedesc:"):
+                raise ValueError(f"an ARC file begins with its version block, not with {line[:100]!r}")
             block = stream.take(int(fields[-1]))
             version = int(block.split(b" ", 1)[0])
             if version not in (1, 2):
                 raise ValueError(f"ARC version {version} is not known")
             continue
-        wanted = {1: 5, 2: 10}.get(version)
-        if wanted is None or len(fields) != wanted:
+        if len(fields) != {1: 5, 2: 10}[version]:
             raise ValueError(f"not an ARC {version} header line: {line[:100]!r}")
         url, ip, date, mime = fields[:4]
         yield {"place": place, "version": version, "url": url, "ip": ip, "date": date, "mime": mime, "block": stream.take(int(fields[-1]))}
@@ -168,16 +172,18 @@ def http_field(head: bytes, name: str) -> str | None:
 
 
 def record_id(archive: str, place: int, key: int | None) -> str:
-    """Version 8 UUID: 48 + 10 bits of hash, then the key (0 and another hash when there is none)."""
+    """Version 8 UUID: 48 + 9 bits of hash, a bit that says whether there is a key, then the key."""
     h = int.from_bytes(hashlib.sha1(f"{archive}#{place}#{key is None}".encode()).digest()[:8], "big")
     low = (key if key is not None else 0) & 0xFFFFFFFFFFFFFFFF
-    bits = (h >> 16) << 80 | 8 << 76 | (h & 0x3FF) << 66 | (low >> 62) << 64 | 2 << 62 | (low & 0x3FFFFFFFFFFFFFFF)
+    bits = (h >> 16) << 80 | 8 << 76 | (h & 0x1FF) << 67 | (key is not None) << 66 | (low >> 62) << 64 | 2 << 62 | (low & 0x3FFFFFFFFFFFFFFF)
     return f"urn:uuid:{uuid.UUID(int=bits)}"
 
 
-def key_of(identifier: str) -> int:
-    """The key inside an identifier made by :func:`record_id`."""
+def key_of(identifier: str) -> int | None:
+    """The key inside an identifier made by :func:`record_id`; None if it has none."""
     bits = uuid.UUID(identifier.removeprefix("urn:uuid:")).int
+    if not bits >> 66 & 1:
+        return None
     key = (bits >> 64 & 3) << 62 | bits & 0x3FFFFFFFFFFFFFFF
     return key - (1 << 64) if key >> 63 else key
 
@@ -302,7 +308,7 @@ def archive_pages(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Write pages as ARC, convert to WARC, read back: page_id, payload_bytes, payload_digest, record_type, refers_to, uri.
 
     NULL html is an empty payload, a NULL url ``urn:none``; white space in a URL is percent-encoded.  A NULL page_id stays NULL,
-    ranks lowest, and where all copies of a payload have none ``refers_to`` is 0.  Repeated rows are records of their own: one
+    ranks lowest, and where all copies of a payload have none ``refers_to`` is NULL too.  Repeated rows are records of their own: one
     of them is the response.  Payload bytes may be anything.  An empty table gives no rows; further columns are left out.
     """
     spark = pages.sparkSession
@@ -322,4 +328,5 @@ def _key_column(words: Column) -> Column:
     number = lambda text: F.conv(text, 16, 10).cast("long")
     top = number(F.get(words, F.lit(2))).bitwiseAND(F.lit(3))
     middle = number(F.get(words, F.lit(3))).bitwiseAND(F.lit(0x3FFF))
-    return F.shiftleft(top, 62).bitwiseOR(F.shiftleft(middle, 48)).bitwiseOR(number(F.get(words, F.lit(4))))
+    key = F.shiftleft(top, 62).bitwiseOR(F.shiftleft(middle, 48)).bitwiseOR(number(F.get(words, F.lit(4))))
+    return F.when(number(F.get(words, F.lit(2))).bitwiseAND(F.lit(4)) > 0, key)
