@@ -23,8 +23,12 @@ def first_per_key(rows: DataFrame, key: str, order: Sequence[str] | None = None)
 
 
 def first_label_per_code(rows: DataFrame, code: str, label: str) -> DataFrame:
-    """``first_per_key`` for (code, label) pairs: distinct pairs first (map-side), then the least label."""
-    pairs = rows.select(code, label).distinct()
+    """``first_per_key`` for (code, label) pairs: distinct pairs first (map-side), then the least label.
+
+    Spark drops a plain ``distinct`` under a minimum, and a minimum of text is found by sorting: every row would be sorted.
+    The count keeps the pairs, which are found by hashing.
+    """
+    pairs = rows.groupBy(code, label).agg(F.count("*").alias("_rows")).where("_rows > 0")
     return pairs.groupBy(code).agg(F.min(label).alias(label))
 
 

@@ -123,8 +123,12 @@ def create_store(spark: SparkSession, root: str) -> Store:
 
 
 def new_rows(store: Store, table: str, staging: DataFrame, strict: bool = False) -> DataFrame:
-    """Rows the batch adds to a table: first of each key, keys the table holds left out."""
+    """Rows the batch adds to a table: first of each key, keys the table holds left out.
+
+    A table without rows holds no keys: nothing is compared then, and the batch is worked out once."""
     batch = BATCH_ROWS[table](staging, strict)
+    if not store.holds(table):
+        return batch
     return insert_if_absent(store.table(table), batch, PRIMARY_KEYS[table])
 
 

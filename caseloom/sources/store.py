@@ -91,6 +91,10 @@ class Store:
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}")
         return reader.parquet(*[self._path(table, load) for load in loads]).select(*schema.names)
 
+    def holds(self, name: str) -> bool:
+        """Whether any commit brought rows of a table."""
+        return any(name in c.rows for c in self.commits())
+
     def table(self, name: str, until: int | None = None) -> DataFrame:
         """Committed rows of a table, by default of all commits.
 
