@@ -111,7 +111,7 @@ def format_of(spark: SparkSession, file: str, within: str = "", otherwise: str =
     first character that is no blank says so."""
     for name in (file, within):
         bare = name.rstrip("/").lower()
-        for suffix in (".gz", ".bz2", ".zst"):
+        for suffix in (".gz", ".bz2", ".zst", ".snappy"):
             bare = bare.removesuffix(suffix)
         if bare.endswith((".csv", ".json")):
             kind = bare.rsplit(".", 1)[1]
@@ -217,11 +217,11 @@ def latest_records(records: DataFrame, order: str = "date_occ", n: int = 2000) -
     return records.orderBy(F.desc_nulls_last(order), *ties).limit(n)
 
 
-def land_extract(records: DataFrame, lake: str, prefix: str, at: datetime) -> str:
+def land_extract(records: DataFrame, lake: str, prefix: str, at: datetime, compression: str = "none") -> str:
     """Write one timestamped extract of JSON lines; an extract is never overwritten."""
     target = f"{lake.rstrip('/')}/{prefix}_{at:%Y%m%d_%H%M%S}.json"
     require_rows(records, f"extract {prefix}")
-    records.write.mode("errorifexists").json(target)
+    records.write.mode("errorifexists").option("compression", compression).json(target)
     return target
 
 

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import timedelta
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.plans import flows, snapshot
 from caseloom.plans.warehouse import create_store
 from caseloom.schemas import TABLES
-from caseloom.session import work_path
+from caseloom.session import ship_package, work_path
 from caseloom.sources import headers as H
 from caseloom.sources import lake
 from caseloom.sources.registry import ModelRegistry, append_audit, error_log, read_audit
@@ -27,12 +29,16 @@ from caseloom.workload.series_queries import AT, days_sql
 _FACT = fx.with_fact("select * from fact")
 
 
+# Extracts repeat their headers and labels in every record: packed they take a fraction of the disk for little time.
+PACKED = "snappy"
+
+
 def _daily_lake(spark, sf_dir) -> str:
     """A lake holding the raw input as one JSON extract with daily headers, text values only."""
     raw = fx.raw(spark, sf_dir)
     texts = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
     folder = work_path(spark, "lake")
-    lake.land_extract(spelled(texts, DAILY_SPELLING), folder, "incident_extract", AT)
+    lake.land_extract(spelled(texts, DAILY_SPELLING), folder, "incident_extract", AT, PACKED)
     return folder
 
 
@@ -78,7 +84,7 @@ def _daily_dimensions(spark, sf_dir):
     return _dimensions(_daily_store(spark, sf_dir))
 
 
-def _csv(spark, rows, path: str, compression: str = "none") -> str:
+def _csv(spark, rows, path: str, compression: str = PACKED) -> str:
     writer = rows.write.option("header", True).option("escape", '"').option("compression", compression)
     # Blanks around a value are part of the raw data.
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
@@ -181,34 +187,55 @@ def _research_training(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- mixed formats
+FILES = 8  # files of a quarter of the records
+ARRAY_RECORDS = 100_000  # records of a JSON array: Spark reads an array whole, so more records make more files, not longer arrays
+
+
+@_once("texts")
 def _texts(spark, sf_dir):
-    """The raw input with daily headers, text values only, all rows of a record number in one partition."""
+    """The raw input with daily headers, text values only, written once and read back for each share."""
     raw = fx.raw(spark, sf_dir)
     texts = spelled(raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns]), DAILY_SPELLING)
     share = F.pmod(F.xxhash64(F.trim(_number(texts))), F.lit(4))
-    return texts.withColumn("share", share).repartition(8, F.trim(_number(texts)))
+    return lake.replace_table(texts.withColumn("share", share), work_path(spark, "texts"))
 
 
 def _number(texts):
     return F.col(DAILY_SPELLING.get("dr_no", "dr_no"))
 
 
-def _land_share(spark, texts, share: int, folder: str) -> None:
-    """A quarter of the records as JSON lines, JSON arrays, CSV, or gzipped CSV with its columns the other way round."""
+def _as_array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of one JSON array of all records of a partition, which pass one batch at a time."""
+    begun = False
+    for batch in batches:
+        records = batch.column(0).to_pylist()
+        if not records:
+            continue
+        lines = [f",{r}" for r in records] if begun else ["[", records[0], *(f",{r}" for r in records[1:])]
+        begun = True
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+    if begun:
+        yield pa.RecordBatch.from_arrays([pa.array(["]"])], names=["value"])
+
+
+def _land_share(spark, texts, share: int, folder: str) -> int:
+    """A quarter of the records as JSON lines, JSON arrays, CSV, or gzipped CSV with its columns the other way round, all rows
+    of a record number in one file.  Returns the number of files; only that of arrays grows with the records."""
     rows = texts.where(F.col("share") == share).drop("share")
+    number = FILES if share != 1 else max(FILES, -(-rows.count() // ARRAY_RECORDS))
+    rows = rows.repartition(number, F.trim(_number(rows)))
     if share == 0:
-        rows.write.json(f"{folder}/lines.json")
+        rows.write.option("compression", PACKED).json(f"{folder}/lines.json")
     elif share == 1:
-        # one array per file: its records joined by commas, in brackets
-        number = F.spark_partition_id()
-        arrays = rows.select(number.alias("part"), F.to_json(F.struct(*rows.columns)).alias("record"))
-        whole = arrays.groupBy("part").agg(F.concat(F.lit("["), F.array_join(F.collect_list("record"), ","), F.lit("]")))
-        whole.write.partitionBy("part").text(f"{folder}/array.json")
+        ship_package(spark)
+        arrays = rows.select(F.to_json(F.struct(*rows.columns)).alias("record")).mapInArrow(_as_array, "value string")
+        arrays.write.option("compression", PACKED).text(f"{folder}/array.json")
     elif share == 2:
-        _csv(spark, rows, f"{folder}/plain.csv")
+        _csv(spark, rows, f"{folder}/plain.csv", compression="none")
     else:
         columns = rows.columns[::-1]
         _csv(spark, rows.select(*columns), f"{folder}/turned.csv", compression="gzip")
+    return number
 
 
 @query("s4_mixed_lake", fx.with_raw(
@@ -239,9 +266,9 @@ def _streamed_store(spark, sf_dir) -> Store:
     store = create_store(spark, work_path(spark, "warehouse"))
     places = [work_path(spark, name) for name in ("staging", "checkpoint", "quarantine")]
     for shares in ((0, 2), (1, 3)):
-        for share in shares:
-            _land_share(spark, texts, share, folder)
-        ingest_new_files(spark, folder, store, *places, files_per_batch=6).awaitTermination()
+        landed = sum(_land_share(spark, texts, share, folder) for share in shares)
+        per_batch = -(-landed * 6 // (2 * FILES))  # 6 of 16 files; of more files the same share
+        ingest_new_files(spark, folder, store, *places, files_per_batch=per_batch).awaitTermination()
     if not quarantined(spark, places[-1]).isEmpty():
         raise ValueError("records of the test tables were set aside")
     return store

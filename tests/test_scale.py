@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import json
+
+from pyspark.sql import functions as F
+
 from caseloom.operators.merge import first_label_per_code
 from caseloom.plans.warehouse import create_store, merge_staging, new_rows
 from caseloom.schemas import STAGING
+from caseloom.sources import lake
 from caseloom.sources.headers import conform
+from caseloom.workload import flow_queries
 
 
 def _plan(df) -> str:
@@ -29,3 +35,23 @@ def test_a_table_without_rows_is_not_compared(spark, table, tmp_path):
     assert "Join" in _plan(new_rows(store, "fact_crime", staging))
     assert new_rows(store, "fact_crime", staging).count() == 0
     assert {r["area_id"] for r in store.table("dim_area").collect()} == {"0", "7", "8"}
+
+
+def test_json_arrays_are_more_not_longer_with_more_records(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(flow_queries, "ARRAY_RECORDS", 10)
+    monkeypatch.setattr(flow_queries, "PACKED", "none")
+    texts = spark.range(400).select(
+        F.col("id").cast("string").alias(flow_queries.DAILY_SPELLING.get("dr_no", "dr_no")), F.lit('a "b",\n]').alias("note"), F.lit(1).alias("share"))
+    assert flow_queries._land_share(spark, texts, 1, str(tmp_path)) == 40
+    arrays = [json.loads(f.read_text()) for f in tmp_path.glob("array.json/part-*")]
+    assert len(arrays) > flow_queries.FILES and sum(map(len, arrays)) == 400 and max(map(len, arrays)) < 50
+    read = lake.read_lake(spark, str(tmp_path / "array.json"))
+    assert read.count() == 400 and {r["note"] for r in read.select("note").distinct().collect()} == {'a "b",\n]'}
+
+
+def test_packed_extracts_keep_their_format(spark, tmp_path):
+    folder = f"{tmp_path}/extract.json"
+    spark.range(5).select(F.col("id").cast("string")).write.option("compression", "snappy").json(folder)
+    names = [str(p) for p in tmp_path.glob("extract.json/part-*.json.snappy")]
+    assert names and {lake.format_of(spark, n, otherwise="csv") for n in names} == {"json_lines"}
+    assert lake.read_lake(spark, folder).count() == 5
