@@ -11,10 +11,10 @@ A byte goes when it lies in a ``length``-byte string that also starts in a docum
   still open by the rank 8, 16, 32 ... bytes on.  Kasai's pass gives common prefixes (contexts side by side, one
   vector step per offset), and runs of common prefixes of ``length`` or more are equal strings.
 * **Across shards**: an anchor with more contexts than a shard holds is split over several.  Each part names its distinct strings
-  once, with their smallest doc_id; the minimum by string is an aggregate over at most one row per part, and goes back by way of
-  the part's own number of the string to its windows, so no task gets a whole hot anchor or all windows of a string.
+  once, with their smallest doc_id; the minimum by string is an aggregate over at most one row per part, and goes back to the part
+  as the part's own number of the string, so no task gets a whole hot anchor or all windows of a string.
 
-The shards are worked off in a few rounds, each over its share of the anchors, so that shuffles and tables of one round are
+Anchors are counted and shards worked off in a few rounds, each over its share of the anchors, so that shuffles and tables of one round are
 gone when the next begins.  Nothing is sampled or capped: a boilerplate line of every document costs one context per task and document group.
 """
 
@@ -376,10 +376,10 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     docs = documents.select("doc_id", "text").where("doc_id is not null")
     long = docs.where(F.octet_length("text") >= length)
     anchors = stored(_anchors(long, length), "anchors")
-    shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
-    shared = stored(shared, "shared_anchors")
-    per_doc = stored(anchors.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared")), "shared")
-    discard(anchors, shared)
+    rounds = [_shared_rows(anchors.where(F.pmod("anchor", F.lit(SLICES)) == k)) for k in range(SLICES)]
+    discard(anchors)
+    per_doc = stored(reduce(DataFrame.unionByName, rounds).groupBy("doc_id").agg(F.collect_set("anchor").alias("shared")), "shared")
+    discard(*rounds)
     contexts = _contexts(long.join(per_doc, "doc_id").select("doc_id", "text", "shared"), length)
     contexts = contexts.withColumn("name", F.xxhash64("context")).withColumn("slice", F.pmod("anchor", F.lit(SLICES)).cast("int"))
     contexts = stored(contexts, "contexts", slices="slice")
@@ -391,6 +391,15 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     return spans
 
 
+def _shared_rows(anchors: DataFrame) -> DataFrame:
+    """The rows (doc_id, anchor) whose anchor several documents have; anchors come with all their rows."""
+    shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
+    shared = stored(shared, "shared_anchors")
+    rows = stored(anchors.join(shared, "anchor").select("doc_id", "anchor"), "shared_rows")
+    discard(shared)
+    return rows
+
+
 def _slice_spans(contexts: DataFrame, length: int) -> DataFrame:
     """(doc_id, span) to remove, from all contexts (doc_id, start, anchor, context, name) of some anchors."""
     distinct_contexts = contexts.groupBy("anchor", "name", "context").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last_doc"))
