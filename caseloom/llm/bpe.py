@@ -4,7 +4,7 @@ Every prefix of a BPE encoding is the encoding of the text it covers, and two to
 exactly when BPE over their joined text gives the two back.  So the encoding of a word is known from one number
 per prefix, the *last token* of the prefix's encoding: at a trie node it is the one vocabulary entry that ends
 there and may follow the last token of the node where it begins.  A depth-first walk over the trie of a batch's new
-words works these states out once for each distinct prefix, however many words share it.
+words, which is their sorted order, works these states out once for each distinct prefix, however many words share it.
 
 Only the vocabulary file goes to the workers (a broadcast of its fixed size).  Words met before are kept in a table
 of bounded size per worker; it changes speed, never results.
@@ -32,6 +32,7 @@ _SEPARATORS = re.compile("[\x1c-\x1f]")  # white space to str.split, not to Unic
 _BEYOND_LATIN = re.compile("[^\x00-ɏ]")
 # The vocabulary's own word pattern (a fixed value of its file).
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z]+|[0-9]|[^\t-\r A-Za-z0-9]+")  # the same on ASCII
 _NEVER = 1 << 60
 
 
@@ -142,35 +143,35 @@ class TrieEncoder:
 
     # ------------------------------------------------------------ the trie
     def _encode_words(self, words: Iterable[str]) -> None:
-        """Encode new distinct words: insert them into a trie, then carry last-token states down it, depth first."""
-        root: dict = {}
-        deepest = 0
-        for word in words:
-            node = root
-            for letter in word:
-                below = node.get(letter)
-                if below is None:
-                    below = node[letter] = {}
-                node = below
-            node[""] = word
-            deepest = max(deepest, len(word))
+        """Encode new distinct words in sorted order, which walks their trie depth first: ``last`` and ``size`` hold the
+        last-token states of the word before, and those of the prefix shared with it still stand."""
+        words = sorted(words)
+        deepest = max(map(len, words), default=0)
         last, size = [0] * (deepest + 1), [0] * (deepest + 1)
         inner, final, fits = self._inner, self._final, self._fits
         inner_ends, final_ends = self._inner_ends, self._final_ends
         made, pack = self._words, struct.pack
-        stack = [("", root)]
-        while stack:
-            prefix, node = stack.pop()
-            depth = len(prefix)
-            word = node.get("")
-            ending = prefix[-4:]
-            if depth and (word is None or len(node) > 1):
+        before, known = "", 0  # the states of the first ``known`` letters of ``before`` are worked out
+        for word in words:
+            token = final.get(word, -1)
+            if token >= 0:  # a word of the vocabulary is one token
+                made[word] = pack("<I", token)
+                continue
+            length = len(word)
+            depth = 0
+            for letter, other in zip(word, before):
+                if letter != other or depth == known:
+                    break
+                depth += 1
+            while depth < length - 1:
+                depth += 1
+                ending = word[max(depth - 4, 0) : depth]
                 choice = inner_ends.get(ending)
                 if choice is None:
                     choice = inner_ends[ending] = self._candidates(ending, inner, self._inner_sizes)
                 for k, token in choice:
                     if k < depth:
-                        if token < 0 and (token := inner.get(prefix[depth - k :], -1)) < 0:
+                        if token < 0 and (token := inner.get(word[depth - k : depth], -1)) < 0:
                             continue
                         pair = last[depth - k] << 20 | token
                         ok = fits.get(pair)
@@ -178,42 +179,41 @@ class TrieEncoder:
                             ok = fits[pair] = not self._broken(last[depth - k], token)
                         if ok:
                             break
-                    elif k == depth and (token >= 0 or (token := inner.get(prefix, -1)) >= 0):
+                    elif k == depth and (token >= 0 or (token := inner.get(word[:depth], -1)) >= 0):
                         break
                 else:
-                    raise ValueError(f"no encoding ends at {prefix!r}")
+                    raise ValueError(f"no encoding ends at {word[:depth]!r}")
                 last[depth], size[depth] = token, k
-            if word is not None:
-                choice = final_ends.get(ending)
-                if choice is None:
-                    choice = final_ends[ending] = self._candidates(ending, final, self._final_sizes)
-                for k, token in choice:
-                    if k < depth:
-                        if token < 0 and (token := final.get(prefix[depth - k :], -1)) < 0:
-                            continue
-                        pair = last[depth - k] << 20 | token
-                        ok = fits.get(pair)
-                        if ok is None:
-                            ok = fits[pair] = not self._broken(last[depth - k], token)
-                        if ok:
-                            break
-                    elif k == depth and (token >= 0 or (token := final.get(prefix, -1)) >= 0):
+            before, known = word, length - 1
+            ending = word[-4:]
+            choice = final_ends.get(ending)
+            if choice is None:
+                choice = final_ends[ending] = self._candidates(ending, final, self._final_sizes)
+            for k, token in choice:
+                if k < length:
+                    if token < 0 and (token := final.get(word[length - k :], -1)) < 0:
+                        continue
+                    pair = last[length - k] << 20 | token
+                    ok = fits.get(pair)
+                    if ok is None:
+                        ok = fits[pair] = not self._broken(last[length - k], token)
+                    if ok:
                         break
-                else:
-                    raise ValueError(f"no encoding ends at {prefix!r}")
-                ids, at = [token], depth - k
-                while at:
-                    ids.append(last[at])
-                    at -= size[at]
-                ids.reverse()
-                made[word] = pack(f"<{len(ids)}I", *ids)
-            for letter, below in node.items():
-                if letter:
-                    stack.append((prefix + letter, below))
+            else:
+                raise ValueError(f"no encoding ends at {word!r}")
+            ids, at = [token], length - k
+            while at:
+                ids.append(last[at])
+                at -= size[at]
+            ids.reverse()
+            made[word] = pack(f"<{len(ids)}I", *ids)
 
     # ------------------------------------------------------------ texts to words
     def _split(self, chunk: str) -> list[str]:
         """Words of a normalised text without white space, in byte letters."""
+        if chunk.isascii():
+            words = [chunk] if chunk.isalpha() else _ASCII_WORDS.findall(chunk)
+            return words if chunk.isprintable() else [w if w.isprintable() else "".join([_LETTERS[b] for b in w.encode()]) for w in words]
         if _BEYOND_LATIN.search(chunk):
             return [piece for piece, _ in self._own.pre_tokenizer.pre_tokenize_str(chunk)]
         words = [chunk] if chunk.isalpha() else _WORDS.findall(chunk)
