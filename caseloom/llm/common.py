@@ -17,6 +17,7 @@ from caseloom.sources import files
 # Rows Spark hands to a Python task at once.  Texts differ in length a thousandfold, so the default of 10,000
 # rows could be gigabytes; this keeps a batch at a few MB of ordinary documents.
 BATCH_ROWS = 2048
+OPEN_SLICES = 8  # files a task writes side by side; rows of tables with more slices are sorted
 
 Arrays = dict[str, object]
 
@@ -28,10 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, name: str, slices: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back: computed once, and safe when executors are lost.
 
-    ``slices``: the table's last column, whose values get a folder each, so that a filter on it reads only its own files."""
+    ``slices``: the table's last column, whose values get a folder each, so that a filter on it reads only its own files.  A task
+    keeps a file open for each of a few values instead of sorting its rows by them."""
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path, partitionBy=slices)
+    with configured(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_SLICES)} if slices else {}):
+        df.write.option("compression", "zstd").parquet(path, partitionBy=slices)
     # Spark deletes the shuffle files of finished steps when the driver collects its garbage; it rarely has to by itself
     gc.collect()
     spark.sparkContext._jvm.System.gc()
@@ -60,11 +63,16 @@ def configured(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
 
 
 def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with bounded batches and this package on the workers."""
+    """``mapInArrow`` with bounded batches and this package on the workers, which hand back their memory after each task."""
     spark = df.sparkSession
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        hand_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def hand_back() -> None:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 
-from caseloom.llm import bpe, suffix_dedup
+from pyspark.sql import functions as F
+
+from caseloom.llm import bpe, common, suffix_dedup
 from caseloom.llm.queries import vocabulary_path
 
 PASSAGE = b"the one passage that very many documents of the corpus have in common, word for word"
@@ -63,3 +65,42 @@ def test_vocabulary_words_are_not_walked_and_order_is_no_matter(monkeypatch):
     fresh = bpe.TrieEncoder(bpe.read_vocabulary(vocabulary_path()))
     monkeypatch.setattr(fresh, "_candidates", None)
     assert np.array_equal(fresh.encode(texts[:1])[0], tool.encode(texts[:1])[0])
+
+
+def test_a_shard_holds_a_few_dozen_megabytes():
+    """Six megabytes of contexts of many anchors go through one task; an executor has room for several such tasks."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    n, size = 90_000, 70
+    texts = np.random.default_rng(3).integers(97, 123, n * size, dtype=np.uint8).tobytes()
+    anchors = np.arange(n) // 6
+    columns = {
+        "anchor": anchors, "part": np.zeros(n, np.int32), "parts": np.ones(n, np.int32), "name": np.arange(n),
+        "context": [texts[k : k + size] for k in range(0, n * size, size)], "doc_id": np.arange(n), "last_doc": np.arange(n) + 1,
+    }
+    batches = pa.table(columns).to_batches(max_chunksize=2048)
+    tracemalloc.start()
+    found = sum(b.num_rows for b in suffix_dedup._work_off(iter(batches), 50))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == n and peak < 120 << 20
+
+
+def test_slices_are_written_without_a_sort_and_read_alone(spark):
+    rows = spark.range(0, 4000, 1, 2).selectExpr("id", "cast(id * 7 % 4 as int) as slice")
+    sliced = common.stored(rows, "sliced", slices="slice")
+    for k in range(4):
+        own = [r["id"] for r in sliced.where(f"slice = {k}").withColumn("file", F.input_file_name()).orderBy("file", F.monotonically_increasing_id()).collect()]
+        assert sorted(own) == [i for i in range(4000) if i * 7 % 4 == k]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_anchors_lie_in_a_folder_per_round(spark, table, monkeypatch):
+    """A round reads its own anchors, not those of all rounds."""
+    sliced = {}
+    plain = suffix_dedup.stored
+    monkeypatch.setattr(suffix_dedup, "stored", lambda df, name, slices=None: (sliced.update({name: slices}), plain(df, name, slices))[1])
+    suffix_dedup.repeated_spans(table("doc_id long, text string", [(k, PASSAGE.decode()) for k in range(3)]), 50)
+    assert sliced["anchors"] == sliced["contexts"] == "slice"
