@@ -218,10 +218,16 @@ def latest_records(records: DataFrame, order: str = "date_occ", n: int = 2000) -
 
 
 def land_extract(records: DataFrame, lake: str, prefix: str, at: datetime, compression: str = "none") -> str:
-    """Write one timestamped extract of JSON lines; an extract is never overwritten."""
+    """Write one timestamped extract of JSON lines; an extract is never overwritten.
+
+    The records are worked out once: whether there are any is seen in the files, and an extract without records is taken back."""
     target = f"{lake.rstrip('/')}/{prefix}_{at:%Y%m%d_%H%M%S}.json"
-    require_rows(records, f"extract {prefix}")
     records.write.mode("errorifexists").option("compression", compression).json(target)
+    try:
+        require_rows(records.sparkSession.read.text(spark_path(target)), f"extract {prefix}")
+    except EmptyInput:
+        files.delete(records.sparkSession, target)
+        raise
     return target
 
 

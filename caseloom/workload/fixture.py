@@ -61,13 +61,11 @@ _DUCK = {
     "us_shifted": f"strftime(l_shipdate + to_days({_SHIFT}), '%m/%d/%Y')",
 }
 
-# tables joined to lineitem, in order
+# tables joined to lineitem with its order, in order; orders get their customers before, as there are far fewer of them
 _JOINS = (
-    ("orders", "l_orderkey = o_orderkey"),
-    ("customer", "o_custkey = c_custkey"),
-    ("nation", "c_nationkey = n_nationkey"),
     ("part", "l_partkey = p_partkey"),
     ("supplier", "l_suppkey = s_suppkey"),
+    ("nation", "c_nationkey = n_nationkey"),
 )
 
 
@@ -78,7 +76,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw(spark: SparkSession, sf_dir: str, columns: Sequence[str] = RAW_COLUMNS) -> DataFrame:
     """Raw incidents with the wanted columns, over all six tables whichever columns are wanted: a line item without its
     order, customer, nation, part or supplier is no incident."""
-    df = table(spark, sf_dir, "lineitem")
+    orders = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
+    df = table(spark, sf_dir, "lineitem").join(orders, F.expr("l_orderkey = o_orderkey"))
     for name, condition in _JOINS:
         df = df.join(table(spark, sf_dir, name), F.expr(condition))
     return df.select(*[F.expr(_RAW[c].format(**_SPARK)).alias(c) for c in columns])

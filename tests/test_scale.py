@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime
 
+import pytest
+from conftest import TINY
 from pyspark.sql import functions as F
 
 from caseloom.operators.merge import first_label_per_code
+from caseloom.plans import warehouse
 from caseloom.plans.warehouse import create_store, merge_staging, new_rows
 from caseloom.schemas import STAGING
 from caseloom.sources import lake
 from caseloom.sources.headers import conform
-from caseloom.workload import flow_queries
+from caseloom.workload import fixture, flow_queries
 
 
 def _plan(df) -> str:
@@ -55,3 +59,44 @@ def test_packed_extracts_keep_their_format(spark, tmp_path):
     names = [str(p) for p in tmp_path.glob("extract.json/part-*.json.snappy")]
     assert names and {lake.format_of(spark, n, otherwise="csv") for n in names} == {"json_lines"}
     assert lake.read_lake(spark, folder).count() == 5
+
+
+def _below(plan: str, mark: str) -> str:
+    """Lines of a printed plan below the first line that holds ``mark``."""
+    lines = plan.splitlines()
+    k = next(i for i, line in enumerate(lines) if mark in line)
+    depth = len(lines[k]) - len(lines[k].lstrip(" :+-"))
+    inside = []
+    for line in lines[k + 1 :]:
+        if len(line) - len(line.lstrip(" :+-")) <= depth:
+            break
+        inside.append(line)
+    return "\n".join(inside)
+
+
+def test_line_items_do_not_travel_to_customers(spark):
+    """Orders find their customers before they meet line items."""
+    plan = fixture.raw(spark, TINY)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in _below(plan, "Join Inner, (o_custkey")
+
+
+def test_an_extract_is_worked_out_once(spark, table, tmp_path, monkeypatch):
+    rows = table("dr_no string", [("1",), ("2",)])
+    looked_at = []
+    plain = type(rows).isEmpty
+    monkeypatch.setattr(type(rows), "isEmpty", lambda df: (looked_at.append(df), plain(df))[1])
+    path = lake.land_extract(rows, str(tmp_path), "extract", datetime(2024, 5, 1))
+    assert all(df is not rows for df in looked_at) and spark.read.json(path).count() == 2
+    with pytest.raises(lake.EmptyInput):
+        lake.land_extract(rows.where("dr_no = '3'"), str(tmp_path), "empty", datetime(2024, 5, 1))
+    assert [p.name for p in tmp_path.iterdir()] == ["extract_20240501_000000.json"]
+
+
+def test_codes_are_read_once_per_spelling(spark, table):
+    staging = table("area_id string, area_name string, time_occ string", [("07", "b", "0930"), ("7.0", "a", "930.0"), (None, "c", None), ("x", "d", "?")] * 3)
+    for name, found in (("dim_area", [("7", "a")]), ("dim_time", [(930, 9)])):
+        rows = warehouse.BATCH_ROWS[name](staging, False)
+        plan = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        last = max(k for k, line in enumerate(plan) if "Aggregate [" in line)
+        assert not any("cast" in line for line in plan[last:])
+        assert [tuple(r)[:2] for r in rows.collect()] == found
