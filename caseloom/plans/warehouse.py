@@ -21,10 +21,20 @@ from caseloom.sources.store import Commit, Store
 
 
 # ---------------------------------------------------------------- rows a batch brings
+def _spellings(staging: DataFrame, *columns: str) -> DataFrame:
+    """Distinct raw values with their ``_rows``, found by hashing on the map side."""
+    return staging.groupBy(*columns).agg(F.count("*").alias("_rows"))
+
+
+def _once_each(value: F.Column) -> F.Column:
+    """A reading of ``_spellings``: asking for ``_rows`` keeps Spark from moving it, or a filter on it, back to every row."""
+    return F.when(F.col("_rows") > 0, value)
+
+
 def _coded_dimension(code: str, label: str) -> Callable[[DataFrame, bool], DataFrame]:
     def rows(staging: DataFrame, strict: bool = False) -> DataFrame:
-        typed = staging.where(F.col(code).isNotNull()).select(
-            X.canonical_code(F.col(code), strict).alias(code), F.col(label).cast("string").alias(label)
+        typed = _spellings(staging.where(F.col(code).isNotNull()), code, label).select(
+            _once_each(X.canonical_code(F.col(code), strict)).alias(code), F.col(label).cast("string").alias(label)
         )
         return first_label_per_code(typed.where(F.col(code).isNotNull()), code, label)
 
@@ -44,7 +54,7 @@ def date_rows(staging: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def time_rows(staging: DataFrame, strict: bool = False) -> DataFrame:
-    codes = staging.select(X.half_even_int(F.col("time_occ"), strict).alias("time_id"))
+    codes = _spellings(staging, "time_occ").select(_once_each(X.half_even_int(F.col("time_occ"), strict)).alias("time_id"))
     hour = X.hour_of_code(F.col("time_id"))
     distinct = codes.where("time_id IS NOT NULL").distinct()
     return distinct.select("time_id", hour.alias("hour"), X.time_of_day(hour).alias("time_of_day"))
