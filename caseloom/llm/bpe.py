@@ -1,13 +1,14 @@
-"""BPE encoding over a trie of distinct words, and decoding.
+"""BPE encoding by last tokens of prefixes, and decoding.
 
 Every prefix of a BPE encoding is the encoding of the text it covers, and two tokens may stand side by side
 exactly when BPE over their joined text gives the two back.  So the encoding of a word is known from one number
-per prefix, the *last token* of the prefix's encoding: at a trie node it is the one vocabulary entry that ends
-there and may follow the last token of the node where it begins.  A depth-first walk over the trie of a batch's new
-words, which is their sorted order, works these states out once for each distinct prefix, however many words share it.
+per prefix, the *last token* of the prefix's encoding: the one vocabulary entry that ends there and may follow the
+last token of the prefix before it.  New words of a batch are encoded side by side, letter by letter, each letter with
+one step of arrays; few or very long words by a depth-first walk over their trie, which is their sorted order.
 
-Only the vocabulary file goes to the workers (a broadcast of its fixed size).  Words met before are kept in a table
-of bounded size per worker; it changes speed, never results.
+Texts are cut at white space, and each distinct chunk of a batch is looked up once.  Only the vocabulary file goes to the
+workers (a broadcast of its fixed size).  Chunks met before are kept in a table of bounded size per worker; it changes
+speed, never results.
 """
 
 from __future__ import annotations
@@ -20,12 +21,15 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
 from caseloom.llm.common import map_batches, texts_of
 
-KEPT_WORDS = 600_000  # entries of a worker's word tables; when full they are emptied
+KEPT_WORDS = 700_000  # entries of a worker's tables; when full they keep only what the texts at hand need
+LONGEST_LANE = 64  # letters of words that are encoded side by side
+FEWEST_LANES = 256
 
 _WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
 _SEPARATORS = re.compile("[\x1c-\x1f]")  # white space to str.split, not to Unicode
@@ -33,7 +37,10 @@ _BEYOND_LATIN = re.compile("[^\x00-ɏ]")
 # The vocabulary's own word pattern (a fixed value of its file).
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z]+|[0-9]|[^\t-\r A-Za-z0-9]+")  # the same on ASCII
+_CLOSING = frozenset(".,;:!?)]\"")  # marks that most often follow a word; alone they are a word of their own
 _NEVER = 1 << 60
+_FIT_BITS = 20
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _byte_letters() -> list[str]:
@@ -86,8 +93,8 @@ class TrieEncoder:
         self._inner_sizes, self._final_sizes = self._sizes(self._inner), self._sizes(self._final)
         self._inner_ends: dict[str, tuple] = {}
         self._final_ends: dict[str, tuple] = {}
-        self._words: dict[str, bytes] = {}
-        self._chunks: dict[str, bytes] = {}
+        self._chunks: dict[str, bytes] = {}  # a word in ASCII letters is a chunk too
+        self._foreign: dict[str, bytes] = {}  # words in other byte letters, which a chunk may spell with another meaning
 
     # ------------------------------------------------------------ which tokens may stand side by side
     @staticmethod
@@ -142,15 +149,15 @@ class TrieEncoder:
                 j += 1
 
     # ------------------------------------------------------------ the trie
-    def _encode_words(self, words: Iterable[str]) -> None:
-        """Encode new distinct words in sorted order, which walks their trie depth first: ``last`` and ``size`` hold the
+    def _encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Encode distinct words in sorted order, which walks their trie depth first: ``last`` and ``size`` hold the
         last-token states of the word before, and those of the prefix shared with it still stand."""
         words = sorted(words)
         deepest = max(map(len, words), default=0)
         last, size = [0] * (deepest + 1), [0] * (deepest + 1)
         inner, final, fits = self._inner, self._final, self._fits
         inner_ends, final_ends = self._inner_ends, self._final_ends
-        made, pack = self._words, struct.pack
+        made, pack = {}, struct.pack
         before, known = "", 0  # the states of the first ``known`` letters of ``before`` are worked out
         for word in words:
             token = final.get(word, -1)
@@ -207,61 +214,238 @@ class TrieEncoder:
                 at -= size[at]
             ids.reverse()
             made[word] = pack(f"<{len(ids)}I", *ids)
+        return made
+
+    # ------------------------------------------------------------ many words side by side
+    def _suffix_states(self) -> None:
+        """Tables for the longest vocabulary entry that ends a prefix: an Aho-Corasick automaton over all beginnings of entries.
+
+        ``_goto``: state by row of a state and column of the next letter.  Letters that only stand alone have no column, just a state.  ``_ends``:
+        a state's longest entry inside a word and at its end; ``_shorter``: the next entry that ends the same texts."""
+        entries = (self._inner, self._final)
+        column = {c: k for k, c in enumerate(sorted({c for names in entries for n in names if len(n) > 1 for c in n}))}
+        names = ["", *sorted({n[:k] for e in entries for n in e for k in range(1, len(n) + 1)}, key=len)]
+        state = {n: k for k, n in enumerate(names)}
+        codes = 1 + max(map(ord, _LETTERS))
+        self._column, self._alone = np.full(codes, -1, np.int32), np.zeros(codes, np.int32)
+        for letter in _LETTERS:
+            self._column[ord(letter)], self._alone[ord(letter)] = column.get(letter, -1), state.get(letter, 0)
+        # a state from which no entry goes on goes where the next shorter one goes, and needs no row
+        goes_on = np.zeros(len(names), bool)
+        goes_on[[state[n[:-1]] for n in names[1:]]] = True
+        self._row = np.where(goes_on, np.cumsum(goes_on) - 1, 0).astype(np.int32)
+        self._goto = np.zeros((int(goes_on.sum()), len(column)), np.int32)
+        fall = np.zeros(len(names), np.int32)
+        sizes = np.array([len(n) for n in names])
+        for depth in range(1, int(sizes[-1]) + 1):
+            level = np.arange(*np.searchsorted(sizes, (depth, depth + 1)))
+            above = np.array([state[names[v][:-1]] for v in level])
+            by = np.array([column.get(names[v][-1], -1) for v in level])
+            level_with, above, by = level[by >= 0], above[by >= 0], by[by >= 0]
+            if depth > 1:
+                fall[level_with] = self._goto[self._row[fall[above]], by]
+            self._goto[self._row[above], by] = level_with
+            on = level[goes_on[level]]
+            self._goto[self._row[on]] = self._goto[self._row[fall[on]]]
+            ended = level[~goes_on[level]]
+            self._row[ended] = self._row[fall[ended]]
+        self._ends, self._shorter = [], []
+        self._token_size = np.zeros(len(self.names), np.int32)
+        for e in entries:
+            ends = [-1] * len(names)
+            for v, (n, f) in enumerate(zip(names, fall.tolist())):
+                ends[v] = e[n] if n in e else ends[f] if v else -1
+            shorter = np.full(len(self.names), -1, np.int32)
+            for n, i in e.items():
+                shorter[i], self._token_size[i] = ends[fall[state[n]]], len(n)
+            self._ends.append(np.array(ends, np.int32))
+            self._shorter.append(shorter)
+        self._fit_slots = np.full(1 << _FIT_BITS, -1, np.int64)  # pair and verdict of the pairs met last
+
+    def _fitting(self, pairs: np.ndarray) -> np.ndarray:
+        """May the two tokens of each pair stand side by side?"""
+        slots = ((pairs.view(np.uint64) * _SPREAD) >> np.uint64(64 - _FIT_BITS)).view(np.int64)
+        held = self._fit_slots[slots]
+        missing = np.flatnonzero(held >> 1 != pairs)
+        if missing.size:
+            new, back = np.unique(pairs[missing], return_inverse=True)
+            fits, verdicts = self._fits, []
+            for pair in new.tolist():
+                ok = fits.get(pair)
+                if ok is None:
+                    ok = fits[pair] = not self._broken(pair >> 20, pair & 0xFFFFF)
+                verdicts.append(ok)
+            held[missing] = (new << 1 | np.array(verdicts, np.int64))[back]
+            self._fit_slots[slots[missing]] = held[missing]
+        return (held & 1).astype(bool)
+
+    def _last_tokens(self, last: np.ndarray, lanes: np.ndarray, depth: int, states: np.ndarray, at_end: bool) -> np.ndarray:
+        """Last token of the encoding of the first ``depth`` letters of each lane's word: the longest that may follow."""
+        token = self._ends[at_end][states]
+        open_lanes = np.arange(len(lanes))
+        while True:
+            tried = token[open_lanes]
+            if (tried < 0).any():
+                raise ValueError("no encoding ends at a letter")
+            before = depth - self._token_size[tried]
+            ok = before == 0
+            rest = np.flatnonzero(~ok)
+            ok[rest] = self._fitting(last[before[rest], lanes[open_lanes[rest]]].astype(np.int64) << 20 | tried[rest])
+            open_lanes = open_lanes[~ok]
+            if not open_lanes.size:
+                return token
+            token[open_lanes] = self._shorter[at_end][token[open_lanes]]
+
+    def _encode_side_by_side(self, words: list[str]) -> dict[str, bytes]:
+        """:meth:`_encode_words` for many short words: all of them take the step from letter to letter together."""
+        if not hasattr(self, "_goto"):
+            self._suffix_states()
+        words = sorted(words, key=len, reverse=True)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        letters = np.frombuffer("".join(words).encode("utf-16-le"), "<u2")
+        begin = np.cumsum(sizes) - sizes
+        last = np.zeros((sizes[0], len(words)), np.int32)  # row d: last tokens of the first d letters
+        close, states = np.empty(len(words), np.int32), np.zeros(len(words), np.int32)
+        for depth in range(1, int(sizes[0]) + 1):
+            inside, upto = np.searchsorted(-sizes, (-depth, 1 - depth)).tolist()  # longer words come first, then those that end here
+            letter = letters[begin[:upto] + depth - 1]
+            column = self._column[letter]
+            states = np.where(column < 0, self._alone[letter], self._goto[self._row[states[:upto]], column])
+            if inside:
+                last[depth, :inside] = self._last_tokens(last, np.arange(inside), depth, states[:inside], False)
+            if inside < upto:
+                close[inside:upto] = self._last_tokens(last, np.arange(inside, upto), depth, states[inside:], True)
+        lanes, token, rounds = np.arange(len(words)), close, []
+        at = sizes - self._token_size[close]
+        count = np.zeros(len(words), np.int64)
+        while True:
+            rounds.append((lanes, token))
+            count[lanes] += 1
+            more = at > 0
+            if not more.any():
+                break
+            lanes, at = lanes[more], at[more]
+            token = last[at, lanes]
+            at = at - self._token_size[token]
+        end = np.cumsum(count)
+        ids = np.empty(int(end[-1]), "<u4")
+        for k, (lanes, token) in enumerate(rounds):  # from the last token to the first
+            ids[end[lanes] - 1 - k] = token
+        raw, end = ids.tobytes(), (4 * end).tolist()
+        return dict(zip(words, [raw[a:b] for a, b in zip([0, *end], end)]))
+
+    def _encode_new(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Ids of new distinct words: short ones side by side, few or long ones one by one."""
+        final, made, short, others = self._final, {}, [], []
+        for word in words:
+            token = final.get(word, -1)
+            if token >= 0:  # a word of the vocabulary is one token
+                made[word] = struct.pack("<I", token)
+            else:
+                (short if len(word) <= LONGEST_LANE else others).append(word)
+        if len(short) >= FEWEST_LANES:
+            made |= self._encode_side_by_side(short)
+        else:
+            others += short
+        return made | self._encode_words(others)
 
     # ------------------------------------------------------------ texts to words
     def _split(self, chunk: str) -> list[str]:
         """Words of a normalised text without white space, in byte letters."""
         if chunk.isascii():
-            words = [chunk] if chunk.isalpha() else _ASCII_WORDS.findall(chunk)
+            words = _ASCII_WORDS.findall(chunk)
             return words if chunk.isprintable() else [w if w.isprintable() else "".join([_LETTERS[b] for b in w.encode()]) for w in words]
         if _BEYOND_LATIN.search(chunk):
             return [piece for piece, _ in self._own.pre_tokenizer.pre_tokenize_str(chunk)]
         words = [chunk] if chunk.isalpha() else _WORDS.findall(chunk)
         return [w if w.isascii() and w.isprintable() else "".join([_LETTERS[b] for b in w.encode()]) for w in words]
 
-    def _chunks_of(self, text: str) -> list[str]:
-        """Normalise a text without special tokens and cut it at white space."""
-        if text.isascii() or not _BEYOND_LATIN.search(text):
-            text = text.lower()  # Latin letters are composed already, and lower-case one by one
-        else:
+    def _normalised(self, text: str) -> str:
+        """A text without special tokens, normalised, with ASCII white space (and no other) between its chunks."""
+        if text.isascii():
+            text = text.lower()
+            return text if not _SEPARATORS.search(text) else " ".join([c for c in _WHITE.split(text) if c])
+        if _BEYOND_LATIN.search(text):
             text = self._own.normalizer.normalize_str(text)
-        if _SEPARATORS.search(text):
-            return [c for c in _WHITE.split(text) if c]
-        return text.split()
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Token ids of each text, as the vocabulary's own library gives without added special tokens."""
-        parts: list[list[object]] = []
-        for text in texts:
-            if "<" in text and self._special_pattern.search(text):
-                found, at = [], 0
-                for m in self._special_pattern.finditer(text):
-                    found += [self._chunks_of(text[at : m.start()]), self._special[m.group()]]
-                    at = m.end()
-                parts.append([*found, self._chunks_of(text[at:])])
+        else:
+            text = text.lower()  # Latin letters are composed already, and lower-case one by one
+        return " ".join([c for c in _WHITE.split(text) if c] if _SEPARATORS.search(text) else text.split())
+
+    def _marked(self, text: str) -> str:
+        """A normalised text, in which ``A`` and its id stand for each special token: other chunks have no upper-case letters."""
+        if "<" not in text or not self._special_pattern.search(text):
+            return self._normalised(text)
+        found, at = [], 0
+        for m in self._special_pattern.finditer(text):
+            found += [self._normalised(text[at : m.start()]), f"A{self._special[m.group()]}"]
+            at = m.end()
+        return " ".join([*found, self._normalised(text[at:])])
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Put the ids of new distinct chunks into the table, and those of their words."""
+        table, foreign = self._chunks, self._foreign
+        alone, closed, others = [], [], {}
+        for c in chunks:
+            if c.isascii():
+                if c.isalpha():
+                    alone.append(c)
+                    continue
+                if c[-1:] in _CLOSING and c[:-1].isalpha():
+                    closed.append(c)
+                    continue
+            others[c] = self._split(c) if c[:1] != "A" else []
+        wanted = set(alone)
+        wanted.update([w for w in [c[:-1] for c in closed] if w not in table], [w for w in _CLOSING if w not in table])
+        wanted.update([w for words in others.values() for w in words if w not in (table if w.isascii() else foreign)])
+        made = self._encode_new(wanted)
+        for word in [w for w in made if not w.isascii()]:
+            foreign[word] = made.pop(word)
+        table.update(made)
+        for c in closed:
+            table[c] = table[c[:-1]] + table[c[-1]]
+        for c, words in others.items():
+            if c[:1] == "A":
+                table[c] = struct.pack("<I", int(c[1:]))
             else:
-                parts.append([self._chunks_of(text)])
+                table[c] = b"".join([table[w] if w.isascii() else foreign[w] for w in words])
+
+    def _ids_of(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks.  A full table keeps what these chunks need."""
+        found = list(map(self._chunks.get, chunks))
         if len(self._chunks) > KEPT_WORDS:
-            self._chunks.clear()
-        if len(self._words) > KEPT_WORDS:
-            self._words.clear()
+            self._chunks = {c: ids for c, ids in zip(chunks, found) if ids is not None}
+        if len(self._foreign) > KEPT_WORDS:
+            self._foreign.clear()
         if len(self._fits) > 4 * KEPT_WORDS:
             self._fits.clear()
             self._inner_ends.clear()
             self._final_ends.clear()
-        kept = self._chunks
-        new = set().union(*(p for found in parts for p in found if isinstance(p, list))).difference(kept)
-        cut = {c: self._split(c) for c in new}
-        self._encode_words({w for words in cut.values() for w in words if w not in self._words})
-        for chunk, words in cut.items():
-            kept[chunk] = self._words[words[0]] if len(words) == 1 else b"".join([self._words[w] for w in words])
-        out = []
-        for found in parts:
-            raw = b"".join(
-                [b"".join(map(kept.__getitem__, p)) if isinstance(p, list) else np.array([p], "<u4").tobytes() for p in found]
-            )
-            out.append(np.frombuffer(raw, "<u4"))
-        return out
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        if missing:
+            self._learn([chunks[k] for k in missing])
+            for k in missing:
+                found[k] = self._chunks[chunks[k]]
+        return found
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Token ids of each text, as the vocabulary's own library gives without added special tokens.
+
+        Each distinct chunk of all texts is looked up once; the ids of the others are copies."""
+        if not texts:
+            return []
+        chunks = pc.ascii_split_whitespace(pa.array([self._marked(t) for t in texts], pa.large_string()))
+        coded = chunks.flatten().dictionary_encode()
+        each = self._ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = np.frombuffer(b"".join(each), "<u4")
+        size = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        begin = np.cumsum(size) - size
+        chunk = coded.indices.to_numpy()
+        size = size[chunk]
+        end = np.cumsum(size)
+        place = np.repeat(begin[chunk] - (end - size), size)
+        place += np.arange(len(place))
+        borders = np.concatenate(([0], end))[chunks.offsets.to_numpy()]
+        return np.split(ids[place], borders[1:-1])
 
     def decode(self, ids: np.ndarray) -> str:
         """Names of the tokens, special ones included, joined by one space: the file names no decoder."""
@@ -304,8 +488,6 @@ def encode_documents(documents: DataFrame, vocabulary_path: str, id_column: str
 
 def by_size(batch: pa.RecordBatch, column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part holds about ``most`` bytes of text: what a task holds follows bytes, not rows."""
-    import pyarrow.compute as pc
-
     sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
     start = 0
     while start < batch.num_rows:

@@ -67,6 +67,56 @@ def test_vocabulary_words_are_not_walked_and_order_is_no_matter(monkeypatch):
     assert np.array_equal(fresh.encode(texts[:1])[0], tool.encode(texts[:1])[0])
 
 
+def test_bpe_words_are_encoded_side_by_side(monkeypatch):
+    """Many new words take no step one by one, and get the ids of the walk over sorted words and of the vocabulary's library."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    own, rng = Tokenizer.from_file(vocabulary_path()), random.Random(9)
+    words = {"".join(rng.choice(["th", "ing", "e", "r", "st", "q", "7", "é", "ĥ", "'", ".", "ß", "\x00", "日"]) for _ in range(rng.randint(1, 9))) for _ in range(4000)}
+    texts = [" ".join(rng.sample(sorted(words), 400)) for _ in range(8)]
+    expected = [e.ids for e in own.encode_batch(texts, add_special_tokens=False)]
+    tool = bpe.TrieEncoder(bpe.read_vocabulary(vocabulary_path()))
+    walked = []
+    one_by_one = tool._encode_words
+    monkeypatch.setattr(tool, "_encode_words", lambda w: (walked.extend(w), one_by_one(w))[1])
+    assert [e.tolist() for e in tool.encode(texts)] == expected and not walked
+    monkeypatch.setattr(bpe, "FEWEST_LANES", 1 << 30)
+    fresh = bpe.TrieEncoder(bpe.read_vocabulary(vocabulary_path()))
+    assert [e.tolist() for e in fresh.encode(texts)] == expected
+    monkeypatch.setattr(bpe, "FEWEST_LANES", 1)
+    long = ["", "x" * 63 + " " + "thing" * 13, "y" * 200 + ". a", "zq", " \t", "a\x85b\xa0c d\x1ce"]
+    assert [e.tolist() for e in fresh.encode(long)] == [e.ids for e in own.encode_batch(long, add_special_tokens=False)]
+    assert fresh.encode([]) == []
+
+
+def test_bpe_special_tokens_are_no_ordinary_chunks():
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(vocabulary_path())
+    tool = bpe.TrieEncoder(bpe.read_vocabulary(vocabulary_path()))
+    texts = ["A5 a5 A49000"]
+    for name in tool._special:
+        texts += [name, f"x{name}y{name}{name} é{name}", f"A1 {name.upper()} {name.lower()} {name[:-1]}"]
+    assert [e.tolist() for e in tool.encode(texts)] == [e.ids for e in own.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_bpe_full_tables_keep_the_words_at_hand(monkeypatch):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(vocabulary_path())
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 20)
+    tool = bpe.TrieEncoder(bpe.read_vocabulary(vocabulary_path()))
+    texts = [" ".join(f"zq{a}{b}, é{a} {a}xx." for a in "abcdefgh") for b in "uvwxyz"]
+    learnt = []
+    learn = tool._learn
+    monkeypatch.setattr(tool, "_learn", lambda chunks: (learnt.append(chunks), learn(chunks))[1])
+    for text in [t for t in texts for _ in range(2)]:
+        assert tool.encode([text])[0].tolist() == own.encode(text, add_special_tokens=False).ids
+    assert len(learnt) == len(texts)
+
+
 def test_a_shard_holds_a_few_dozen_megabytes():
     """Six megabytes of contexts of many anchors go through one task; an executor has room for several such tasks."""
     import tracemalloc
