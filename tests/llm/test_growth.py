@@ -154,3 +154,54 @@ def test_anchors_lie_in_a_folder_per_round(spark, table, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "stored", lambda df, name, slices=None: (sliced.update({name: slices}), plain(df, name, slices))[1])
     suffix_dedup.repeated_spans(table("doc_id long, text string", [(k, PASSAGE.decode()) for k in range(3)]), 50)
     assert sliced["anchors"] == sliced["contexts"] == "slice"
+
+
+def test_contexts_that_share_no_window_skip_the_suffix_array(monkeypatch):
+    """A short phrase that many documents have gives their contexts an anchor in common, but nothing to remove."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(11)
+    word = lambda n: rng.integers(97, 123, n, dtype=np.uint8).tobytes()
+    phrases, passage = [word(int(n)) for n in rng.integers(17, 45, 30)], word(70)
+    texts = [b"".join([word(40), phrases[k % 30], word(int(rng.integers(3, 40))), passage[k % 20 : 50 + k % 21] if k % 3 == 0 else b"", phrases[k % 7]]) for k in range(300)]
+    rows = []
+    for doc, text in enumerate(texts):
+        first, last, anchor = suffix_dedup.window_anchors(np.frombuffer(text, np.uint8))
+        rows += [(int(a), text[f : e + 50], doc) for f, e, a in zip(first, last, anchor.view(np.int64))]
+    least = {}
+    for a, c, doc in rows:
+        least[a, c] = min(doc, least.get((a, c), doc))
+    rows = sorted((a, c, doc) for (a, c), doc in least.items())
+    owners = {}
+    for k, (a, c, _) in enumerate(rows):
+        for w in range(len(c) - 49):
+            owners.setdefault((a, c[w : w + 50]), set()).add(k)
+    meets = {k for own in owners.values() if len(own) > 1 for k in own}
+    several = {k for k, r in enumerate(rows) if k and rows[k - 1][0] == r[0] or k + 1 < len(rows) and rows[k + 1][0] == r[0]}
+    given = []
+    plain = suffix_dedup.shard_minima
+    monkeypatch.setattr(suffix_dedup, "shard_minima", lambda raw, sizes, docs, length: (given.append(len(sizes)), plain(raw, sizes, docs, length))[1])
+    n = len(rows)
+    batch = pa.table({
+        "anchor": [r[0] for r in rows], "part": pa.array([0] * n, pa.int32()), "parts": pa.array([1] * n, pa.int32()), "name": list(range(n)),
+        "context": pa.array([r[1] for r in rows], pa.binary()), "doc_id": [r[2] for r in rows],
+    }).to_batches()
+    found = {}
+    for b in suffix_dedup._work_off(iter(batch), 50):
+        for r in b.to_pylist():
+            for o, c, d in zip(r["offsets"], r["counts"], r["docs"]):
+                found |= {(r["name"], o + w): d for w in range(c)}
+    expected = {(k, w): min(rows[j][2] for j in owners[a, c[w : w + 50]]) for k, (a, c, _) in enumerate(rows) for w in range(len(c) - 49)}
+    assert found == expected
+    assert len(meets) <= sum(given) < (len(meets) + len(several)) / 2
+
+
+def test_anchors_travel_as_one_row_per_document_and_round(spark, table):
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(97, 123, n, dtype=np.uint8).tobytes().decode() for n in (60, 900, 50, 4000)]
+    rows = suffix_dedup._anchors(table("doc_id long, text string", list(enumerate(texts))), 50).collect()
+    assert len({(r["doc_id"], r["slice"]) for r in rows}) == len(rows) <= suffix_dedup.SLICES * len(texts)
+    for doc, text in enumerate(texts):
+        anchors = set(suffix_dedup.window_anchors(np.frombuffer(text.encode(), np.uint8))[2].view(np.int64).tolist())
+        own = [(a, r["slice"]) for r in rows if r["doc_id"] == doc for a in r["anchors"]]
+        assert len(own) == len(anchors) and {a for a, _ in own} == anchors and all(a % suffix_dedup.SLICES == k for a, k in own)
