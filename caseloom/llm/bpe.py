@@ -18,6 +18,7 @@ import json
 import re
 import struct
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,8 @@ from pyspark.sql import DataFrame
 
 from caseloom.llm.common import map_batches, texts_of
 
-KEPT_WORDS = 700_000  # entries of a worker's tables; when full they keep only what the texts at hand need
+KEPT_WORDS = 400_000  # entries of a worker's table; when full it keeps its older half and what the texts at hand need
+PART_BYTES = 3 << 20  # text that is encoded at once
 LONGEST_LANE = 64  # letters of words that are encoded side by side
 FEWEST_LANES = 256
 
@@ -410,11 +412,13 @@ class TrieEncoder:
                 table[c] = b"".join([table[w] if w.isascii() else foreign[w] for w in words])
 
     def _ids_of(self, chunks: list[str]) -> list[bytes]:
-        """Ids of distinct chunks.  A full table keeps what these chunks need."""
+        """Ids of distinct chunks.  A full table keeps its older half and what these chunks need."""
         found = list(map(self._chunks.get, chunks))
         if len(self._chunks) > KEPT_WORDS:
-            self._chunks = {c: ids for c, ids in zip(chunks, found) if ids is not None}
-        if len(self._foreign) > KEPT_WORDS:
+            # the chunks met first are mostly the frequent ones
+            self._chunks = dict(islice(self._chunks.items(), KEPT_WORDS // 2))
+            self._chunks.update((c, ids) for c, ids in zip(chunks, found) if ids is not None)
+        if len(self._foreign) > KEPT_WORDS // 2:
             self._foreign.clear()
         if len(self._fits) > 4 * KEPT_WORDS:
             self._fits.clear()
@@ -474,7 +478,7 @@ def encode_documents(documents: DataFrame, vocabulary_path: str, id_column: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(vocabulary.value)
         for batch in batches:
-            for part in by_size(batch, 1):
+            for part in by_size(batch, 1, PART_BYTES):
                 ids = tool.encode(texts_of(part.column(1)))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32())), pa.array([tool.decode(i) for i in ids], pa.string())],
@@ -508,7 +512,7 @@ def digest_documents(documents: DataFrame, vocabulary_path: str) -> DataFrame:
         tool = encoder(vocabulary.value)
         numbers = [str(i) for i in range(len(tool.names))]
         for batch in batches:
-            for part in by_size(batch, 1):
+            for part in by_size(batch, 1, PART_BYTES):
                 ids = tool.encode(texts_of(part.column(1)))
                 spelt = [" ".join(map(numbers.__getitem__, i.tolist())) for i in ids]
                 yield pa.RecordBatch.from_arrays(

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseloom.llm.bpe import by_size, encoder, read_vocabulary
+from caseloom.llm.bpe import PART_BYTES, by_size, encoder, read_vocabulary
 from caseloom.llm.common import map_batches, stored, texts_of
 
 CAPACITY = 2048
@@ -122,7 +122,7 @@ def cut_documents(documents: DataFrame, vocabulary_path: str, capacity: int = CA
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(vocabulary.value)
         for batch in batches:
-            for part in by_size(batch, 1):
+            for part in by_size(batch, 1, PART_BYTES):
                 rows: list[tuple] = []
                 for doc, ids in zip(part.column(0).to_pylist(), tool.encode(texts_of(part.column(1)))):
                     raw = memoryview(ids.tobytes() + end)
