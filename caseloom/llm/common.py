@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from caseloom.session import ship_package, work_path
+from caseloom.session import configured, ship_package, sweep, work_path
 from caseloom.sources import files
 
 # Rows Spark hands to a Python task at once.  Texts differ in length a thousandfold, so the default of 10,000
@@ -35,9 +33,7 @@ def stored(df: DataFrame, name: str, slices: str | None = None) -> DataFrame:
     path = work_path(spark, name)
     with configured(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_SLICES)} if slices else {}):
         df.write.option("compression", "zstd").parquet(path, partitionBy=slices)
-    # Spark deletes the shuffle files of finished steps when the driver collects its garbage; it rarely has to by itself
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    sweep(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
@@ -49,19 +45,6 @@ def discard(*tables: DataFrame) -> None:
         files.delete(df.sparkSession, df.stored_at)
 
 
-@contextmanager
-def configured(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
-    """Session settings for the jobs started inside, put back afterwards."""
-    before = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` with bounded batches and this package on the workers, which hand back their memory after each task."""
     spark = df.sparkSession

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -20,6 +23,10 @@ SESSION_CONF = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
+# Bytes a task reads at most where all its rows go into a wide shuffle: with Spark's 128 MB the rows of four tasks, unpacked,
+# outgrow the memory of an executor and lie on its disk twice.
+SPLIT_BYTES = 32 << 20
+
 _local_folders: dict[str, str] = {}
 _shipped: set[str] = set()
 
@@ -64,9 +71,36 @@ def estimated_bytes(df) -> int:
 def broadcast_limit(spark: SparkSession) -> int:
     """Spark's own limit for broadcasting a join side by its estimated size (-1: never)."""
     limit = spark.sql("SET spark.sql.autoBroadcastJoinThreshold").first()["value"]
-    if limit.startswith("-"):
-        return -1
-    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit))
+    return -1 if limit.startswith("-") else _bytes(spark, limit)
+
+
+def _bytes(spark: SparkSession, size: str) -> int:
+    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size))
+
+
+@contextmanager
+def configured(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Session settings for the jobs started inside, put back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def small_splits(spark: SparkSession):
+    """Tasks of the jobs started inside read at most ``SPLIT_BYTES`` each, or less where the session says so."""
+    key = "spark.sql.files.maxPartitionBytes"
+    return configured(spark, {key: str(min(SPLIT_BYTES, _bytes(spark, spark.conf.get(key))))})
+
+
+def sweep(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of finished steps when the driver collects its garbage; it rarely has to by itself."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def ship_package(spark: SparkSession) -> None:

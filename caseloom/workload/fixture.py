@@ -6,11 +6,12 @@ dialects, with ``{us}``, ``{iso}`` and ``{shift}`` standing for the three dialec
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CUTOFF = date(1999, 12, 31)
@@ -73,14 +74,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw(spark: SparkSession, sf_dir: str, columns: Sequence[str] = RAW_COLUMNS) -> DataFrame:
-    """Raw incidents with the wanted columns, over all six tables whichever columns are wanted: a line item without its
-    order, customer, nation, part or supplier is no incident."""
+def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per raw incident, over all six tables: a line item without its order, customer, nation, part or supplier is no
+    incident."""
     orders = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
     df = table(spark, sf_dir, "lineitem").join(orders, F.expr("l_orderkey = o_orderkey"))
     for name, condition in _JOINS:
         df = df.join(table(spark, sf_dir, name), F.expr(condition))
-    return df.select(*[F.expr(_RAW[c].format(**_SPARK)).alias(c) for c in columns])
+    return df
+
+
+def raw_column(name: str) -> Column:
+    return F.expr(_RAW[name].format(**_SPARK))
+
+
+def raw(spark: SparkSession, sf_dir: str, columns: Sequence[str] = RAW_COLUMNS) -> DataFrame:
+    """Raw incidents with the wanted columns, over all six tables whichever columns are wanted."""
+    return _joined(spark, sf_dir).select(*[raw_column(c).alias(c) for c in columns])
+
+
+def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined rows of ``raw`` with the columns its expressions are over; they take half the room of all columns as text."""
+    joined = _joined(spark, sf_dir)
+    used = set(re.findall(r"\w+", " ".join(e.format(**_SPARK) for e in _RAW.values())))
+    return joined.select(*[c for c in joined.columns if c.lower() in used])
 
 
 # ---------------------------------------------------------------- the same as SQL text

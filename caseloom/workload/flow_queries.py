@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import timedelta
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.plans import flows, snapshot
 from caseloom.plans.warehouse import create_store
 from caseloom.schemas import TABLES
-from caseloom.session import ship_package, work_path
+from caseloom.session import ship_package, small_splits, sweep, work_path
 from caseloom.sources import headers as H
 from caseloom.sources import lake
 from caseloom.sources.registry import ModelRegistry, append_audit, error_log, read_audit
@@ -30,7 +31,8 @@ _FACT = fx.with_fact("select * from fact")
 
 
 # Extracts repeat their headers and labels in every record: packed they take a fraction of the disk for little time.
-PACKED = "snappy"
+EXTRACT_PACKED = "snappy"
+PACKED = "gzip"  # of JSON arrays, by far the largest files and split in no case: under half of that again
 
 
 def _daily_lake(spark, sf_dir) -> str:
@@ -38,7 +40,7 @@ def _daily_lake(spark, sf_dir) -> str:
     raw = fx.raw(spark, sf_dir)
     texts = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
     folder = work_path(spark, "lake")
-    lake.land_extract(spelled(texts, DAILY_SPELLING), folder, "incident_extract", AT, PACKED)
+    lake.land_extract(spelled(texts, DAILY_SPELLING), folder, "incident_extract", AT, EXTRACT_PACKED)
     return folder
 
 
@@ -84,7 +86,7 @@ def _daily_dimensions(spark, sf_dir):
     return _dimensions(_daily_store(spark, sf_dir))
 
 
-def _csv(spark, rows, path: str, compression: str = PACKED) -> str:
+def _csv(spark, rows, path: str, compression: str = EXTRACT_PACKED) -> str:
     writer = rows.write.option("header", True).option("escape", '"').option("compression", compression)
     # Blanks around a value are part of the raw data.
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
@@ -191,16 +193,26 @@ FILES = 8  # files of a quarter of the records
 ARRAY_RECORDS = 100_000  # records of a JSON array: Spark reads an array whole, so more records make more files, not longer arrays
 
 
-@_once("texts")
-def _texts(spark, sf_dir):
-    """The raw input with daily headers, text values only, written once and read back for each share."""
-    raw = fx.raw(spark, sf_dir)
-    texts = spelled(raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns]), DAILY_SPELLING)
-    share = F.pmod(F.xxhash64(F.trim(_number(texts))), F.lit(4))
-    return lake.replace_table(texts.withColumn("share", share), work_path(spark, "texts"))
+@_once("sources")
+def _sources(spark, sf_dir):
+    """What the raw input is made of and the share of each record number, written once and read back for each share."""
+    share = F.pmod(F.xxhash64(F.trim(_number_of_sources())), F.lit(4))
+    with small_splits(spark):
+        stored = lake.replace_table(fx.sources(spark, sf_dir).withColumn("share", share), work_path(spark, "sources"))
+    sweep(spark)
+    return stored
+
+
+def _texts(sources: DataFrame) -> DataFrame:
+    """The raw input with daily headers, text values only."""
+    return spelled(sources.select(*[fx.raw_column(c).cast("string").alias(c) for c in fx.RAW_COLUMNS]), DAILY_SPELLING)
+
 
+def _number_of_sources() -> Column:
+    return fx.raw_column("dr_no").cast("string")
 
-def _number(texts):
+
+def _number() -> Column:
     return F.col(DAILY_SPELLING.get("dr_no", "dr_no"))
 
 
@@ -208,34 +220,52 @@ def _as_array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The lines of one JSON array of all records of a partition, which pass one batch at a time."""
     begun = False
     for batch in batches:
-        records = batch.column(0).to_pylist()
-        if not records:
+        records = batch.column(0)
+        if not len(records):
             continue
-        lines = [f",{r}" for r in records] if begun else ["[", records[0], *(f",{r}" for r in records[1:])]
+        if not begun:
+            yield _lines(pa.array(["["]))
+            yield _lines(records[:1])
+            records = records[1:]
         begun = True
-        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+        yield _lines(pc.binary_join_element_wise("", records, ","))
     if begun:
-        yield pa.RecordBatch.from_arrays([pa.array(["]"])], names=["value"])
+        yield _lines(pa.array(["]"]))
+
+
+def _lines(values: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([values], names=["value"])
 
 
-def _land_share(spark, texts, share: int, folder: str) -> int:
+def _land_share(
+    spark, rows, share: int, folder: str, number: Column | None = None, texts: Callable[[DataFrame], DataFrame] | None = None
+) -> int:
     """A quarter of the records as JSON lines, JSON arrays, CSV, or gzipped CSV with its columns the other way round, all rows
-    of a record number in one file.  Returns the number of files; only that of arrays grows with the records."""
-    rows = texts.where(F.col("share") == share).drop("share")
-    number = FILES if share != 1 else max(FILES, -(-rows.count() // ARRAY_RECORDS))
-    rows = rows.repartition(number, F.trim(_number(rows)))
-    if share == 0:
-        rows.write.option("compression", PACKED).json(f"{folder}/lines.json")
-    elif share == 1:
-        ship_package(spark)
-        arrays = rows.select(F.to_json(F.struct(*rows.columns)).alias("record")).mapInArrow(_as_array, "value string")
-        arrays.write.option("compression", PACKED).text(f"{folder}/array.json")
-    elif share == 2:
-        _csv(spark, rows, f"{folder}/plain.csv", compression="none")
-    else:
-        columns = rows.columns[::-1]
-        _csv(spark, rows.select(*columns), f"{folder}/turned.csv", compression="gzip")
-    return number
+    of a record number in one file.  Returns the number of files; only that of arrays grows with the records.
+
+    ``rows`` are texts, or rows with that ``number`` which ``texts`` turns into texts after they have met in their file."""
+    rows = rows.where(F.col("share") == share).drop("share")
+    files = FILES if share != 1 else max(FILES, -(-rows.count() // ARRAY_RECORDS))
+    rows = rows.repartition(files, F.trim(_number() if number is None else number))
+    rows = rows if texts is None else texts(rows)
+    with small_splits(spark):
+        if share == 0:
+            rows.write.option("compression", EXTRACT_PACKED).json(f"{folder}/lines.json")
+        elif share == 1:
+            ship_package(spark)
+            arrays = rows.select(F.to_json(F.struct(*rows.columns)).alias("record")).mapInArrow(_as_array, "value string")
+            arrays.write.option("compression", PACKED).text(f"{folder}/array.json")
+        elif share == 2:
+            _csv(spark, rows, f"{folder}/plain.csv", compression="none")
+        else:
+            columns = rows.columns[::-1]
+            _csv(spark, rows.select(*columns), f"{folder}/turned.csv", compression="gzip")
+    sweep(spark)
+    return files
+
+
+def _land_sources(spark, sources, share: int, folder: str) -> int:
+    return _land_share(spark, sources, share, folder, _number_of_sources(), _texts)
 
 
 @query("s4_mixed_lake", fx.with_raw(
@@ -243,9 +273,9 @@ def _land_share(spark, texts, share: int, folder: str) -> int:
 def _mixed_lake(spark, sf_dir):
     """One lake object of JSON lines, JSON arrays and two kinds of CSV, read back by column name."""
     folder = work_path(spark, "mixed")
-    texts = _texts(spark, sf_dir)
+    sources = _sources(spark, sf_dir)
     for share in range(4):
-        _land_share(spark, texts, share, folder)
+        _land_sources(spark, sources, share, folder)
     read = lake.read_lake(spark, folder)
     return H.map_columns(read, {DAILY_SPELLING.get(c, c): c for c in fx.RAW_COLUMNS if c not in fx.DOUBLES})
 
@@ -254,7 +284,7 @@ def _mixed_lake(spark, sf_dir):
 def _json_array(spark, sf_dir):
     """All raw incidents as JSON arrays, one per file."""
     folder = work_path(spark, "arrays")
-    _land_share(spark, _texts(spark, sf_dir).withColumn("share", F.lit(1)), 1, folder)
+    _land_sources(spark, _sources(spark, sf_dir).withColumn("share", F.lit(1)), 1, folder)
     read = H.map_columns(lake.read_lake(spark, f"{folder}/array.json"), {DAILY_SPELLING.get(c, c): c for c in fx.RAW_COLUMNS})
     return read.groupBy("area_id").agg(F.count("*").alias("n"), F.count_distinct("dr_no").alias("numbers"))
 
@@ -262,11 +292,11 @@ def _json_array(spark, sf_dir):
 @_once("streamed")
 def _streamed_store(spark, sf_dir) -> Store:
     """All raw incidents arrive as files of four kinds; two runs of the stream, with several batches each, load each file once."""
-    texts, folder = _texts(spark, sf_dir), work_path(spark, "lake")
+    sources, folder = _sources(spark, sf_dir), work_path(spark, "lake")
     store = create_store(spark, work_path(spark, "warehouse"))
     places = [work_path(spark, name) for name in ("staging", "checkpoint", "quarantine")]
     for shares in ((0, 2), (1, 3)):
-        landed = sum(_land_share(spark, texts, share, folder) for share in shares)
+        landed = sum(_land_sources(spark, sources, share, folder) for share in shares)
         per_batch = -(-landed * 6 // (2 * FILES))  # 6 of 16 files; of more files the same share
         ingest_new_files(spark, folder, store, *places, files_per_batch=per_batch).awaitTermination()
     if not quarantined(spark, places[-1]).isEmpty():

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gzip
 import json
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -13,6 +15,7 @@ from caseloom.operators.merge import first_label_per_code
 from caseloom.plans import warehouse
 from caseloom.plans.warehouse import create_store, merge_staging, new_rows
 from caseloom.schemas import STAGING
+from caseloom.session import SPLIT_BYTES, small_splits
 from caseloom.sources import lake
 from caseloom.sources.headers import conform
 from caseloom.workload import fixture, flow_queries
@@ -53,6 +56,55 @@ def test_json_arrays_are_more_not_longer_with_more_records(spark, tmp_path, monk
     assert read.count() == 400 and {r["note"] for r in read.select("note").distinct().collect()} == {'a "b",\n]'}
 
 
+def _small_tables(table, folder) -> str:
+    """Six tables of a few rows; some line items come twice, have no order, or hold NULL."""
+    items = [(o, o % 3, o % 2, n, float(o), "AN"[n % 2], "F", datetime(1997, 1, 1 + o)) for o in range(20) for n in (1, 2)]
+    items += items[:7] + [(99, 0, 0, 1, 1.0, "A", "F", datetime(1997, 1, 1)), (3, 1, 1, None, None, None, None, None)]
+    for name, ddl, rows in (
+        ("nation", "n_nationkey int, n_name string", [(0, "here"), (1, "there")]),
+        ("customer", "c_custkey long, c_nationkey int", [(0, 0), (1, 1), (2, None)]),
+        ("supplier", "s_suppkey long, s_name string", [(0, "one"), (1, "two")]),
+        ("part", "p_partkey long, p_size int, p_type string, p_brand string", [(0, 1, "a", "Brand#1"), (1, 2, "b", "Brand#2"), (2, None, None, None)]),
+        ("orders", "o_orderkey long, o_custkey long", [(o, o % 3) for o in range(20)]),
+        ("lineitem", "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, "
+         "l_linestatus string, l_shipdate timestamp", items),
+    ):
+        table(ddl, rows).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_rows_become_text_after_they_have_met_in_their_file(spark, table, tmp_path, monkeypatch):
+    tables = _small_tables(table, tmp_path / "tables")
+    dealt, plain = [], flow_queries._texts
+    monkeypatch.setattr(flow_queries, "_texts", lambda rows: (dealt.append(rows), plain(rows))[1])
+    monkeypatch.setattr(flow_queries, "work_path", lambda spark, *parts: str(tmp_path.joinpath(*parts)))
+    raw = fixture.raw(spark, tables)
+    found = flow_queries._json_array(spark, tables)
+    expected = raw.groupBy("area_id").agg(F.count("*"), F.count_distinct("dr_no"))
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+    assert dealt[0]._jdf.queryExecution().optimizedPlan().toString().startswith("RepartitionByExpression")
+    assert "l_shipdate" in dealt[0].columns and not set(dealt[0].columns) & {*fixture.RAW_COLUMNS, "l_tax", "o_custkey"}
+    arrays = [json.loads(gzip.decompress(f.read_bytes())) for f in tmp_path.glob("arrays/array.json/part-*.gz")]
+    assert sum(map(len, arrays)) == raw.count() > 0
+    number = flow_queries.DAILY_SPELLING.get("dr_no", "dr_no")
+    files = Counter(n for array in arrays for n in {str(r.get(number)).strip() for r in array})
+    assert set(files.values()) == {1}
+
+
+def test_wide_shuffles_read_small_splits(spark):
+    key, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with small_splits(spark):
+        assert int(spark.conf.get(key)) == SPLIT_BYTES
+    assert spark.conf.get(key) == before
+    spark.conf.set(key, "1m")
+    try:
+        with small_splits(spark):
+            assert int(spark.conf.get(key)) == 1 << 20
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_packed_extracts_keep_their_format(spark, tmp_path):
     folder = f"{tmp_path}/extract.json"
     spark.range(5).select(F.col("id").cast("string")).write.option("compression", "snappy").json(folder)
