@@ -231,7 +231,9 @@ def land_extract(records: DataFrame, lake: str, prefix: str, at: datetime, compr
     return target
 
 
-def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Overwrite a staging table and read it back, which also cuts the lineage."""
-    df.write.mode("overwrite").parquet(path)
+def replace_table(df: DataFrame, path: str, folders: str | None = None) -> DataFrame:
+    """Overwrite a staging table and read it back, which also cuts the lineage.
+
+    ``folders``: the table's last column, whose values get a folder each, so that a filter on it reads only its own files."""
+    df.write.mode("overwrite").parquet(path, partitionBy=folders)
     return df.sparkSession.read.schema(df.schema).parquet(path)

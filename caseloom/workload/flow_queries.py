@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from caseloom.plans import flows, snapshot
 from caseloom.plans.warehouse import create_store
 from caseloom.schemas import TABLES
-from caseloom.session import ship_package, small_splits, sweep, work_path
+from caseloom.session import configured, ship_package, small_splits, sweep, work_path
 from caseloom.sources import headers as H
 from caseloom.sources import lake
 from caseloom.sources.registry import ModelRegistry, append_audit, error_log, read_audit
@@ -189,6 +189,7 @@ def _research_training(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- mixed formats
+SHARES = 4
 FILES = 8  # files of a quarter of the records
 ARRAY_RECORDS = 100_000  # records of a JSON array: Spark reads an array whole, so more records make more files, not longer arrays
 
@@ -196,9 +197,10 @@ ARRAY_RECORDS = 100_000  # records of a JSON array: Spark reads an array whole,
 @_once("sources")
 def _sources(spark, sf_dir):
     """What the raw input is made of and the share of each record number, written once and read back for each share."""
-    share = F.pmod(F.xxhash64(F.trim(_number_of_sources())), F.lit(4))
-    with small_splits(spark):
-        stored = lake.replace_table(fx.sources(spark, sf_dir).withColumn("share", share), work_path(spark, "sources"))
+    share = F.pmod(F.xxhash64(F.trim(_number_of_sources())), F.lit(SHARES))
+    # A task keeps a file open for each share instead of sorting its rows by them.
+    with small_splits(spark), configured(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(SHARES)}):
+        stored = lake.replace_table(fx.sources(spark, sf_dir).withColumn("share", share), work_path(spark, "sources"), "share")
     sweep(spark)
     return stored
 
@@ -254,7 +256,7 @@ def _land_share(
         elif share == 1:
             ship_package(spark)
             arrays = rows.select(F.to_json(F.struct(*rows.columns)).alias("record")).mapInArrow(_as_array, "value string")
-            arrays.write.option("compression", PACKED).text(f"{folder}/array.json")
+            arrays.write.mode("append").option("compression", PACKED).text(f"{folder}/array.json")
         elif share == 2:
             _csv(spark, rows, f"{folder}/plain.csv", compression="none")
         else:
@@ -264,7 +266,10 @@ def _land_share(
     return files
 
 
-def _land_sources(spark, sources, share: int, folder: str) -> int:
+def _land_sources(spark, sources, share: int, folder: str, of: int | None = None) -> int:
+    """One share of the records in its form, or the share ``of`` in the form of ``share``."""
+    if of is not None:
+        sources = sources.where(F.col("share") == of).withColumn("share", F.lit(share))
     return _land_share(spark, sources, share, folder, _number_of_sources(), _texts)
 
 
@@ -274,7 +279,7 @@ def _mixed_lake(spark, sf_dir):
     """One lake object of JSON lines, JSON arrays and two kinds of CSV, read back by column name."""
     folder = work_path(spark, "mixed")
     sources = _sources(spark, sf_dir)
-    for share in range(4):
+    for share in range(SHARES):
         _land_sources(spark, sources, share, folder)
     read = lake.read_lake(spark, folder)
     return H.map_columns(read, {DAILY_SPELLING.get(c, c): c for c in fx.RAW_COLUMNS if c not in fx.DOUBLES})
@@ -282,9 +287,10 @@ def _mixed_lake(spark, sf_dir):
 
 @query("s1_json_array", fx.with_raw("select area_id, count(*) as n, count(distinct dr_no) as numbers from raw group by 1"))
 def _json_array(spark, sf_dir):
-    """All raw incidents as JSON arrays, one per file."""
+    """All raw incidents as JSON arrays, one per file.  They land a share at a time: the shuffle files of one lie on disk, not of all."""
     folder = work_path(spark, "arrays")
-    _land_sources(spark, _sources(spark, sf_dir).withColumn("share", F.lit(1)), 1, folder)
+    for share in range(SHARES):
+        _land_sources(spark, _sources(spark, sf_dir), 1, folder, of=share)
     read = H.map_columns(lake.read_lake(spark, f"{folder}/array.json"), {DAILY_SPELLING.get(c, c): c for c in fx.RAW_COLUMNS})
     return read.groupBy("area_id").agg(F.count("*").alias("n"), F.count_distinct("dr_no").alias("numbers"))
 

@@ -82,9 +82,11 @@ def test_rows_become_text_after_they_have_met_in_their_file(spark, table, tmp_pa
     found = flow_queries._json_array(spark, tables)
     expected = raw.groupBy("area_id").agg(F.count("*"), F.count_distinct("dr_no"))
     assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
-    assert dealt[0]._jdf.queryExecution().optimizedPlan().toString().startswith("RepartitionByExpression")
+    assert len(dealt) == flow_queries.SHARES and len(list(tmp_path.glob("sources/share=*"))) > 1  # a share's shuffle files at a time
+    assert all(d._jdf.queryExecution().optimizedPlan().toString().startswith("RepartitionByExpression") for d in dealt)
     assert "l_shipdate" in dealt[0].columns and not set(dealt[0].columns) & {*fixture.RAW_COLUMNS, "l_tax", "o_custkey"}
-    arrays = [json.loads(gzip.decompress(f.read_bytes())) for f in tmp_path.glob("arrays/array.json/part-*.gz")]
+    unpacked = [gzip.decompress(f.read_bytes()) for f in tmp_path.glob("arrays/array.json/part-*.gz")]
+    arrays = [json.loads(text) for text in unpacked if text]  # Spark writes an empty file where a share's first part is empty
     assert sum(map(len, arrays)) == raw.count() > 0
     number = flow_queries.DAILY_SPELLING.get("dr_no", "dr_no")
     files = Counter(n for array in arrays for n in {str(r.get(number)).strip() for r in array})
